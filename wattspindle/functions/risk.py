@@ -16,9 +16,18 @@ ADVICE = {
 }
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """Commercial rounding on the decimal value, as a double.
+
+    Binary noise would decide ties such as 1.005 at random; the detour through
+    ten decimals removes it.
+    """
+    return F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+
+
 def rate_pct(part: Column, whole: Column) -> Column:
     """Share in percent, two decimals; NULL for an empty whole."""
-    return F.round(F.try_divide(part.cast("double") * 100.0, whole.cast("double")), 2)
+    return half_up(F.try_divide(part.cast("double") * 100.0, whole.cast("double")), 2)
 
 
 def _first_match(conditions: list[tuple[Column, str]], otherwise: str) -> Column:
@@ -45,7 +54,7 @@ def stability(value: Column, p50: Column, p75: Column) -> Column:
 
 def daily_unit_cost(cost: Column, mean_power: Column) -> Column:
     """Cost per thousand units of mean power, two decimals; NULL at zero power."""
-    return F.round(F.try_divide(cost, mean_power / 1000.0), 2)
+    return half_up(F.try_divide(cost, mean_power / 1000.0), 2)
 
 
 def period_unit_cost(cost: Column, mean_power: Column, days: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wattspindle.functions.risk import half_up
+
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -58,4 +60,4 @@ def head(samples: Column | str, count: int = 3) -> Column:
 
 def magnitude(x: Column, y: Column, z: Column) -> Column:
     """Length of the three-axis vector, three decimals."""
-    return F.round(F.sqrt(x * x + y * y + z * z), 3)
+    return half_up(F.sqrt(x * x + y * y + z * z), 3)

@@ -42,9 +42,9 @@ def join_index(facts: DataFrame, index: DataFrame, ts: str = "timestamp_15min")
     monthly = index.groupBy(timebase.month_key("date").alias("month")).agg(
         F.avg("industrial_production_index").alias("industrial_production_index")
     )
-    return lookup_join(
-        facts.withColumn("month", timebase.month_key(ts)), monthly, "month"
-    ).drop("month")
+    lookup = materialize(monthly, "monthly-index")
+    keyed = facts.withColumn("month", timebase.month_key(ts))
+    return lookup_join(keyed, lookup, "month").drop("month")
 
 
 def enrich(facts: DataFrame) -> DataFrame:

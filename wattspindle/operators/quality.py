@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattspindle.constants import EXPECTED_YEARS
 from wattspindle.functions import risk
 
 
-def _share(part, whole):
-    return risk.rate_pct(part, whole)
-
-
-def _status(ok) -> F.Column:
+def _status(ok: Column) -> Column:
     return F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL"))
 
 
@@ -30,7 +26,7 @@ def null_report(df: DataFrame, columns: list[str]) -> DataFrame:
     return counted.select("total", F.inline(rows)).select(
         "column_name",
         "null_count",
-        F.coalesce(_share(F.col("null_count"), F.col("total")), F.lit(0.0)).alias("null_pct"),
+        F.coalesce(risk.rate_pct(F.col("null_count"), F.col("total")), F.lit(0.0)).alias("null_pct"),
         _status(F.col("null_count") == 0).alias("status"),
     )
 
@@ -42,7 +38,7 @@ def coverage_report(df: DataFrame, column: str) -> DataFrame:
         F.count_if(F.col(column).isNull()).alias("missing_records"),
     ).withColumn(
         "missing_pct",
-        F.coalesce(_share(F.col("missing_records"), F.col("total_records")), F.lit(0.0)),
+        F.coalesce(risk.rate_pct(F.col("missing_records"), F.col("total_records")), F.lit(0.0)),
     )
 
 
@@ -113,9 +109,9 @@ def validate_layer(spark: SparkSession, datasets: dict[str, str]) -> DataFrame:
 def presence_report(files: DataFrame, expected: DataFrame) -> DataFrame:
     """Files and bytes per expected dataset. ``files`` comes from ``list_files``;
     ``expected`` has one ``dataset`` name per row, matched as a path segment."""
-    segment = F.regexp_replace(F.explode(F.split("path", "/")), r"\.parquet$", "")
     found = (
-        files.select("path", "length", segment.alias("dataset"))
+        files.select("path", "length", F.explode(F.split("path", "/")).alias("segment"))
+        .withColumn("dataset", F.regexp_replace("segment", r"\.parquet$", ""))
         .groupBy("dataset")
         .agg(F.count_distinct("path").alias("file_count"), F.sum("length").alias("bytes"))
     )

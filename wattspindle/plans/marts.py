@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wattspindle.constants import STABILITY_PERCENTILES, STAGE_FROM, STAGE_TO
 from wattspindle.functions import risk, signal
@@ -55,32 +56,40 @@ def daily_metrics(staged: DataFrame) -> DataFrame:
     )
 
 
-def daily_facts(daily: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """Daily metrics with health class, stability class and unit cost.
+def with_health(daily: DataFrame) -> DataFrame:
+    return daily.withColumn("machine_health_status", risk.daily_health(F.col("anomaly_rate_pct")))
+
+
+def with_unit_cost(daily: DataFrame) -> DataFrame:
+    cost = risk.daily_unit_cost(F.col("daily_energy_cost"), F.col("avg_power_consumption"))
+    return daily.withColumn("cost_per_kwh", cost)
 
-    The percentiles span all rows of ``daily``, which is read several times and
-    should be a written table. ``accuracy`` opts in to sketched percentiles.
+
+def with_stability(daily: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Stability class against the percentiles over all rows of ``daily``.
+
+    ``daily`` is read several times and should be a written table. ``accuracy``
+    opts in to sketched percentiles.
     """
     bounds = exact_quantiles(daily, "vibration_magnitude", STABILITY_PERCENTILES, accuracy)
+    grade = risk.stability(F.col("vibration_magnitude"), F.col("p50"), F.col("p75"))
     return (
         attach_one_row(daily, bounds)
-        .withColumns(
-            {
-                "machine_health_status": risk.daily_health(F.col("anomaly_rate_pct")),
-                "vibration_stability": risk.stability(
-                    F.col("vibration_magnitude"), F.col("p50"), F.col("p75")
-                ),
-                "cost_per_kwh": risk.daily_unit_cost(
-                    F.col("daily_energy_cost"), F.col("avg_power_consumption")
-                ),
-            }
-        )
+        .withColumn("vibration_stability", grade)
         .drop(*STABILITY_PERCENTILES)
     )
 
 
+def daily_facts(daily: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Daily metrics with health class, stability class and unit cost."""
+    return with_unit_cost(with_stability(with_health(daily), accuracy))
+
+
 def machine_summary(facts: DataFrame) -> DataFrame:
-    """One row per machine and operation. Means are over days, unweighted."""
+    """One row per machine and operation. Means are over days, unweighted.
+
+    Reads daily metrics only, so daily facts and plain daily metrics both serve.
+    """
     return (
         facts.groupBy(*UNIT_KEY)
         .agg(
@@ -109,8 +118,6 @@ def daily_trend(facts: DataFrame, days: int = 7) -> DataFrame:
 
     Daily rows of one unit are bounded by the calendar, so a window per unit is safe.
     """
-    from pyspark.sql.window import Window
-
     order = Window.partitionBy(*UNIT_KEY).orderBy("measurement_date")
     trailing = order.rowsBetween(1 - days, Window.currentRow)
     return facts.select(

@@ -72,7 +72,7 @@ def daily_table(facts: DataFrame) -> DataFrame:
     return facts.select(
         F.date_format("measurement_date", "yyyy-MM-dd").alias("measurement_date"),
         *UNIT_KEY,
-        *[F.round(c, 2).alias(c) for c in numbers],
+        *[risk.half_up(F.col(c), 2).alias(c) for c in numbers],
         "machine_health_status",
     )
 
@@ -209,7 +209,7 @@ def inventory_pivot(inventory: DataFrame, machines: list[str]) -> DataFrame:
 
 
 def inventory_totals(inventory: DataFrame) -> DataFrame:
-    """Detail rows and the grand total in one result, via rollup on the unit."""
+    """Grand totals over the whole inventory."""
     measures = ["total_files", "anomalies", "total_samples"]
     return inventory.agg(*[F.sum(c).alias(c) for c in measures])
 

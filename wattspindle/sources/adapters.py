@@ -1,7 +1,7 @@
 """Domain tables derived from the star-schema test tables.
 
-Each function is a lazy mapping over the whole source table. The small price and
-index tables are written once, as the bronze layer would hold them.
+Each function maps the whole source table. The ``bronze_*`` functions write their
+result once, as the bronze layer would hold it, for readers that scan it repeatedly.
 """
 
 from __future__ import annotations
@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattspindle.constants import INDEX_UNIT
 from wattspindle.functions import timebase
+from wattspindle.functions.risk import half_up
 from wattspindle.operators.windows import hourly_mean, rollup_chunks
-from wattspindle.schemas import BRONZE_INDUSTRIAL, BRONZE_PRICES, BRONZE_TELEMETRY, conform
+from wattspindle.schemas import BRONZE_PRICES, BRONZE_TELEMETRY, conform
 from wattspindle.session import materialize
 
 ANOMALY_LEVEL = 150.0
@@ -27,10 +29,11 @@ def event_machine() -> Column:
     return F.concat(F.lit("M0"), (F.col("user_id") % 3 + 1).cast("string"))
 
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature rows from ``events``."""
+def telemetry_rows(events: DataFrame) -> DataFrame:
+    """Feature rows from ``events``, batch or stream."""
     value = F.col("value")
-    return table(spark, sf_dir, "events").select(
+    serial = F.lpad(F.col("event_id").cast("string"), 12, "0")
+    return events.select(
         F.col("ts").alias("timestamp"),
         event_machine().alias("machine_id"),
         F.col("event_type").alias("operation"),
@@ -38,12 +41,15 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         (value * 0.5).alias("rms_y"),
         (value * 0.25).alias("rms_z"),
         (value > ANOMALY_LEVEL).cast("int").alias("label"),
-        F.concat_ws("_", event_machine(), "event_type", F.lpad(F.col("event_id").cast("string"), 12, "0"))
-        .alias("filename"),
+        F.concat_ws("_", event_machine(), "event_type", serial).alias("filename"),
         F.get_json_object("props", "$.k").try_cast("int").alias("sample_count"),
     )
 
 
+def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry_rows(table(spark, sf_dir, "events"))
+
+
 def bronze_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """15-minute telemetry, written once: silver reads it more than once."""
     chunks = telemetry(spark, sf_dir).withColumn(
@@ -66,9 +72,13 @@ def price_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hourly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform(hourly_mean(price_quotes(spark, sf_dir)), BRONZE_PRICES)
+
+
 def bronze_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly = hourly_mean(price_quotes(spark, sf_dir))
-    return materialize(conform(hourly, BRONZE_PRICES), "bronze-prices")
+    """Hourly prices, written once: spines and fills read them more than once."""
+    return materialize(hourly_prices(spark, sf_dir), "bronze-prices")
 
 
 def industrial(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,15 +92,11 @@ def industrial(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("DE").alias("country_code"),
             "industrial_production_index",
             F.lit(INDEX_SOURCE).alias("source"),
-            F.lit("Index (2015=100)").alias("unit"),
+            F.lit(INDEX_UNIT).alias("unit"),
         )
     )
 
 
-def bronze_industrial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(conform(industrial(spark, sf_dir), BRONZE_INDUSTRIAL), "bronze-industrial")
-
-
 def current_industrial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index moved to the months of ``events``, so that silver has matches.
 
@@ -100,8 +106,7 @@ def current_industrial(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2023-01-01").cast("date"),
         F.months_between(F.col("date").cast("date"), F.lit("1995-01-01").cast("date")).cast("int"),
     )
-    moved = industrial(spark, sf_dir).withColumn("date", shifted.cast("timestamp_ntz"))
-    return materialize(conform(moved, BRONZE_INDUSTRIAL), "bronze-industrial")
+    return industrial(spark, sf_dir).withColumn("date", shifted.cast("timestamp_ntz"))
 
 
 def telemetry_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +166,7 @@ def run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def message_rows(events: DataFrame) -> DataFrame:
     """JSON messages from ``events``: stream form, older form and broken ones."""
     event = F.col("event_id")
     value = F.col("value").cast("float")
@@ -187,11 +192,15 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 20 == 0, body).alias("data"),
     )
     text = F.to_json(message)
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.when(event % 17 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value")
     )
 
 
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return message_rows(table(spark, sf_dir, "events"))
+
+
 def _element(name: str, *content: Column, attributes: str = "") -> Column:
     opening = f"<{name} {attributes}>" if attributes else f"<{name}>"
     return F.concat(F.lit(opening), *content, F.lit(f"</{name}>"))
@@ -203,7 +212,7 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     A document holds at most 24 positions, however many quotes an hour has.
     """
     hourly = hourly_mean(price_quotes(spark, sf_dir)).select(
-        "timestamp", F.round("price_eur_mwh", 4).alias("price")
+        "timestamp", half_up(F.col("price_eur_mwh"), 4).alias("price")
     )
     hour = F.hour("timestamp")
     point = _element(
@@ -252,7 +261,7 @@ def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = (
         table(spark, sf_dir, "orders")
         .groupBy(order_country().alias("country"), timebase.month_key("o_orderdate").alias("month"))
-        .agg(F.round(F.avg("o_totalprice"), 2).alias("value"))
+        .agg(half_up(F.avg("o_totalprice"), 2).alias("value"))
     )
     observation = F.concat(
         F.lit('<g:Obs><g:ObsDimension value="'),
