@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from wattspindle.operators.lookups import attach_one_row
 
 _SKETCH_ACCURACY = 10_000
 
@@ -35,72 +32,46 @@ def exact_quantiles(
     if accuracy is not None:
         return sketched_quantiles(df, column, probs, accuracy)
 
-    values = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
     margin = 4 / _SKETCH_ACCURACY
     cuts = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-margin, margin)})
-    edges = df.agg(
-        F.percentile_approx(F.col(column).cast("double"), cuts, _SKETCH_ACCURACY).alias("edges")
-    )
-    zone = sum((F.col("v") > F.col("edges")[i]).cast("int") for i in range(len(cuts)))
-    zoned = attach_one_row(values, edges).select("v", "n", zone.alias("zone"))
-
-    # At most len(cuts) + 1 zone totals, folded into one array of (zone, n).
-    totals = zoned.groupBy("zone").agg(F.sum("n").alias("n")).agg(
-        F.collect_list(F.struct("zone", "n")).alias("zones"), F.sum("n").alias("total")
-    )
-    # One target per percentile end: the 0-based rank, and the zone that holds it.
-    ends = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(end).alias("end"),
-                (F.lit(float(p)) * (F.col("total") - 1)).alias("position"),
-            )
-            for name, p in probs.items()
-            for end in ("low", "high")
-        ]
+    wanted = ", ".join(
+        f"struct('{name}' AS name, {p}D * (total - 1) AS position)" for name, p in probs.items()
     )
-    targets = (
-        totals.where(F.col("total") > 0)
-        .select("zones", F.inline(ends))
-        .withColumn(
-            "rank",
-            F.when(F.col("end") == "low", F.floor("position")).otherwise(F.ceil("position")),
-        )
-        .select("zones", "name", "end", "position", "rank", F.inline("zones"))
-        .withColumn(
-            "before",
-            F.aggregate(
-                F.filter("zones", lambda z: z["zone"] < F.col("zone")),
-                F.lit(0).cast("long"),
-                lambda acc, z: acc + z["n"],
-            ),
-        )
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-        .select("name", "end", "position", "rank", "zone", "before")
-    )
-
-    upto = Window.partitionBy("name", "end").orderBy("v")
-    found = (
-        zoned.join(F.broadcast(targets), "zone")
-        .withColumn("upto", F.col("before") + F.sum("n").over(upto))
-        .where(F.col("upto") > F.col("rank"))
-        .groupBy("name", "position")
-        .agg(
-            F.min(F.when(F.col("end") == "low", F.col("v"))).alias("low"),
-            F.min(F.when(F.col("end") == "high", F.col("v"))).alias("high"),
-        )
-        .withColumn(
-            "q",
-            F.col("low")
-            + (F.col("high") - F.col("low")) * (F.col("position") - F.floor("position")),
-        )
+    zone = " + ".join(f"int(v > cuts[{i}])" for i in range(len(cuts)))
+    row = ", ".join(
+        f"""max(CASE WHEN name = '{name}' THEN low + (high - low) * (position - floor(position)) END)
+            AS `{name}`"""
+        for name in probs
     )
-    return found.agg(
-        *[F.max(F.when(F.col("name") == name, F.col("q"))).alias(name) for name in probs]
+    return df.sparkSession.sql(
+        f"""
+        WITH given AS (SELECT CAST(`{column}` AS DOUBLE) AS v FROM {{df}}),
+        counted AS (SELECT v, count(*) AS n FROM given WHERE v IS NOT NULL GROUP BY v),
+        sketch AS (
+            SELECT percentile_approx(v, array({", ".join(map(str, cuts))}), {_SKETCH_ACCURACY}) AS cuts,
+                   count(v) AS total
+            FROM given),
+        zoned AS (
+            SELECT /*+ BROADCAST(sketch) */ v, n, {zone} AS zone FROM counted CROSS JOIN sketch),
+        -- At most one row more than there are cuts.
+        zones AS (
+            SELECT zone, n, sum(n) OVER (ORDER BY zone) - n AS before
+            FROM (SELECT zone, sum(n) AS n FROM zoned GROUP BY zone)),
+        ranks AS (
+            SELECT name, position, stack(2, 'low', floor(position), 'high', ceil(position)) AS (side, rank)
+            FROM (SELECT inline(array({wanted})) FROM sketch)),
+        targets AS (
+            SELECT name, position, side, rank, zone, before
+            FROM ranks JOIN zones ON rank >= before AND rank < before + n),
+        reached AS (
+            SELECT /*+ BROADCAST(targets) */ name, position, side, rank, v,
+                   before + sum(n) OVER (PARTITION BY name, side ORDER BY v) AS upto
+            FROM zoned JOIN targets USING (zone)),
+        ends AS (
+            SELECT name, position, min(v) FILTER (WHERE side = 'low') AS low,
+                   min(v) FILTER (WHERE side = 'high') AS high
+            FROM reached WHERE upto > rank GROUP BY name, position)
+        SELECT {row} FROM ends
+        """,
+        df=df,
     )

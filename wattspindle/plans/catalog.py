@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattspindle.constants import MACHINES, SLIDE, WATERMARK
-from wattspindle.functions import naming, risk, timebase
+from wattspindle.functions import naming, timebase
 from wattspindle.operators import chunking, harmonize, prices, quality, quantiles, windows
 from wattspindle.operators.lookups import attach_one_row
 from wattspindle.plans import marts, reports
@@ -32,17 +32,18 @@ QUERIES: dict[str, Query] = {}
 def publish(df: DataFrame, digits: int = 6) -> DataFrame:
     """Engine-neutral output: rounded doubles, dates as text, zone-less times."""
 
-    def plain(field: T.StructField):
-        column = F.col(field.name)
+    def plain(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            column = risk.half_up(column.cast("double"), digits)
-        elif isinstance(field.dataType, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = column.cast("timestamp_ntz")
-        return column.alias(field.name)
+            decimal = f"try_cast({name} AS DECIMAL(38, 10))"
+            return f"CAST(round({decimal}, {digits}) AS DOUBLE) AS {name}"
+        if isinstance(field.dataType, T.DateType):
+            return f"date_format({name}, 'yyyy-MM-dd') AS {name}"
+        if isinstance(field.dataType, T.TimestampType):
+            return f"CAST({name} AS TIMESTAMP_NTZ) AS {name}"
+        return name
 
-    return df.select([plain(field) for field in df.schema.fields])
+    return df.selectExpr(*[plain(field) for field in df.schema.fields])
 
 
 def query(digits: int = 6):
@@ -61,7 +62,7 @@ def query(digits: int = 6):
 
 def _silver(spark: SparkSession, sf_dir: str, fill: str | None = "mean") -> DataFrame:
     return harmonize.silver(
-        adapters.bronze_telemetry(spark, sf_dir),
+        adapters.silver_telemetry(spark, sf_dir),
         adapters.hourly_prices(spark, sf_dir),
         adapters.current_industrial(spark, sf_dir),
         fill,
@@ -94,10 +95,7 @@ def telemetry_window_15min(spark, sf_dir):
 
 @query()
 def telemetry_window_rollup(spark, sf_dir):
-    chunks = adapters.telemetry(spark, sf_dir).withColumn(
-        "timestamp_15min", timebase.minute_bucket("timestamp")
-    )
-    return windows.rollup_chunks(chunks)
+    return windows.rollup_chunks(adapters.telemetry_chunks(spark, sf_dir))
 
 
 @query(4)
@@ -159,14 +157,14 @@ def price_describe(spark, sf_dir):
 @query()
 def harmonize_mean_fill(spark, sf_dir):
     return harmonize.join_prices(
-        adapters.bronze_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), "mean"
+        adapters.silver_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), "mean"
     ).select("timestamp_15min", *UNIT, "avg_rms_x", "price_eur_mwh")
 
 
 @query()
 def harmonize_ffill(spark, sf_dir):
     return harmonize.join_prices(
-        adapters.bronze_telemetry(spark, sf_dir), adapters.bronze_prices(spark, sf_dir), "ffill"
+        adapters.silver_telemetry(spark, sf_dir), adapters.bronze_prices(spark, sf_dir), "ffill"
     ).select("timestamp_15min", *UNIT, "avg_rms_x", "price_eur_mwh")
 
 
@@ -317,7 +315,7 @@ def quality_nulls(spark, sf_dir):
 @query()
 def quality_coverage(spark, sf_dir):
     joined = harmonize.join_prices(
-        adapters.bronze_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), None
+        adapters.silver_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), None
     )
     return quality.coverage_report(joined, "price_eur_mwh")
 

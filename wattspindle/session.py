@@ -19,7 +19,8 @@ _SQL_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture costs several driver round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _LOCAL_SETTINGS = {

@@ -64,7 +64,13 @@ def to_console(windows: DataFrame, checkpoint: str) -> DataStreamWriter:
 def to_parquet(
     windows: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = ("machine_id", "operation")
 ) -> DataStreamWriter:
-    """Closed windows only, each exactly once: file sink plus checkpoint."""
+    """Closed windows only, each exactly once: file sink plus checkpoint.
+
+    A unit has one row per window, so gathering each unit in one task cannot
+    overload it and leaves one file per unit and batch.
+    """
+    if by:
+        windows = windows.repartition(*by)
     writer = windows.writeStream.format("parquet").option("path", path)
     if by:
         writer = writer.partitionBy(*by)
