@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from wattspindle.operators import chunking
+from wattspindle.paths import LakePaths
+from wattspindle.plans import lake, marts
+from wattspindle.schemas import BRONZE_INDUSTRIAL, BRONZE_PRICES, SIGNALS
+from wattspindle.sources import messages, readers, sinks
+
+UNIT = ["machine_id", "operation"]
+
+
+@pytest.fixture
+def facts(spark):
+    return spark.range(900).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit("M02")).otherwise(F.lit("M01")).alias("machine_id"),
+        F.concat(F.lit("OP0"), (F.col("id") % 4).cast("string")).alias("operation"),
+    )
+
+
+def test_append_adds_and_overwrite_replaces(spark, facts, tmp_path):
+    for _ in range(2):
+        sinks.append_flat(facts, f"{tmp_path}/a")
+        sinks.append_partitioned(facts, f"{tmp_path}/p", UNIT)
+        sinks.overwrite_flat(facts, f"{tmp_path}/o")
+    counts = [spark.read.parquet(f"{tmp_path}/{d}").count() for d in "apo"]
+    assert counts == [1800, 1800, 900]
+
+
+def test_partition_overwrite_is_idempotent_and_leaves_others(spark, facts, tmp_path):
+    path = f"{tmp_path}/t"
+    sinks.overwrite_partitions(facts, path, UNIT)
+    part = facts.where("machine_id = 'M02' AND operation = 'OP01'").withColumn("id", -F.col("id"))
+    for _ in range(2):
+        sinks.overwrite_partitions(part, path, UNIT)
+    table = spark.read.parquet(path)
+    assert table.count() == 900
+    replaced = table.where("machine_id = 'M02' AND operation = 'OP01'")
+    assert replaced.where("id > 0").count() == 0
+    assert table.where("machine_id = 'M01' AND id < 0").count() == 0
+
+
+def test_compact_write_has_one_small_file_per_unit(spark, facts, tmp_path):
+    path = f"{tmp_path}/c"
+    sinks.write_compact(facts.repartition(16), path, UNIT)
+    assert spark.read.parquet(path).count() == 900
+    files = readers.list_files(spark, path, "*.parquet").count()
+    assert files == facts.select(*UNIT).distinct().count()
+
+
+def test_csv_and_table(spark, facts, tmp_path):
+    sinks.write_csv(facts, f"{tmp_path}/csv")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/csv").columns == facts.columns
+    sinks.save_table(facts, "facts_for_test")
+    sinks.save_table(facts, "facts_for_test")
+    assert spark.table("facts_for_test").count() == 900
+    spark.sql("DROP TABLE facts_for_test")
+
+
+def test_message_round_trip(spark, tmp_path):
+    signals = _signals(spark)
+    blocks = chunking.chunk_signals(signals, 100)
+    sinks.write_messages(messages.encode_blocks(blocks), f"{tmp_path}/m")
+    parsed = messages.parse_messages(spark.read.text(f"{tmp_path}/m"))
+    assert parsed.count() == blocks.count()
+    assert parsed.where("payload IS NULL OR timestamp IS NULL").count() == 0
+
+
+def test_paths():
+    paths = LakePaths("s3a://bucket/lake/")
+    assert paths.bronze("prices") == "s3a://bucket/lake/bronze/prices"
+    assert paths.silver() == "s3a://bucket/lake/silver/harmonized"
+
+
+def _signals(spark):
+    rows = []
+    for run in range(12):
+        samples = [float((i + run) % 5 - 2) for i in range(250)]
+        rows.append(
+            (str(run), f"M0{run % 3 + 1}", f"OP0{run % 2}", dt.datetime(2019, 3 + run % 4, 1),
+             int(run == 5), samples, samples, samples, f"run{run}")
+        )
+    return spark.createDataFrame(rows, SIGNALS)
+
+
+def test_batch_run_builds_every_layer_and_can_be_rerun(spark, tmp_path):
+    prices = spark.createDataFrame(
+        [(dt.datetime(2019, m, 1), 10.0 * m, "EXCHANGE", "DE") for m in (3, 4, 5)], BRONZE_PRICES
+    )
+    index = spark.createDataFrame(
+        [(dt.datetime(2019, m, 1), "DE", 100.0 + m, "S", "U") for m in (3, 4, 5, 6)], BRONZE_INDUSTRIAL
+    )
+    for _ in range(2):
+        paths = lake.run_batch(spark, str(tmp_path), _signals(spark), prices, index)
+    bronze = spark.read.parquet(paths.bronze("telemetry"))
+    silver = spark.read.parquet(paths.silver())
+    daily = spark.read.parquet(paths.mart("machine_daily"))
+    summary = spark.read.parquet(paths.mart("machine_summary"))
+    assert bronze.count() == silver.count() == 12
+    assert silver.where("energy_price_eur_mwh IS NULL OR industrial_production_index IS NULL").count() == 0
+    total = summary.agg(F.sum("total_measurements").alias("n")).first()["n"]
+    assert total == daily.agg(F.sum("total_measurements").alias("n")).first()["n"] == 12
+    assert summary.agg(F.sum("total_anomalies").alias("n")).first()["n"] == 1
+    assert set(marts.DAILY_KEY) < set(daily.columns)
+    assert os.path.isdir(paths.silver() + "/machine_id=M01")
