@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wattspindle.constants import CHUNK_SAMPLES, SAMPLE_RATE_HZ
 from wattspindle.functions import signal, timebase
 from wattspindle.operators.lookups import lookup_join
+from wattspindle.session import materialize_counted
 
 _AXES = ("x", "y", "z")
 
@@ -26,10 +27,10 @@ def _blocks(size: int, rate_hz: int, fields) -> Column:
         first = i * size
         count = F.least(F.lit(size), length - first)
         return F.struct(
-            i.alias("chunk_index"),
+            i.cast("int").alias("chunk_index"),
             (i == last).alias("is_last_chunk"),
             timebase.sample_instant(F.col("base_ts"), first, rate_hz).alias("chunk_ts"),
-            count.alias("sample_count"),
+            count.cast("int").alias("sample_count"),
             *fields(first, count),
         )
 
@@ -128,9 +129,12 @@ def chunk_ordinals(chunks: DataFrame, run: str = "run_id", index: str = "chunk_i
     The last index is pre-aggregated and joined back, so no task holds all
     blocks of a run however long the run is. ``chunks`` is read twice.
     """
-    ends = chunks.groupBy(run).agg(
-        F.max(index).alias("last_index"), F.count(F.lit(1)).alias("n_chunks")
+    ends, rows = materialize_counted(
+        chunks.groupBy(run).agg(
+            F.max(index).alias("last_index"), F.count(F.lit(1)).alias("n_chunks")
+        ),
+        "run-ends",
     )
-    return lookup_join(chunks, ends, run).select(
+    return lookup_join(chunks, ends, run, rows=rows).select(
         chunks["*"], "n_chunks", (F.col(index) == F.col("last_index")).alias("is_last_chunk")
     )

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattspindle.functions import risk, timebase
-from wattspindle.operators.lookups import attach_one_row, lookup_join
+from wattspindle.operators.lookups import lookup_join
 from wattspindle.operators.prices import forward_fill, price_per_bucket
 from wattspindle.schemas import SILVER, conform
-from wattspindle.session import materialize
+from wattspindle.session import materialize_counted
 
 
 def join_prices(telemetry: DataFrame, prices: DataFrame, fill: str | None = "mean") -> DataFrame:
@@ -23,18 +23,15 @@ def join_prices(telemetry: DataFrame, prices: DataFrame, fill: str | None = "mea
         raise ValueError(f"unknown fill: {fill}")
     if fill == "ffill":
         prices = forward_fill(prices)
-    lookup = materialize(price_per_bucket(prices), "bucket-prices")
-    joined = lookup_join(telemetry, lookup, "timestamp_15min")
+    lookup, rows = materialize_counted(price_per_bucket(prices), "bucket-prices")
+    joined = lookup_join(telemetry, lookup, "timestamp_15min", rows=rows)
     if fill != "mean":
         return joined
-    mean = lookup_join(telemetry.select("timestamp_15min"), lookup, "timestamp_15min", "inner").agg(
-        F.avg("price_eur_mwh").alias("mean_price")
-    )
-    return (
-        attach_one_row(joined, mean)
-        .withColumn("price_eur_mwh", F.coalesce("price_eur_mwh", "mean_price"))
-        .drop("mean_price")
+    matched = lookup_join(
+        telemetry.select("timestamp_15min"), lookup, "timestamp_15min", "inner", rows=rows
     )
+    mean = matched.agg(F.avg("price_eur_mwh")).scalar()
+    return joined.withColumn("price_eur_mwh", F.coalesce("price_eur_mwh", mean))
 
 
 def join_index(facts: DataFrame, index: DataFrame, ts: str = "timestamp_15min") -> DataFrame:
@@ -42,9 +39,9 @@ def join_index(facts: DataFrame, index: DataFrame, ts: str = "timestamp_15min")
     monthly = index.groupBy(timebase.month_key("date").alias("month")).agg(
         F.avg("industrial_production_index").alias("industrial_production_index")
     )
-    lookup = materialize(monthly, "monthly-index")
+    lookup, rows = materialize_counted(monthly, "monthly-index")
     keyed = facts.withColumn("month", timebase.month_key(ts))
-    return lookup_join(keyed, lookup, "month").drop("month")
+    return lookup_join(keyed, lookup, "month", rows=rows).drop("month")
 
 
 def enrich(facts: DataFrame) -> DataFrame:

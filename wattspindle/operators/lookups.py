@@ -13,19 +13,21 @@ def lookup_join(
     lookup: DataFrame,
     keys: str | list[str],
     how: str = "left",
+    rows: int | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join ``facts`` with ``lookup``, broadcasting only when a count allows it.
+    """Join ``facts`` with ``lookup``, broadcasting only when its row count allows it.
 
-    Callers pass a lookup that is cheap to count, such as a written table, whose
-    count comes from the file footers. Beyond ``max_rows`` the join shuffles and
+    ``rows`` is the known count of ``lookup``; without it the lookup is counted,
+    so it should be cheap to read. Beyond ``max_rows`` the join shuffles and
     adaptive execution splits the partitions of hot keys on the fact side.
     """
-    if lookup.count() <= max_rows:
+    if (lookup.count() if rows is None else rows) <= max_rows:
         lookup = F.broadcast(lookup)
     return facts.join(lookup, keys, how)
 
 
 def attach_one_row(facts: DataFrame, row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every fact."""
-    return facts.crossJoin(F.broadcast(row))
+    """Attach the columns of a one-row aggregate to every fact, as a scalar subquery."""
+    packed = row.select(F.struct("*").alias("packed")).scalar()
+    return facts.withColumn("_row", packed).select(*facts.columns, "_row.*")

@@ -47,19 +47,19 @@ def exact_quantiles(
         f"""
         WITH given AS (SELECT CAST(`{column}` AS DOUBLE) AS v FROM {{df}}),
         counted AS (SELECT v, count(*) AS n FROM given WHERE v IS NOT NULL GROUP BY v),
-        sketch AS (
-            SELECT percentile_approx(v, array({", ".join(map(str, cuts))}), {_SKETCH_ACCURACY}) AS cuts,
-                   count(v) AS total
-            FROM given),
         zoned AS (
-            SELECT /*+ BROADCAST(sketch) */ v, n, {zone} AS zone FROM counted CROSS JOIN sketch),
+            SELECT v, n, {zone} AS zone
+            FROM (SELECT v, n, (SELECT percentile_approx(v, array({", ".join(map(str, cuts))}),
+                                                         {_SKETCH_ACCURACY}) FROM given) AS cuts
+                  FROM counted)),
         -- At most one row more than there are cuts.
         zones AS (
             SELECT zone, n, sum(n) OVER (ORDER BY zone) - n AS before
             FROM (SELECT zone, sum(n) AS n FROM zoned GROUP BY zone)),
         ranks AS (
             SELECT name, position, stack(2, 'low', floor(position), 'high', ceil(position)) AS (side, rank)
-            FROM (SELECT inline(array({wanted})) FROM sketch)),
+            FROM (SELECT inline(array({wanted})) FROM (SELECT count(v) AS total FROM given))),
+        -- A handful of ranks against a handful of zones.
         targets AS (
             SELECT name, position, side, rank, zone, before
             FROM ranks JOIN zones ON rank >= before AND rank < before + n),

@@ -25,15 +25,22 @@ TABLES = [
 ]
 SIGNAL_CHUNK = 8
 UNIT = ["machine_id", "operation"]
+PEAKS = "max_rms_x max_rms_y max_rms_z"
 
 QUERIES: dict[str, Query] = {}
 
 
-def publish(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Engine-neutral output: rounded doubles, dates as text, zone-less times."""
+def publish(df: DataFrame, digits: int = 6, exact: tuple[str, ...] = ()) -> DataFrame:
+    """Engine-neutral output: rounded doubles, dates as text, zone-less times.
+
+    ``exact`` names doubles that are copied or converted, not computed, and need
+    no rounding.
+    """
 
     def plain(field: T.StructField) -> str:
         name = f"`{field.name}`"
+        if field.name in exact:
+            return name
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             decimal = f"try_cast({name} AS DECIMAL(38, 10))"
             return f"CAST(round({decimal}, {digits}) AS DOUBLE) AS {name}"
@@ -46,10 +53,10 @@ def publish(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.selectExpr(*[plain(field) for field in df.schema.fields])
 
 
-def query(digits: int = 6):
+def query(digits: int = 6, exact: str = ""):
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return publish(build(spark, sf_dir), digits)
+            return publish(build(spark, sf_dir), digits, tuple(exact.split()))
 
         QUERIES[build.__name__] = run
         return build
@@ -88,7 +95,7 @@ def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Windows and prices -----------------------------------------------------------
 
 
-@query()
+@query(exact=PEAKS)
 def telemetry_window_15min(spark, sf_dir):
     return windows.telemetry_windows(adapters.telemetry(spark, sf_dir))
 
@@ -121,12 +128,12 @@ def price_forward_fill_15min(spark, sf_dir):
     return prices.forward_fill(adapters.bronze_prices(spark, sf_dir))
 
 
-@query()
+@query(exact="price_eur_mwh")
 def price_bucket_distinct(spark, sf_dir):
     return prices.distinct_bucket_prices(adapters.price_quotes(spark, sf_dir))
 
 
-@query()
+@query(exact="price_eur_mwh")
 def price_batches_union(spark, sf_dir):
     events = adapters.table(spark, sf_dir, "events")
 
@@ -168,7 +175,7 @@ def harmonize_ffill(spark, sf_dir):
     ).select("timestamp_15min", *UNIT, "avg_rms_x", "price_eur_mwh")
 
 
-@query(2)
+@query(2, exact="avg_rms_x avg_rms_y avg_rms_z")
 def monthly_index_join(spark, sf_dir):
     return harmonize.join_index(
         adapters.telemetry_long(spark, sf_dir), adapters.industrial(spark, sf_dir)
@@ -369,15 +376,17 @@ def signal_features(spark, sf_dir):
     return chunking.signal_features(adapters.signals(spark, sf_dir))
 
 
-@query()
+@query(exact="accel_x accel_y accel_z")
 def signal_samples(spark, sf_dir):
     return chunking.explode_samples(adapters.signals(spark, sf_dir))
 
 
-@query()
+@query(exact="head_0 head_1 head_2")
 def signal_head(spark, sf_dir):
     heads = chunking.signal_head(adapters.signals(spark, sf_dir))
-    first = [F.try_element_at("head_x", F.lit(i + 1)).alias(f"head_{i}") for i in range(3)]
+    first = [
+        F.try_element_at("head_x", F.lit(i + 1)).cast("double").alias(f"head_{i}") for i in range(3)
+    ]
     return heads.select("run_id", "n_samples", *first)
 
 
@@ -516,22 +525,22 @@ def _window_stream(spark: SparkSession, sf_dir: str, slide: str | None = None) -
     return streams.windowed(features, slide=slide)
 
 
-@query()
+@query(exact=PEAKS)
 def stream_window_append(spark, sf_dir):
     return _appended(spark, _window_stream(spark, sf_dir), "stream-append")
 
 
-@query()
+@query(exact=PEAKS)
 def stream_window_update(spark, sf_dir):
     return _updated(spark, _window_stream(spark, sf_dir), "stream-update")
 
 
-@query()
+@query(exact=PEAKS)
 def stream_sliding(spark, sf_dir):
     return _appended(spark, _window_stream(spark, sf_dir, SLIDE), "stream-sliding")
 
 
-@query()
+@query(exact=PEAKS)
 def stream_alerts(spark, sf_dir):
     found = streams.alerts(_window_stream(spark, sf_dir))
     return _appended(spark, found, "stream-alerts")
@@ -540,10 +549,12 @@ def stream_alerts(spark, sf_dir):
 @query()
 def stream_message_windows(spark, sf_dir):
     raw = adapters.message_rows(_event_stream(spark, sf_dir))
-    return _updated(spark, streams.windowed(streams.message_features(raw)), "stream-messages")
+    latest = _updated(spark, streams.windowed(streams.message_features(raw)), "stream-messages")
+    # Groups whose messages all lack a label count as normal.
+    return latest.withColumn("has_anomaly", F.coalesce("has_anomaly", F.lit(0)))
 
 
-@query()
+@query(exact=PEAKS)
 def stream_late_data(spark, sf_dir):
     """Every 50th event arrives after all others, across a restart of the stream."""
     events = adapters.table(spark, sf_dir, "events")

@@ -27,7 +27,7 @@ def write_bronze(
 ) -> None:
     """Recordings to 15-minute telemetry, plus prices and index as given."""
     telemetry = conform(rollup_chunks(chunk_features(signals)), BRONZE_TELEMETRY)
-    sinks.write_compact(telemetry, paths.bronze("telemetry"), BY_UNIT)
+    sinks.write_compact(telemetry, paths.bronze("telemetry"), BY_UNIT, "timestamp_15min")
     sinks.overwrite_flat(conform(prices, BRONZE_PRICES), paths.bronze("prices"))
     sinks.overwrite_flat(conform(index, BRONZE_INDUSTRIAL), paths.bronze("industrial"))
 
@@ -39,7 +39,7 @@ def write_silver(spark: SparkSession, paths: LakePaths, fill: str | None = "mean
         read_parquet(spark, paths.bronze("industrial"), BRONZE_INDUSTRIAL),
         fill,
     )
-    sinks.write_compact(harmonized, paths.silver(), BY_UNIT)
+    sinks.write_compact(harmonized, paths.silver(), BY_UNIT, "timestamp_15min")
 
 
 def write_marts(

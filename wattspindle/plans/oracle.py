@@ -126,7 +126,7 @@ _CTES = {
         SELECT run_id, machine_id, operation, label, filename, CAST(i AS INTEGER) AS chunk_index,
                i = 2 AS is_last_chunk,
                base_ts + to_microseconds(CAST(i * 8 * 500 AS BIGINT)) AS chunk_ts,
-               len(accel_x[i * 8 + 1 : i * 8 + 8]) AS sample_count,
+               CAST(len(accel_x[i * 8 + 1 : i * 8 + 8]) AS INTEGER) AS sample_count,
                accel_x[i * 8 + 1 : i * 8 + 8] AS x, accel_y[i * 8 + 1 : i * 8 + 8] AS y,
                accel_z[i * 8 + 1 : i * 8 + 8] AS z
         FROM signals, (SELECT unnest(range(3)) AS i)""",
@@ -226,8 +226,8 @@ _REPORT_COLUMNS = (
     "@total_energy_cost @avg_power_consumption_overall @avg_industrial_index_overall risk_level"
 )
 _WINDOW_COLUMNS = (
-    "window_start window_end machine_id operation @avg_rms_x @avg_rms_y @avg_rms_z @max_rms_x "
-    "@max_rms_y @max_rms_z has_anomaly n_records"
+    "window_start window_end machine_id operation @avg_rms_x @avg_rms_y @avg_rms_z max_rms_x "
+    "max_rms_y max_rms_z has_anomaly n_records"
 )
 
 
@@ -276,14 +276,14 @@ _add(
 _add(
     "price_bucket_distinct",
     """SELECT DISTINCT time_bucket(INTERVAL '15 minutes', timestamp) AS timestamp_15min,
-              half_up(price_eur_mwh, 6) AS price_eur_mwh FROM quotes""",
+              price_eur_mwh FROM quotes""",
 )
 _add(
     "price_batches_union",
-    """SELECT ts AS timestamp, half_up(value, 6) AS price_eur_mwh, 'VIEWS' AS source, 'DE' AS country_code
+    """SELECT ts AS timestamp, value AS price_eur_mwh, 'VIEWS' AS source, 'DE' AS country_code
        FROM events WHERE event_type = 'view'
        UNION ALL
-       SELECT ts, half_up(value, 6), 'PURCHASES', 'DE' FROM events WHERE event_type = 'purchase'""",
+       SELECT ts, value, 'PURCHASES', 'DE' FROM events WHERE event_type = 'purchase'""",
 )
 _add(
     "price_describe",
@@ -308,8 +308,8 @@ _add(
 _add(
     "monthly_index_join",
     """SELECT l_shipdate AS timestamp_15min, 'M0' || (l_suppkey % 3 + 1) AS machine_id,
-              l_returnflag || l_linestatus AS operation, half_up(l_quantity, 2) AS avg_rms_x,
-              half_up(l_discount * 100, 2) AS avg_rms_y, half_up(l_tax * 100, 2) AS avg_rms_z,
+              l_returnflag || l_linestatus AS operation, l_quantity AS avg_rms_x,
+              l_discount * 100 AS avg_rms_y, l_tax * 100 AS avg_rms_z,
               CAST(l_quantity > 45 AS INTEGER) AS has_anomaly,
               half_up(i.idx, 2) AS industrial_production_index
        FROM lineitem LEFT JOIN index_months i ON date_trunc('month', l_shipdate) = i.month""",
@@ -531,7 +531,7 @@ _TABLE_NAMES = (
 )
 _add(
     "dataset_presence",
-    f"""SELECT DISTINCT table_name AS dataset, 1 AS file_count, TRUE AS present, TRUE AS has_bytes
+    f"""SELECT DISTINCT table_name AS dataset, CAST(1 AS BIGINT) AS file_count, TRUE AS present, TRUE AS has_bytes
         FROM information_schema.tables WHERE table_name IN ({_TABLE_NAMES})
         UNION ALL SELECT 'absent', 0, FALSE, FALSE""",
 )
@@ -574,20 +574,20 @@ _add(
     + ", ".join(f"half_up({_deviation(f'accel_{a}')}, 6) AS std_{a}" for a in "xyz")
     + ", half_up(greatest("
     + ", ".join(f"list_max(list_transform(accel_{a}, lambda v: abs(v::DOUBLE)))" for a in "xyz")
-    + "), 6) AS peak_accel, len(accel_x) AS n_samples FROM signals",
+    + "), 6) AS peak_accel, CAST(len(accel_x) AS INTEGER) AS n_samples FROM signals",
 )
 _add(
     "signal_samples",
     """SELECT run_id, machine_id, operation, label, CAST(i AS INTEGER) AS sample_index,
               base_ts + to_microseconds(CAST(i * 500 AS BIGINT)) AS timestamp,
-              half_up(accel_x[i + 1]::DOUBLE, 6) AS accel_x, half_up(accel_y[i + 1]::DOUBLE, 6) AS accel_y,
-              half_up(accel_z[i + 1]::DOUBLE, 6) AS accel_z
+              accel_x[i + 1]::DOUBLE AS accel_x, accel_y[i + 1]::DOUBLE AS accel_y,
+              accel_z[i + 1]::DOUBLE AS accel_z
        FROM signals, (SELECT unnest(range(21)) AS i)""",
 )
 _add(
     "signal_head",
-    """SELECT run_id, len(accel_x) AS n_samples, half_up(accel_x[1]::DOUBLE, 6) AS head_0,
-              half_up(accel_x[2]::DOUBLE, 6) AS head_1, half_up(accel_x[3]::DOUBLE, 6) AS head_2
+    """SELECT run_id, CAST(len(accel_x) AS INTEGER) AS n_samples, accel_x[1]::DOUBLE AS head_0,
+              accel_x[2]::DOUBLE AS head_1, accel_x[3]::DOUBLE AS head_2
        FROM signals""",
 )
 _add(
@@ -690,7 +690,12 @@ _MESSAGE_FEATURES = """
             sqrt((f * f + f * f + f * f / 4) / 3) AS rms_x, sqrt((f * f / 4 + f * f / 16) / 2) AS rms_y,
             f AS rms_z
      FROM (SELECT *, value::FLOAT::DOUBLE AS f FROM bodies) WHERE sent IS NOT NULL)"""
-_add("stream_message_windows", _select(_WINDOW_COLUMNS, _windows(_MESSAGE_FEATURES)))
+_add(
+    "stream_message_windows",
+    _select(_WINDOW_COLUMNS.replace(" max_", " @max_"), _windows(_MESSAGE_FEATURES)).replace(
+        " has_anomaly,", " coalesce(has_anomaly, 0) AS has_anomaly,", 1
+    ),
+)
 _add(
     "stream_late_data",
     _select(_WINDOW_COLUMNS, _windows("(SELECT * FROM telemetry WHERE event_id % 50 <> 0)"))

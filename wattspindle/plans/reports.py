@@ -217,12 +217,14 @@ def inventory_totals(inventory: DataFrame) -> DataFrame:
 def coverage_matrix(inventory: DataFrame) -> DataFrame:
     """Every machine with every operation, and whether the pair has data.
 
-    The two distinct lists are fleet dimensions; both come from the aggregated
-    inventory, never from the measurements.
+    The operations of the fleet are one array, taken from the aggregated
+    inventory, that every machine spreads into rows.
     """
+    operations = inventory.agg(F.collect_set("operation")).scalar()
     machines = inventory.select("machine_id").distinct()
-    operations = inventory.select("operation").distinct()
-    pairs = machines.crossJoin(operations)
+    pairs = machines.withColumn("all", operations).select(
+        "machine_id", F.explode("all").alias("operation")
+    )
     return pairs.join(inventory, UNIT_KEY, "left").select(
         *UNIT_KEY,
         F.coalesce("total_files", F.lit(0)).alias("total_files"),

@@ -13,13 +13,15 @@ def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to columns. The body is ``payload`` or, in older messages,
     ``data``; malformed text gives NULL columns and a malformed time gives NULL."""
     message = F.from_json(F.col(value).cast("string"), MESSAGE, {"mode": "PERMISSIVE"})
-    return raw.select(message.alias("message")).select(
-        timebase.parse_instant("message.timestamp").alias("timestamp"),
-        "message.source",
-        "message.filename",
-        "message.chunk_index",
-        "message.is_last_chunk",
-        F.coalesce("message.payload", "message.data").alias("payload"),
+    # A generator is evaluated once per row; a plain projection would let the
+    # optimizer parse again in every filter and field that refers to it.
+    return raw.select(F.inline(F.array(message))).select(
+        timebase.parse_instant("timestamp").alias("timestamp"),
+        "source",
+        "filename",
+        "chunk_index",
+        "is_last_chunk",
+        F.coalesce("payload", "data").alias("payload"),
     )
 
 

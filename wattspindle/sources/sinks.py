@@ -29,13 +29,18 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
-def write_compact(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:
+def write_compact(
+    df: DataFrame, path: str, by: list[str], order: str | None = None, mode: str = "overwrite"
+) -> None:
     """Partitioned write with few files per partition value.
 
     The rebalance hint gathers each value's rows, and adaptive execution splits
-    the values that are too large for one task.
+    the values that are too large for one task. ``order`` sorts the rows inside
+    each file, so that range filters on it skip row groups.
     """
     gathered = df.hint("rebalance", *[F.col(c) for c in by])
+    if order:
+        gathered = gathered.sortWithinPartitions(*by, order)
     gathered.write.mode(mode).option("compression", "snappy").partitionBy(*by).parquet(path)
 
 
