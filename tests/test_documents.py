@@ -59,3 +59,12 @@ def test_index_document_filters_country_and_skips_bad_values(spark):
     assert [tuple(r) for r in rows] == [
         (dt.datetime(2019, 2, 1), "DE", 101.5, "STATISTICS", "Index (2015=100)")
     ]
+
+
+def test_price_instants_do_not_depend_on_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows = documents.parse_price_documents(payloads(spark, PRICES)).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert min(r["timestamp"] for r in rows) == dt.datetime(2020, 1, 1, 23)

@@ -89,10 +89,9 @@ def test_period_and_nanos(spark):
     ],
 )
 def test_run_names(spark, path, expected):
-    parts = naming.run_name_parts(F.lit(path))
-    keys = ("machine_id", "operation", "run_id", "base_date")
-    row = spark.range(1).select(*[parts[k].alias(k) for k in keys]).first()
-    assert tuple(row) == expected
+    files = spark.createDataFrame([(path,)], "path string")
+    row = naming.with_run_parts(files).first()
+    assert (row["machine_id"], row["operation"], row["run_id"], row["base_date"]) == expected
 
 
 def test_label_from_path_ignores_case(spark):

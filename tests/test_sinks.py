@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +74,22 @@ def test_message_round_trip(spark, tmp_path):
     assert parsed.where("payload IS NULL OR timestamp IS NULL").count() == 0
 
 
+def test_nanosecond_files_are_read_at_microseconds(spark, tmp_path):
+    stamps = pa.array([1_600_000_000_123_456_789, None], pa.timestamp("ns"))
+    pq.write_table(pa.table({"ts": stamps}), f"{tmp_path}/n.parquet", version="2.6")
+    table = readers.read_nanos_parquet(spark, f"{tmp_path}/n.parquet", "ts")
+    assert dict(table.dtypes)["ts"] == "timestamp_ntz"
+    found = [r["ts"] for r in table.collect()]
+    assert found == [dt.datetime(2020, 9, 13, 12, 26, 40, 123456), None]
+
+
+def test_signal_table_conforms(spark, tmp_path):
+    _signals(spark).withColumn("label", F.col("label").cast("string")).write.parquet(f"{tmp_path}/s")
+    loaded = readers.read_signals(spark, f"{tmp_path}/s")
+    assert dict(loaded.dtypes) == dict(_signals(spark).dtypes)
+    assert loaded.count() == 12
+
+
 def test_paths():
     paths = LakePaths("s3a://bucket/lake/")
     assert paths.bronze("prices") == "s3a://bucket/lake/bronze/prices"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattspindle.constants import ZONE_ALIASES, ZONE_CODES
@@ -10,8 +10,9 @@ from wattspindle.functions.timebase import parse_month_name
 
 # Fixed pattern: machine, month, year, optional operation, optional run, as in
 # M01_Aug_2019_OP00_000, M01_Aug_2019_OP00 and M01_Aug2019_000.
-RUN_NAME = r"^([^_]+)_([A-Za-z]{3})_?(\d{4})(?:_(OP\d+))?(?:_(\d+))?$"
+RUN_NAME = r"^(?:.*/)?([^_/]+)_([A-Za-z]{3})_?(\d{4})(?:_(OP\d+))?(?:_(\d+))?(?:\.[^./]*)?$"
 OPERATION_FOLDER = r"/(OP\d+)/"
+_MARK = "\u0001"
 
 
 def file_stem(path: Column | str) -> Column:
@@ -20,23 +21,31 @@ def file_stem(path: Column | str) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
 
-def run_name_parts(path: Column | str) -> dict[str, Column]:
-    """Parts of a run file name; NULL for parts the name does not carry."""
-    path = F.col(path) if isinstance(path, str) else path
-    stem = file_stem(path)
+def with_run_parts(files: DataFrame, path: str = "path") -> DataFrame:
+    """Add the parts of run file names; NULL for parts a name does not carry.
+
+    The name is matched once per row: the match is kept in a helper column that
+    all parts read.
+    """
+    groups = _MARK + _MARK.join(f"${group}" for group in range(1, 6))
+    matched = files.withColumn(
+        "_parts", F.split(F.regexp_replace(path, RUN_NAME, groups), _MARK)
+    )
+    named = F.size("_parts") == 6
 
     def part(group: int) -> Column:
-        return F.nullif(F.regexp_extract(stem, RUN_NAME, group), F.lit(""))
+        return F.when(named, F.nullif(F.element_at("_parts", group + 1), F.lit("")))
 
     folder = F.nullif(F.regexp_extract(path, OPERATION_FOLDER, 1), F.lit(""))
-    return {
-        "machine_id": part(1),
-        "month_name": part(2),
-        "year": part(3),
-        "operation": F.coalesce(part(4), F.when(part(1).isNotNull(), folder)),
-        "run_id": part(5),
-        "base_date": parse_month_name(part(2), part(3)),
-    }
+    return matched.select(
+        *files.columns,
+        part(1).alias("machine_id"),
+        part(2).alias("month_name"),
+        part(3).alias("year"),
+        F.coalesce(part(4), F.when(named, folder)).alias("operation"),
+        part(5).alias("run_id"),
+        parse_month_name(part(2), part(3)).alias("base_date"),
+    )
 
 
 def label_from_path(path: Column | str) -> Column:

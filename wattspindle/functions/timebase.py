@@ -56,6 +56,11 @@ def market_wall_clock(ts: Column | str, zone: str = MARKET_TIMEZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _column(ts).cast("timestamp_ntz"))
 
 
+def utc_wall_clock(instant: Column | str) -> Column:
+    """An instant as zone-less UTC time, whatever the session zone is."""
+    return F.convert_timezone(None, F.lit("UTC"), _column(instant))
+
+
 def parse_instant(text: Column | str, pattern: str | None = None) -> Column:
     """ISO-8601 text to a timestamp; malformed text gives NULL."""
     if pattern is None:
@@ -77,4 +82,4 @@ def parse_period(text: Column | str) -> Column:
 def micros_from_nanos(nanos: Column | str) -> Column:
     """Nanosecond ticks to a zone-less microsecond timestamp."""
     micros = F.call_function("div", _column(nanos), F.lit(1000))
-    return F.timestamp_micros(micros).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))

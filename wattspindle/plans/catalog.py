@@ -400,9 +400,8 @@ def chunk_ordinals(spark, sf_dir):
 
 @query()
 def filename_parse(spark, sf_dir):
-    files = adapters.run_files(spark, sf_dir)
-    parts = [column.alias(name) for name, column in naming.run_name_parts("path").items()]
-    return files.select("event_id", *parts, naming.label_from_path("path").alias("label"))
+    parsed = naming.with_run_parts(adapters.run_files(spark, sf_dir))
+    return parsed.select("*", naming.label_from_path("path").alias("label")).drop("path")
 
 
 @query()
@@ -475,7 +474,8 @@ def local_time_shift(spark, sf_dir):
 
 @query()
 def nanos_to_micros(spark, sf_dir):
-    ticks = F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + F.col("event_id") % 1000
+    instant = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
+    ticks = F.unix_micros(instant) * 1000 + F.col("event_id") % 1000
     return adapters.table(spark, sf_dir, "events").select(
         "event_id", timebase.micros_from_nanos(ticks).alias("ts_micros")
     )

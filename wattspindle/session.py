@@ -20,6 +20,8 @@ _SQL_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Nanosecond timestamps load as integers and are converted on read.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     # Call-site capture costs several driver round trips per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

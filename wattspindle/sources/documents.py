@@ -52,7 +52,7 @@ def parse_price_documents(documents: DataFrame, payload: str = "payload") -> Dat
     start = timebase.parse_instant(F.col("period.timeInterval.start"), _INTERVAL_START)
     return (
         periods.select(
-            start.cast("timestamp_ntz").alias("start"),
+            timebase.utc_wall_clock(start).alias("start"),
             F.col("period.resolution").alias("resolution"),
             F.explode("period.Point").alias("point"),
         )

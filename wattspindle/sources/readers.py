@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattspindle.constants import MAX_OFFSETS_PER_TRIGGER
+from wattspindle.functions.timebase import micros_from_nanos
 from wattspindle.schemas import SIGNALS, conform
 
 
@@ -17,9 +18,10 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_nanos_parquet(spark: SparkSession, path: str, ts: str) -> DataFrame:
-    """A Parquet file whose ``ts`` column holds nanosecond ticks as integers."""
-    from wattspindle.functions.timebase import micros_from_nanos
+    """A Parquet file whose ``ts`` column is in nanoseconds, as other writers leave it.
 
+    Relies on the session loading such columns as integers, as ours does.
+    """
     return spark.read.parquet(path).withColumn(ts, micros_from_nanos(ts))
 
 
