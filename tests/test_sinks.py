@@ -127,3 +127,24 @@ def test_batch_run_builds_every_layer_and_can_be_rerun(spark, tmp_path):
     assert summary.agg(F.sum("total_anomalies").alias("n")).first()["n"] == 1
     assert set(marts.DAILY_KEY) < set(daily.columns)
     assert os.path.isdir(paths.silver() + "/machine_id=M01")
+
+
+def test_append_batch_adds_every_time_and_price_windows_replace(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    noon = dt.datetime(2020, 1, 1, 12)
+    features = spark.createDataFrame(
+        [(noon, "M01", "OP00", 1.0, 1.0, 1.0, 0), (noon, "M02", "OP00", 1.0, 1.0, 1.0, 1)],
+        "timestamp timestamp_ntz, machine_id string, operation string, rms_x double, rms_y double, "
+        "rms_z double, label int",
+    )
+    quotes = spark.createDataFrame([(noon, 10.005, "EXCHANGE", "DE")], BRONZE_PRICES)
+    for _ in range(2):
+        lake.append_batch(paths, features, quotes)
+        lake.write_price_windows(quotes, paths.bronze("price_windows"))
+    assert spark.read.parquet(paths.bronze("features")).count() == 4
+    assert spark.read.parquet(paths.bronze("price_batches")).count() == 2
+    harmonized = spark.read.parquet(paths.bronze("harmonized"))
+    assert harmonized.count() == 4
+    assert {r["price_eur_mwh"] for r in harmonized.collect()} == {10.005}
+    windows = spark.read.parquet(paths.bronze("price_windows")).collect()
+    assert [(r["timestamp"], r["price_eur_mwh"]) for r in windows] == [(noon, 10.01)]

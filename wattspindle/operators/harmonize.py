@@ -34,6 +34,12 @@ def join_prices(telemetry: DataFrame, prices: DataFrame, fill: str | None = "mea
     return joined.withColumn("price_eur_mwh", F.coalesce("price_eur_mwh", mean))
 
 
+def harmonize_windows(windows: DataFrame, prices: DataFrame, fill: str | None = "ffill") -> DataFrame:
+    """Attach prices to window aggregates by the start of their window."""
+    keyed = windows.withColumnRenamed("window_start", "timestamp_15min")
+    return join_prices(keyed, prices, fill).withColumnRenamed("timestamp_15min", "window_start")
+
+
 def join_index(facts: DataFrame, index: DataFrame, ts: str = "timestamp_15min") -> DataFrame:
     """Attach the monthly production index; one value per month, so no row is added."""
     monthly = index.groupBy(timebase.month_key("date").alias("month")).agg(

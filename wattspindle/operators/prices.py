@@ -39,18 +39,24 @@ def _bounds(prices: DataFrame) -> DataFrame:
     )
 
 
-def price_spine(prices: DataFrame, fallback: float = FALLBACK_PRICE) -> DataFrame:
-    """Every hour of each country's period; hours without a quote get the fallback
-    price and a source that says so. ``prices`` is hourly and read twice."""
+def price_spine(prices: DataFrame, fallback: float | None = FALLBACK_PRICE) -> DataFrame:
+    """Every hour of each country's period, also the hours without a quote.
+
+    Those hours get the fallback price and a source that says so, or stay NULL
+    when ``fallback`` is None. ``prices`` is hourly and read more than once.
+    """
     bounds = _bounds(prices)
     spine = time_spine(bounds, F.col("_min"), F.col("_max"), 60, "timestamp")
-    return lookup_join(
+    hours = lookup_join(
         spine.select("country_code", "timestamp"), prices, ["country_code", "timestamp"]
-    ).select(
-        "timestamp",
-        "country_code",
-        F.coalesce("price_eur_mwh", F.lit(float(fallback))).alias("price_eur_mwh"),
-        F.coalesce("source", F.lit(FALLBACK_SOURCE)).alias("source"),
+    ).select("timestamp", "country_code", "price_eur_mwh", "source")
+    if fallback is None:
+        return hours
+    return hours.withColumns(
+        {
+            "price_eur_mwh": F.coalesce("price_eur_mwh", F.lit(float(fallback))),
+            "source": F.coalesce("source", F.lit(FALLBACK_SOURCE)),
+        }
     )
 
 

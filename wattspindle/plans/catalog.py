@@ -123,6 +123,11 @@ def price_spine_fallback(spark, sf_dir):
     return prices.price_spine(adapters.bronze_prices(spark, sf_dir))
 
 
+@query(4)
+def price_spine_gaps(spark, sf_dir):
+    return prices.price_spine(adapters.bronze_prices(spark, sf_dir), fallback=None)
+
+
 @query(4)
 def price_forward_fill_15min(spark, sf_dir):
     return prices.forward_fill(adapters.bronze_prices(spark, sf_dir))
@@ -175,6 +180,14 @@ def harmonize_ffill(spark, sf_dir):
     ).select("timestamp_15min", *UNIT, "avg_rms_x", "price_eur_mwh")
 
 
+@query(exact=PEAKS)
+def harmonize_windows(spark, sf_dir):
+    return harmonize.harmonize_windows(
+        windows.telemetry_windows(adapters.telemetry(spark, sf_dir)),
+        adapters.bronze_prices(spark, sf_dir),
+    )
+
+
 @query(2, exact="avg_rms_x avg_rms_y avg_rms_z")
 def monthly_index_join(spark, sf_dir):
     return harmonize.join_index(

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wattspindle.functions.risk import half_up
 from wattspindle.operators.chunking import chunk_features
-from wattspindle.operators.harmonize import silver
-from wattspindle.operators.windows import rollup_chunks
+from wattspindle.operators.harmonize import harmonize_windows, silver
+from wattspindle.operators.windows import first_price_per_window, rollup_chunks, telemetry_windows
 from wattspindle.paths import LakePaths
 from wattspindle.plans import marts
 from wattspindle.schemas import (
@@ -71,3 +73,19 @@ def run_batch(
     write_silver(spark, paths, fill)
     write_marts(spark, paths, first, last)
     return paths
+
+
+def append_batch(
+    paths: LakePaths, features: DataFrame, prices: DataFrame, fill: str | None = "ffill"
+) -> None:
+    """Add one batch of feature rows, prices and harmonised windows to bronze."""
+    sinks.append_partitioned(features, paths.bronze("features"), ["machine_id"])
+    sinks.append_flat(prices, paths.bronze("price_batches"))
+    harmonized = harmonize_windows(telemetry_windows(features), prices, fill)
+    sinks.append_partitioned(harmonized, paths.bronze("harmonized"), BY_UNIT)
+
+
+def write_price_windows(quotes: DataFrame, path: str) -> None:
+    """Quotes at two decimals to the first price of every 15-minute window."""
+    rounded = quotes.withColumn("price_eur_mwh", half_up(F.col("price_eur_mwh"), 2))
+    sinks.overwrite_flat(first_price_per_window(rounded), path)

@@ -269,6 +269,14 @@ _add(
               FROM hourly) s
         LEFT JOIN hourly h ON s.timestamp = h.timestamp""",
 )
+_add(
+    "price_spine_gaps",
+    """SELECT s.timestamp, 'DE' AS country_code, half_up(h.price_eur_mwh, 4) AS price_eur_mwh,
+              CASE WHEN h.timestamp IS NOT NULL THEN 'EXCHANGE' END AS source
+       FROM (SELECT unnest(generate_series(min(timestamp), max(timestamp), INTERVAL '1 hour')) AS timestamp
+             FROM hourly) s
+       LEFT JOIN hourly h ON s.timestamp = h.timestamp""",
+)
 _add(
     "price_forward_fill_15min",
     "SELECT timestamp, 'DE' AS country_code, half_up(price_eur_mwh, 4) AS price_eur_mwh FROM ffill",
@@ -305,6 +313,13 @@ _add(
         "(SELECT b.*, f.price_eur_mwh FROM bronze b LEFT JOIN ffill f ON b.timestamp_15min = f.timestamp)",
     ),
 )
+_add(
+    "harmonize_windows",
+    _select(
+        f"{_WINDOW_COLUMNS} @price_eur_mwh",
+        f"{_windows('telemetry')} w LEFT JOIN ffill f ON w.window_start = f.timestamp",
+    ),
+)
 _add(
     "monthly_index_join",
     """SELECT l_shipdate AS timestamp_15min, 'M0' || (l_suppkey % 3 + 1) AS machine_id,
