@@ -54,6 +54,12 @@ def test_forward_fill_mode_leaves_no_quarter_hour_to_the_mean(spark):
     assert prices_by_slot(joined) == {at(0): 10.0, at(0, 45): 10.0, at(1, 15): 40.0}
 
 
+def test_forward_fill_is_an_as_of_join_at_both_ends(spark):
+    facts = telemetry(spark, at(0, 45), at(1), at(9, day=5))
+    joined = harmonize.join_prices(facts, quotes(spark, (at(1), 10.0), (at(3), 40.0)), "ffill")
+    assert prices_by_slot(joined) == {at(0, 45): None, at(1): 10.0, at(9, day=5): 40.0}
+
+
 def test_two_prices_in_one_bucket_add_no_rows(spark):
     facts = telemetry(spark, at(0), at(1))
     two = quotes(spark, (at(0), 10.0), (at(0, 5), 30.0), (at(1), 5.0))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattspindle.functions import risk, timebase
-from wattspindle.operators.lookups import lookup_join
+from wattspindle.operators.lookups import attach_one_row, lookup_join
 from wattspindle.operators.prices import forward_fill, price_per_bucket
 from wattspindle.schemas import SILVER, conform
 from wattspindle.session import materialize_counted
@@ -25,8 +25,16 @@ def join_prices(telemetry: DataFrame, prices: DataFrame, fill: str | None = "mea
         prices = forward_fill(prices)
     lookup, rows = materialize_counted(price_per_bucket(prices), "bucket-prices")
     joined = lookup_join(telemetry, lookup, "timestamp_15min", rows=rows)
-    if fill != "mean":
-        return joined
+    if fill == "mean":
+        return _fill_with_mean(joined, telemetry, lookup, rows)
+    if fill == "ffill":
+        return _carry_last_price(joined, lookup)
+    return joined
+
+
+def _fill_with_mean(
+    joined: DataFrame, telemetry: DataFrame, lookup: DataFrame, rows: int
+) -> DataFrame:
     matched = lookup_join(
         telemetry.select("timestamp_15min"), lookup, "timestamp_15min", "inner", rows=rows
     )
@@ -34,6 +42,20 @@ def join_prices(telemetry: DataFrame, prices: DataFrame, fill: str | None = "mea
     return joined.withColumn("price_eur_mwh", F.coalesce("price_eur_mwh", mean))
 
 
+def _carry_last_price(joined: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Telemetry after the last quoted slot keeps the last price."""
+    close = lookup.agg(
+        F.max("timestamp_15min").alias("last_slot"),
+        F.max_by("price_eur_mwh", "timestamp_15min").alias("last_price"),
+    )
+    carried = F.when(F.col("timestamp_15min") > F.col("last_slot"), F.col("last_price"))
+    return (
+        attach_one_row(joined, close)
+        .withColumn("price_eur_mwh", F.coalesce("price_eur_mwh", carried))
+        .drop("last_slot", "last_price")
+    )
+
+
 def harmonize_windows(windows: DataFrame, prices: DataFrame, fill: str | None = "ffill") -> DataFrame:
     """Attach prices to window aggregates by the start of their window."""
     keyed = windows.withColumnRenamed("window_start", "timestamp_15min")

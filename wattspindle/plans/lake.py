@@ -18,10 +18,13 @@ from wattspindle.schemas import (
     SILVER,
     conform,
 )
+from wattspindle.session import setting
 from wattspindle.sources import sinks
 from wattspindle.sources.readers import read_parquet
 
 BY_UNIT = ["machine_id", "operation"]
+BATCH_ROWS_KEY = "spark.sql.parquet.columnarReaderBatchSize"
+RECORDINGS_PER_BATCH = "32"
 
 
 def write_bronze(
@@ -29,7 +32,10 @@ def write_bronze(
 ) -> None:
     """Recordings to 15-minute telemetry, plus prices and index as given."""
     telemetry = conform(rollup_chunks(chunk_features(signals)), BRONZE_TELEMETRY)
-    sinks.write_compact(telemetry, paths.bronze("telemetry"), BY_UNIT, "timestamp_15min")
+    # One recording holds 100,000 samples and more per axis. The scan decodes
+    # this many rows at a time, so the default of 4096 would need gigabytes.
+    with setting(signals.sparkSession, BATCH_ROWS_KEY, RECORDINGS_PER_BATCH):
+        sinks.write_compact(telemetry, paths.bronze("telemetry"), BY_UNIT, "timestamp_15min")
     sinks.overwrite_flat(conform(prices, BRONZE_PRICES), paths.bronze("prices"))
     sinks.overwrite_flat(conform(index, BRONZE_INDUSTRIAL), paths.bronze("industrial"))
 

@@ -310,14 +310,14 @@ _add(
     "harmonize_ffill",
     _select(
         f"{_KEY} @avg_rms_x @price_eur_mwh",
-        "(SELECT b.*, f.price_eur_mwh FROM bronze b LEFT JOIN ffill f ON b.timestamp_15min = f.timestamp)",
+        "(SELECT b.*, h.price_eur_mwh FROM bronze b ASOF LEFT JOIN hourly h ON b.timestamp_15min >= h.timestamp)",
     ),
 )
 _add(
     "harmonize_windows",
     _select(
         f"{_WINDOW_COLUMNS} @price_eur_mwh",
-        f"{_windows('telemetry')} w LEFT JOIN ffill f ON w.window_start = f.timestamp",
+        f"{_windows('telemetry')} w ASOF LEFT JOIN hourly h ON w.window_start >= h.timestamp",
     ),
 )
 _add(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,7 @@ _LOCAL_SETTINGS = {
 }
 
 _CLUSTER_SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.executor.memory": "8g",
     "spark.executor.cores": "4",
     # AQE merges small shuffle partitions, so start wide.
@@ -45,10 +48,16 @@ _CLUSTER_SETTINGS = {
 }
 
 
+# Adaptive execution does not merge the partitions of stateful streams, and each
+# one commits its state in every batch, so a stream wants fewer.
+_STREAM_SETTINGS = {"spark.sql.shuffle.partitions": "400"}
+
+
 def create_session(
     app_name: str = "wattspindle",
     local: bool = True,
     cores: int | str = "*",
+    streaming: bool = False,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Build (or get) a session. Callers own it; nothing here ever stops one."""
@@ -59,6 +68,7 @@ def create_session(
         settings.update(_LOCAL_SETTINGS)
     else:
         settings.update(_CLUSTER_SETTINGS)
+        settings.update(_STREAM_SETTINGS if streaming else {})
     settings.update(extra or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -67,6 +77,20 @@ def create_session(
     return session
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs that run inside the block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's checkpoint folder.
 
