@@ -81,6 +81,16 @@ def test_spine_flags_fallback_prices(spark):
     }
 
 
+def test_spine_of_a_fixed_period_needs_no_quotes(spark):
+    bounds = prices.period_bounds(spark, ["DE", "FR"], "2020-01-01", "2020-01-03")
+    rows = prices.price_spine(quotes(spark, (at(5), 7.0)), bounds=bounds).collect()
+    assert len(rows) == 2 * 49
+    assert {(r["country_code"], r["price_eur_mwh"]) for r in rows} == {
+        ("DE", 7.0), ("DE", 50.0), ("FR", 50.0),
+    }
+    assert sum(r["source"] == "MOCK" for r in rows) == 97
+
+
 def test_silver_schema_cost_and_row_count(spark):
     facts = telemetry(spark, at(0), at(0, 15), at(1))
     index = spark.createDataFrame(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wattspindle.operators import windows
 from wattspindle.plans import marts, reports
-from wattspindle.schemas import SILVER
+from wattspindle.schemas import DAILY_METRICS, MACHINE_DAILY, MACHINE_SUMMARY, SILVER
 
 
 def silver_row(ts, x=1.0, bad=False, price=10.0, power=1.0, machine="M01", op="OP00"):
@@ -119,3 +119,14 @@ def test_approximate_percentiles_are_opt_in(spark):
 
 def test_load_time_is_filled(spark):
     assert marts.with_load_time(spark.range(1)).first()["loaded_at"] is not None
+
+
+def test_mart_schemas_are_as_declared(spark):
+    def typed(struct):
+        return [(f.name, f.dataType) for f in struct.fields]
+
+    daily = marts.daily_metrics(silver(spark, [silver_row(DAY)]))
+    facts = marts.with_load_time(marts.daily_facts(daily), "created_at")
+    assert typed(daily.schema) == typed(DAILY_METRICS)
+    assert typed(facts.schema) == typed(MACHINE_DAILY)
+    assert typed(marts.machine_summary(facts).schema) == typed(MACHINE_SUMMARY)

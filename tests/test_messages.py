@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from wattspindle.schemas import STREAM_FEATURES, STREAM_WINDOWS
 from wattspindle.sources import messages
 from wattspindle.streaming import streams
 
@@ -63,3 +64,13 @@ def test_features_of_every_message_form(spark):
     assert (rows["f"]["rms_z"], rows["f"]["peak_accel"], rows["f"]["n_samples"]) == (0.0, 4.0, 2)
     assert (rows["p"]["operation"], rows["p"]["run_id"]) == (None, None)
     assert rows["p"]["processed_at"] is not None
+
+
+def test_stream_schemas_are_as_declared(spark):
+    def typed(struct):
+        return [(f.name, f.dataType) for f in struct.fields]
+
+    features = streams.message_features(raw(spark, FULL))
+    windows = streams.with_processing_time(streams.windowed(features))
+    assert typed(features.schema) == typed(STREAM_FEATURES)
+    assert typed(windows.schema) == typed(STREAM_WINDOWS)

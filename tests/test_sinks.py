@@ -56,6 +56,15 @@ def test_compact_write_has_one_small_file_per_unit(spark, facts, tmp_path):
     assert files == facts.select(*UNIT).distinct().count()
 
 
+def test_full_rewrite_leaves_no_stale_partitions(spark, facts, tmp_path):
+    path = f"{tmp_path}/f"
+    sinks.write_compact(facts, path, UNIT, "id")
+    sinks.write_compact(facts.where("machine_id = 'M01'"), path, UNIT, "id")
+    kept = spark.read.parquet(path)
+    assert kept.select("machine_id").distinct().count() == 1
+    assert kept.count() == 600
+
+
 def test_csv_and_table(spark, facts, tmp_path):
     sinks.write_csv(facts, f"{tmp_path}/csv")
     assert spark.read.option("header", True).csv(f"{tmp_path}/csv").columns == facts.columns

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -35,18 +35,32 @@ def time_spine(bounds: DataFrame, first: Column, last: Column, minutes: int, nam
 
 def _bounds(prices: DataFrame) -> DataFrame:
     return prices.groupBy("country_code").agg(
-        F.min("timestamp").alias("_min"), F.max("timestamp").alias("_max")
+        F.min("timestamp").alias("first"), F.max("timestamp").alias("last")
     )
 
 
-def price_spine(prices: DataFrame, fallback: float | None = FALLBACK_PRICE) -> DataFrame:
+def period_bounds(spark: SparkSession, countries: list[str], first: str, last: str) -> DataFrame:
+    """The same fixed period for the given countries, as ``price_spine`` takes it."""
+    return spark.range(1).select(
+        F.explode(F.array(*[F.lit(c) for c in countries])).alias("country_code"),
+        F.lit(first).cast("timestamp_ntz").alias("first"),
+        F.lit(last).cast("timestamp_ntz").alias("last"),
+    )
+
+
+def price_spine(
+    prices: DataFrame,
+    fallback: float | None = FALLBACK_PRICE,
+    bounds: DataFrame | None = None,
+) -> DataFrame:
     """Every hour of each country's period, also the hours without a quote.
 
     Those hours get the fallback price and a source that says so, or stay NULL
-    when ``fallback`` is None. ``prices`` is hourly and read more than once.
+    when ``fallback`` is None. The period is the quoted one unless ``bounds``
+    gives another. ``prices`` is hourly and read more than once.
     """
-    bounds = _bounds(prices)
-    spine = time_spine(bounds, F.col("_min"), F.col("_max"), 60, "timestamp")
+    bounds = _bounds(prices) if bounds is None else bounds
+    spine = time_spine(bounds, F.col("first"), F.col("last"), 60, "timestamp")
     hours = lookup_join(
         spine.select("country_code", "timestamp"), prices, ["country_code", "timestamp"]
     ).select("timestamp", "country_code", "price_eur_mwh", "source")
@@ -70,8 +84,8 @@ def forward_fill(prices: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
     quotes = prices.groupBy(
         "country_code", timebase.minute_bucket("timestamp", minutes).alias("timestamp")
     ).agg(F.avg("price_eur_mwh").alias("price_eur_mwh"))
-    last_slot = F.col("_max") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(60 - minutes))
-    spine = time_spine(_bounds(quotes), F.col("_min"), last_slot, minutes, "timestamp")
+    last_slot = F.col("last") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(60 - minutes))
+    spine = time_spine(_bounds(quotes), F.col("first"), last_slot, minutes, "timestamp")
     slots = lookup_join(
         spine.select("country_code", "timestamp"), quotes, ["country_code", "timestamp"]
     ).withColumn("day", F.col("timestamp").cast("date"))

@@ -15,6 +15,9 @@ from wattspindle.schemas import (
     BRONZE_INDUSTRIAL,
     BRONZE_PRICES,
     BRONZE_TELEMETRY,
+    DAILY_METRICS,
+    MACHINE_DAILY,
+    MACHINE_SUMMARY,
     SILVER,
     conform,
 )
@@ -55,12 +58,13 @@ def write_marts(
 ) -> None:
     """Each model reads the written table of the one before."""
     staged = marts.stage(read_parquet(spark, paths.silver(), SILVER), first, last)
-    sinks.overwrite_flat(marts.daily_metrics(staged), paths.mart("daily_metrics"))
-    daily = read_parquet(spark, paths.mart("daily_metrics"))
-    facts = marts.with_load_time(marts.daily_facts(daily), "created_at")
-    sinks.overwrite_flat(facts, paths.mart("machine_daily"))
-    summary = marts.machine_summary(read_parquet(spark, paths.mart("machine_daily")))
-    sinks.overwrite_flat(summary, paths.mart("machine_summary"))
+    daily_path, facts_path = paths.mart("daily_metrics"), paths.mart("machine_daily")
+    sinks.overwrite_flat(conform(marts.daily_metrics(staged), DAILY_METRICS), daily_path)
+    facts = marts.daily_facts(read_parquet(spark, daily_path, DAILY_METRICS))
+    stamped = marts.with_load_time(facts, "created_at")
+    sinks.overwrite_flat(conform(stamped, MACHINE_DAILY), facts_path)
+    summary = marts.machine_summary(read_parquet(spark, facts_path, MACHINE_DAILY))
+    sinks.overwrite_flat(conform(summary, MACHINE_SUMMARY), paths.mart("machine_summary"))
 
 
 def run_batch(
@@ -73,7 +77,7 @@ def run_batch(
     last: str = marts.STAGE_TO,
     fill: str | None = "mean",
 ) -> LakePaths:
-    """All layers, in order. A rerun replaces the same partitions and tables."""
+    """All layers, in order. A rerun replaces every table."""
     paths = LakePaths(root)
     write_bronze(paths, signals, prices, index)
     write_silver(spark, paths, fill)

@@ -50,6 +50,38 @@ SILVER = layer_schema(
     "estimated_power_kwh:double energy_cost_eur:double anomaly_risk_score:double"
 )
 
+STREAM_FEATURES = layer_schema(
+    "timestamp:timestamp filename:string machine_id:string operation:string run_id:string "
+    "label:int sampling_rate_hz:int rms_x:double rms_y:double rms_z:double peak_accel:double "
+    "n_samples:int processed_at:timestamp"
+)
+STREAM_WINDOWS = layer_schema(
+    "window_start:timestamp window_end:timestamp machine_id:string operation:string "
+    "avg_rms_x:double avg_rms_y:double avg_rms_z:double max_rms_x:double max_rms_y:double "
+    "max_rms_z:double has_anomaly:int n_records:long aggregated_at:timestamp"
+)
+_DAILY = (
+    "measurement_date:date machine_id:string operation:string total_measurements:long "
+    "anomaly_count:long anomaly_rate_pct:double avg_vibration_x:double avg_vibration_y:double "
+    "avg_vibration_z:double max_vibration_x:double max_vibration_y:double max_vibration_z:double "
+    "vibration_magnitude:double avg_energy_price:double min_energy_price:double "
+    "max_energy_price:double daily_energy_cost:double avg_power_consumption:double "
+    "avg_industrial_index:double avg_anomaly_risk:double"
+)
+DAILY_METRICS = layer_schema(_DAILY)
+MACHINE_DAILY = layer_schema(
+    f"{_DAILY} machine_health_status:string vibration_stability:string cost_per_kwh:double "
+    "created_at:timestamp"
+)
+MACHINE_SUMMARY = layer_schema(
+    "machine_id:string operation:string first_measurement:date last_measurement:date "
+    "days_with_data:long total_measurements:long total_anomalies:long overall_anomaly_rate:double "
+    "overall_avg_vibration_x:double overall_avg_vibration_y:double overall_avg_vibration_z:double "
+    "peak_vibration_x:double peak_vibration_y:double peak_vibration_z:double "
+    "avg_vibration_magnitude:double avg_energy_price_overall:double total_energy_cost:double "
+    "avg_power_consumption_overall:double avg_industrial_index_overall:double risk_level:string"
+)
+
 # One message schema that covers the stream form, the producer form (chunk
 # position, fewer payload fields) and the older form with the body under ``data``.
 MESSAGE_BODY = layer_schema(

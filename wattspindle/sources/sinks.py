@@ -32,7 +32,8 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
 def write_compact(
     df: DataFrame, path: str, by: list[str], order: str | None = None, mode: str = "overwrite"
 ) -> None:
-    """Partitioned write with few files per partition value.
+    """Partitioned write with few files per partition value; overwriting replaces
+    the whole table.
 
     The rebalance hint gathers each value's rows, and adaptive execution splits
     the values that are too large for one task. ``order`` sorts the rows inside
@@ -41,7 +42,13 @@ def write_compact(
     gathered = df.hint("rebalance", *[F.col(c) for c in by])
     if order:
         gathered = gathered.sortWithinPartitions(*by, order)
-    gathered.write.mode(mode).option("compression", "snappy").partitionBy(*by).parquet(path)
+    (
+        gathered.write.mode(mode)
+        .option("compression", "snappy")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*by)
+        .parquet(path)
+    )
 
 
 def write_csv(df: DataFrame, path: str) -> None:

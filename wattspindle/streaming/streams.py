@@ -85,7 +85,8 @@ def to_upserts(windows: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        gathered = batch.repartition("machine_id", "operation")
+        gathered.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
         windows.writeStream.foreachBatch(save)
