@@ -7,8 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -117,13 +116,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     scan only the columns they need instead of recomputing it, and a lost
     executor costs a re-read instead of a re-run of the whole lineage.
     """
-    return materialize_counted(df, name)[0]
+    spark = df.sparkSession
+    path = new_scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """``materialize`` that also returns the row count, observed while writing."""
-    spark = df.sparkSession
-    path = new_scratch_path(spark, name)
-    written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), written.get["rows"]
+    """``materialize`` that also returns the row count, taken from the file footers."""
+    table = materialize(df, name)
+    return table, table.count()
