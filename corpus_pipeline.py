@@ -3,16 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wattspindle.llm import simhash
-from wattspindle.llm.common import Table
+from wattspindle.llm import langid, mixing, packing, simhash, substring_dedup
+from wattspindle.llm.common import Table, ship_code
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or with nothing in common with any learned language, go.
+
+    Where nothing can be learned, because no row has a language, none are judged by it.
+    """
+    profiles = langid.learn(docs)
+    found = langid.identify(docs, profiles)
+    known = F.col("score") > 0 if profiles.languages else F.lit(True)
+    return found.where(known).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one with the smallest id."""
     return simhash.keep_one(docs)
 
 
-STAGES = [("simhash_near_dedup", near_dedup)]
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of repeated windows go; ``n_chars`` follows the text where it changed."""
+    found = substring_dedup.remove_repeats(docs)
+    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: not at all, once or twice."""
+    return mixing.mixed(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of each piece of each document in sequences of fixed length."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language),
+    ("simhash_near_dedup", near_dedup),
+    ("substring_dedup", repeats),
+    ("mixing", mix),
+    ("best_fit_packing", sequences),
+]
 
 #: Fingerprints, profiles and tokens have no SQL form; tests compare with plain Python.
 ORACLE_SQL = None
@@ -20,6 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
+    ship_code(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = Table(stage(spark, docs, sf_dir), name).df

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import math
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -45,8 +48,29 @@ class Table:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def text_bytes(docs: DataFrame, text: str = "text") -> int:
-    return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Let executors import this package, wherever the driver has it from; once a session.
+
+    The package's sources go as one archive to the shared folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parents[1]
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(top.rglob("*.py")):
+            packed.write(source, f"{top.name}/{source.relative_to(top)}")
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/llm/code-{uuid.uuid4().hex}.zip")
+    store = path.getFileSystem(context._jsc.hadoopConfiguration())
+    out = store.create(path)
+    out.write(bytearray(archive.getvalue()))
+    out.close()
+    context.addPyFile(store.makeQualified(path).toString())
+    _shipped.add(context.applicationId)
 
 
 def partitions(spark: SparkSession, amount: float, per_partition: float) -> int:
@@ -89,14 +113,15 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator
         yield batch.slice(begin)
 
 
-def rank_in(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
-    """Number the rows of each key from 0, in the order of a fixed hash of ``order``.
+def rank_in(df: DataFrame, keys: list[str], order: list[str], name: str, seed: int = 0) -> DataFrame:
+    """Number the rows of each key from 0, in the order of a seeded hash of ``order``.
 
     A key may hold any share of the rows: its rows are dealt to 256 drawers by the
     hash, drawers are counted with map-side sums, and only within a drawer are rows
     sorted. Rows that agree in every order column are alike and may swap numbers.
     """
-    drawn = df.withColumn("__hash", F.xxhash64(*order)).withColumn("__drawer", F.expr("pmod(__hash, 256)"))
+    drawn = df.withColumn("__hash", F.xxhash64(F.lit(seed), *order))
+    drawn = drawn.withColumn("__drawer", F.expr("pmod(__hash, 256)"))
     counts = drawn.groupBy(*keys, "__drawer").agg(F.count("*").alias("__n"))
     # One row per key: the running sums of at most 256 drawers, in a map.
     before = counts.groupBy(*keys).agg(

@@ -6,18 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattspindle.llm import simhash
-from wattspindle.llm.common import read
+from wattspindle.llm import langid, mixing, packing, simhash, substring_dedup
+from wattspindle.llm.common import read, ship_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[build.__name__] = build
-    return build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 @query
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    profiles = langid.learn(docs)
+    found = langid.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return substring_dedup.remove_repeats(docs, digest=True)
