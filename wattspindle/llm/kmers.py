@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,14 +19,6 @@ SPANS = "__id long, __tag long, __spans binary"
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(__id, __tag, __text): rows that share an identifier but not a text stay apart."""
-    column = F.col(f"`{text}`")
-    return docs.select(
-        id_of(f"`{doc_id}`").alias("__id"), F.xxhash64(column).alias("__tag"), column.alias("__text")
-    )
-
-
 def mix(parts: list[np.ndarray]) -> np.ndarray:
     """A 64-bit hash of unsigned longs side by side."""
     total = np.zeros(len(parts[0]), np.uint64)
@@ -101,11 +95,171 @@ def covered(n: int, spans: list[bytes] | None) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``docs`` with ``__all``, the list of span strings of each row, null if it has none."""
-    gathered = spans.groupBy("__id", "__tag").agg(F.collect_list("__spans").alias("__all"))
-    rows = docs.withColumns(
-        {"__row_id": id_of(f"`{doc_id}`"), "__row_tag": F.xxhash64(F.col(f"`{text}`"))}
+def gathered(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows with ``__all``, the list of their span strings, null for rows without."""
+    lists = spans.groupBy("__id", "__tag").agg(F.collect_list("__spans").alias("__all"))
+    return rows.join(lists, ["__id", "__tag"], "left")
+
+
+def named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Documents with ``__id`` and ``__tag``: rows that share an id but not a text stay apart."""
+    return docs.withColumns({"__id": id_of(f"`{doc_id}`"), "__tag": F.xxhash64(F.col(f"`{text}`"))})
+
+
+def runs(grams: np.ndarray, length: int, inside: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
+    """Super-k-mers: (first window, windows, minimiser) of windows that share a minimiser.
+
+    A window starts at each place in ``inside`` and holds ``length`` grams.
+    """
+    least = least_positions(grams, length, bits)[inside]
+    new = np.r_[True, (least[1:] != least[:-1]) | (inside[1:] != inside[:-1] + 1)][: len(inside)]
+    heads = np.flatnonzero(new)
+    return inside[heads], np.diff(np.r_[heads, len(inside)]), grams[least[heads]]
+
+
+def binary_groups(values: np.ndarray, heads: np.ndarray) -> pa.Array:
+    """The values from each head to the next, as binary strings."""
+    offsets = (np.r_[heads, len(values)] * values.itemsize).astype("<i4")
+    return pa.Array.from_buffers(
+        pa.binary(), len(heads), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())]
     )
-    same = (F.col("__row_id") == F.col("__id")) & (F.col("__row_tag") == F.col("__tag"))
-    return rows.join(gathered, same, "left").drop("__row_id", "__row_tag", "__id", "__tag")
+
+
+#: Blocks whose minimisers are shipped together.
+TOGETHER = 16
+
+
+def pairs(found) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (minimiser, document, times) of a block, by minimiser."""
+    order = np.lexsort((found.owner, found.seed))
+    seed, owner = found.seed[order], found.owner[order]
+    new = np.r_[True, (seed[1:] != seed[:-1]) | (owner[1:] != owner[:-1])][: len(seed)]
+    heads = np.flatnonzero(new)
+    return seed[heads], owner[heads], np.diff(np.r_[heads, len(seed)])
+
+
+def _flag_rows(seed: np.ndarray, ids: np.ndarray, tags: np.ndarray) -> tuple[pa.Array, ...]:
+    """Minimisers by document: (id, tag, seeds) arrays of one row per document."""
+    order = np.lexsort((tags, ids))
+    seed, ids, tags = seed[order], ids[order], tags[order]
+    heads = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])][: len(ids)])
+    return pa.array(ids[heads]), pa.array(tags[heads]), binary_groups(seed.astype("<u8"), heads)
+
+
+HINTS = ["bucket", "packed", "__id", "__tag", "__seeds"]
+
+
+def _hints(slim: DataFrame, blocks_of, buckets: int, within: bool) -> DataFrame:
+    """(bucket, packed): minimisers to compare; (__id, __tag, __seeds): those known to recur."""
+
+    def shipped(kept: list[tuple]) -> Iterator[pa.RecordBatch]:
+        seed, ids, tags = (np.concatenate(x) for x in zip(*kept, strict=True))
+        bucket = (seed % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((tags, ids, bucket))
+        seed, ids, tags, bucket = seed[order], ids[order], tags[order], bucket[order]
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True][: len(bucket) + 1])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            one, two = ids[a:b], tags[a:b]
+            heads = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+            table = pack([one[heads], two[heads], np.diff(np.r_[heads, b - a])], seed[a:b].tobytes())
+            yield row(int(bucket[a]), table, None)
+
+    def row(bucket: int, packed: bytes | None, flags) -> pa.RecordBatch:
+        columns = [pa.array([bucket], pa.int64()), pa.array([packed], pa.binary())]
+        columns += [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, HINTS)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple] = []
+        for found in blocks_of(batches):
+            seed, owner, times = pairs(found)
+            if not len(seed):
+                continue
+            heads = np.flatnonzero(np.r_[True, seed[1:] != seed[:-1]])
+            kept.append((seed[heads], found.ids[owner[heads]], found.tags[owner[heads]]))
+            n = np.diff(np.r_[heads, len(seed)])
+            shared = np.repeat(n > 1, n) | (within & (times > 1))
+            if shared.any():
+                ids, tags, seeds = _flag_rows(
+                    seed[shared], found.ids[owner[shared]], found.tags[owner[shared]]
+                )
+                # Any bucket will do: these rows pass through.
+                bucket = pa.array((ids.to_numpy().view(np.uint64) % np.uint64(buckets)).astype(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [bucket, pa.nulls(len(ids), pa.binary()), ids, tags, seeds], HINTS
+                )
+            if len(kept) == TOGETHER:
+                yield from shipped(kept)
+                kept = []
+        if kept:
+            yield from shipped(kept)
+
+    return slim.mapInArrow(run, "bucket long, packed binary, __id long, __tag long, __seeds binary")
+
+
+def recurring(slim: DataFrame, blocks_of, n: int, within: bool) -> DataFrame:
+    """(__id, __tag, __all): each document's minimisers that occur elsewhere too.
+
+    Elsewhere is in another document or, with ``within``, at another place of the same.
+    ``blocks_of`` turns batches into blocks of super-k-mers with ``seed``, ``owner``,
+    ``ids`` and ``tags``. Hashes travel, not strings. A task ships a minimiser once,
+    whatever the number of its documents that hold it, and marks those itself.
+    """
+    hints = _hints(slim, blocks_of, n, within)
+    dealt = hints.repartition(n, "bucket").sortWithinPartitions("bucket")
+    names = HINTS[2:]
+
+    def settled(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack(blob, ["<i8", "<i8", "<i8"]) for blob in blobs]
+        seed = np.concatenate([np.frombuffer(p[1], "<u8") for p in parts])
+        ids, tags = (np.concatenate([np.repeat(p[0][i], p[0][2]) for p in parts]) for i in (0, 1))
+        order = np.argsort(seed)
+        ordered = seed[order]
+        same = ordered[1:] == ordered[:-1]
+        rows = order[np.r_[False, same] | np.r_[same, False]]
+        if len(rows):
+            yield pa.RecordBatch.from_arrays([*_flag_rows(seed[rows], ids[rows], tags[rows])], names)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, blobs = None, []
+        for batch in batches:
+            known = batch.filter(pa.compute.is_null(batch.column("packed")))
+            if known.num_rows:
+                yield known.select(names)
+            for at, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if not packed.is_valid:
+                    continue
+                if at != bucket and blobs:
+                    yield from settled(blobs)
+                    blobs = []
+                bucket = at
+                blobs.append(packed.as_py())
+        if blobs:
+            yield from settled(blobs)
+
+    found = dealt.mapInArrow(run, "__id long, __tag long, __seeds binary")
+    return found.groupBy("__id", "__tag").agg(F.collect_list("__seeds").alias("__all"))
+
+
+#: Documents sampled for frequent minimisers, and how many of these are kept at most.
+SAMPLE_DOCS, MOST_FREQUENT = 4000, 20_000
+
+
+def frequent(slim: DataFrame, blocks_of, bytes_each: int, budget: int) -> np.ndarray:
+    """Minimisers whose strings would take more than ``budget`` bytes of one bucket.
+
+    Estimated from a bounded sample of documents. Only the way in which strings travel
+    depends on the answer.
+    """
+    rows = slim.count()
+    share = min(1.0, SAMPLE_DOCS / max(rows, 1))
+    sample = slim.where(f"pmod(xxhash64(__id, __tag, 7), 1000000) < {share * 1e6:.0f}")
+
+    def run(batches):
+        for found in blocks_of(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(pairs(found)[0].view(np.int64))], ["seed"])
+
+    counts = sample.mapInArrow(run, "seed long").groupBy("seed").count()
+    least = max(4.0, budget / bytes_each * share)
+    top = counts.where(F.col("count") >= least).orderBy(F.desc("count"), "seed").limit(MOST_FREQUENT)
+    return np.array([r.seed for r in top.collect()], np.int64).view(np.uint64)

@@ -3,14 +3,16 @@
 A window is a number of consecutive words. Its minimiser is the word triple of least
 hash in it. Consecutive windows of a document that share a minimiser travel as one
 packed string to the bucket of that minimiser, where equal windows are sure to meet;
-there the windows are sorted, and all but the first of equal ones are removed.
+there the windows are sorted, and all but the first of equal ones are removed. Before
+that, documents ship the hashes of their minimisers only: strings follow for those that
+occur more than once.
 
 Each task ships a string once, with its first place; later places of a string that the
 task has seen itself are removed at once. So copies of a document, or a line that every
 document holds, add one string per task to a bucket, not one per copy. Minimisers that
-are frequent in a bounded sample of documents have varying surroundings in great number:
-their windows travel one by one, dealt by the hash of the whole window. The sample
-decides the way windows travel, never the result.
+would crowd a bucket, by a bounded sample of documents, have varying surroundings in
+great number: their windows travel one by one, dealt by the hash of the whole window.
+The sample decides the way windows travel, never the result.
 """
 
 from __future__ import annotations
@@ -29,34 +31,39 @@ from wattspindle.llm.common import MB, extended, partitions, slices, without
 from wattspindle.llm.kmers import (
     SPANS,
     covered,
-    keyed,
-    least_positions,
+    frequent,
+    gathered,
     mix,
+    named,
     pack,
+    recurring,
+    runs,
     span_rows,
     unpack,
-    with_spans,
 )
 
 WINDOW = 20
 GRAM = 3
 #: Words handled at once, and the bits that number them.
-BLOCK_WORDS, BLOCK_BITS = 500_000, 21
-#: Documents that are sampled for frequent minimisers, and the share that makes one frequent.
-SAMPLE_DOCS, FREQUENT, MOST_FREQUENT = 4000, 0.005, 20_000
+BLOCK_WORDS, BLOCK_BITS = 200_000, 21
+#: A bucket's share of a minimiser's strings beyond which its windows travel alone.
+CROWDED = 8 * MB
 KINDS = ["<u8", "<i8", "<i8", "<i8", "<u4", "<u4"]
 
 
-def _blocks(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[list[tuple]]:
-    """Lists of (id, tag, first word's number, words), long documents cut with overlap."""
+def _blocks(
+    batches: Iterable[pa.RecordBatch], window: int, text: str = "__text"
+) -> Iterator[list[tuple]]:
+    """Lists of (id, tag, first word's number, words, flags), long documents with overlap."""
     block, size = [], 0
-    for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in range(3)]
-        for doc, tag, text in sorted(zip(*columns, strict=True), key=lambda x: x[:2]):
-            words = (text or "").encode().split()
+    for batch in slices(batches, text, 4 * MB):
+        columns = [batch.column(c).to_pylist() for c in ("__id", "__tag", text)]
+        flags = batch.column("__all").to_pylist() if "__all" in batch.schema.names else columns[0]
+        for doc, tag, value, flag in sorted(zip(*columns, flags, strict=True), key=lambda x: x[:2]):
+            words = (value or "").encode().split()
             for begin in range(0, len(words) - window + 1, BLOCK_WORDS):
                 part = words[begin : begin + BLOCK_WORDS + window - 1]
-                block.append((doc, tag, begin, part))
+                block.append((doc, tag, begin, part, flag))
                 size += len(part)
                 if size >= BLOCK_WORDS:
                     yield block
@@ -71,6 +78,8 @@ class _Runs:
     def __init__(self, block: list[tuple], window: int):
         words = [w for part in block for w in part[3]]
         sizes = np.array([len(part[3]) for part in block])
+        self.ids = np.array([part[0] for part in block], np.int64)
+        self.tags = np.array([part[1] for part in block], np.int64)
         self.owner = np.repeat(np.arange(len(block)), sizes)
         self.number = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         self.number += np.repeat(np.array([part[2] for part in block]), sizes)
@@ -80,18 +89,19 @@ class _Runs:
         self.joined = b" ".join(words)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         grams = mix([hashes[i : len(hashes) - GRAM + 1 + i] for i in range(GRAM)])
-        least = least_positions(grams, window - GRAM + 1, BLOCK_BITS)
-        inside = np.flatnonzero(self.owner[: len(least)] == self.owner[window - 1 :])
-        least = least[inside]
-        new = np.r_[True, (least[1:] != least[:-1]) | (inside[1:] != inside[:-1] + 1)]
-        heads = np.flatnonzero(new)
-        self.first = inside[heads]
-        self.count = np.diff(np.r_[heads, len(inside)])
-        self.seed = grams[least[heads]]
-
-    def single(self, frequent: np.ndarray, window: int) -> None:
-        """Runs with a frequent minimiser become windows of their own."""
-        split = np.isin(self.seed, frequent)
+        inside = np.flatnonzero(self.owner[: len(words) - window + 1] == self.owner[window - 1 :])
+        self.first, self.count, seed = runs(grams, window - GRAM + 1, inside, BLOCK_BITS)
+        # A shorter hash travels better; equal ones by chance cost work, not correctness.
+        self.seed = seed >> np.uint64(16)
+        self.owner = self.owner[self.first]
+
+    def keep(self, chosen: np.ndarray) -> None:
+        self.first, self.count = self.first[chosen], self.count[chosen]
+        self.seed, self.owner = self.seed[chosen], self.owner[chosen]
+
+    def single(self, crowded: np.ndarray, window: int) -> None:
+        """Runs with a crowded minimiser become windows of their own."""
+        split = np.isin(self.seed, crowded)
         if not split.any():
             return
         count = self.count[split]
@@ -99,52 +109,35 @@ class _Runs:
         first = np.repeat(self.first[split], count) + step
         begins, ends = self.begins[first].tolist(), self.ends[first + window - 1].tolist()
         seed = [xxhash.xxh64_intdigest(self.joined[a:b]) for a, b in zip(begins, ends, strict=True)]
+        owner = np.r_[self.owner[~split], np.repeat(self.owner[split], count)]
         first = np.r_[self.first[~split], first]
         order = np.argsort(first, kind="stable")
-        self.first = first[order]
+        self.first, self.owner = first[order], owner[order]
         self.count = np.r_[self.count[~split], np.ones(len(step), np.int64)][order]
         self.seed = np.r_[self.seed[~split], np.array(seed, np.uint64)][order]
 
 
-def _frequent(slim: DataFrame, window: int) -> np.ndarray:
-    """Minimisers that many sampled documents hold, at most ``MOST_FREQUENT``."""
-    rows = slim.count()
-    share = min(1.0, SAMPLE_DOCS / max(rows, 1))
-    sample = slim.where(f"pmod(xxhash64(__id, 7), 1000000) < {share * 1e6:.0f}")
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches, window):
-            runs = _Runs(block, window)
-            pairs = np.unique(np.stack([runs.owner[runs.first].astype(np.uint64), runs.seed]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[1].view(np.int64))], ["seed"])
-
-    counts = sample.mapInArrow(run, "seed long").groupBy("seed").count()
-    least = max(8.0, FREQUENT * min(rows, SAMPLE_DOCS))
-    top = counts.where(F.col("count") >= least).orderBy(F.desc("count"), "seed").limit(MOST_FREQUENT)
-    return np.array([r.seed for r in top.collect()], np.int64).view(np.uint64)
-
-
-def _shipped(slim: DataFrame, buckets: int, frequent: np.ndarray, window: int) -> DataFrame:
+def _shipped(
+    flagged: DataFrame, text: str, buckets: int, crowded: np.ndarray, window: int
+) -> DataFrame:
     """(bucket, strings, spans): packed strings by bucket, and spans that are settled."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(slices_all(batches), window):
-            yield from _ship(block)
-
-    def slices_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from slices(batches, "__text", 8 * MB)
-
-    def _ship(block: list[tuple]) -> Iterator[pa.RecordBatch]:
-        runs = _Runs(block, window)
-        runs.single(frequent, window)
+        for block in _blocks(batches, window, text):
+            found = _Runs(block, window)
+            flags = np.unique(np.frombuffer(b"".join(s for p in block for s in p[4] or []), "<u8"))
+            found.keep(np.isin(found.seed, flags))
+            found.single(crowded, window)
+            if len(found.seed):
+                yield _ship(found)
+
+    def _ship(found: _Runs) -> pa.RecordBatch:
         known: dict[bytes, tuple[int, int]] = {}
-        owner = runs.owner[runs.first]
-        ids = np.array([part[0] for part in block], np.int64)[owner]
-        tags = np.array([part[1] for part in block], np.int64)[owner]
-        starts = runs.number[runs.first]
-        begins = runs.begins[runs.first].tolist()
-        ends = runs.ends[runs.first + runs.count + window - 2].tolist()
-        joined, strings, sent, settled = runs.joined, [], [], []
+        ids, tags = found.ids[found.owner], found.tags[found.owner]
+        starts = found.number[found.first]
+        begins = found.begins[found.first].tolist()
+        ends = found.ends[found.first + found.count + window - 2].tolist()
+        joined, strings, sent, settled = found.joined, [], [], []
         places = zip(ids.tolist(), starts.tolist(), strict=True)
         for k, (place, begin, end) in enumerate(zip(places, begins, ends, strict=True)):
             string = joined[begin:end]
@@ -156,14 +149,14 @@ def _shipped(slim: DataFrame, buckets: int, frequent: np.ndarray, window: int) -
             sent.append(k)
             strings.append(string)
         sent, settled = np.array(sent, np.int64), np.array(settled, np.int64)
-        bucket = (runs.seed[sent] % np.uint64(buckets)).astype(np.int64)
+        bucket = (found.seed[sent] % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True][: len(order) + 1])
         numbers, blobs, spans = [], [], []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             part = order[a:b]
             row, own = sent[part], [strings[i] for i in part.tolist()]
-            arrays = [runs.seed[row], ids[row], tags[row], starts[row], runs.count[row]]
+            arrays = [found.seed[row], ids[row], tags[row], starts[row], found.count[row]]
             arrays.append(np.fromiter(map(len, own), np.int64, len(own)))
             arrays = [x.astype(kind) for x, kind in zip(arrays, KINDS, strict=True)]
             numbers.append(int(bucket[part[0]]))
@@ -171,16 +164,16 @@ def _shipped(slim: DataFrame, buckets: int, frequent: np.ndarray, window: int) -
             spans.append(None)
         if len(settled):
             arrays = [ids[settled], tags[settled], starts[settled]]
-            arrays.append(starts[settled] + runs.count[settled] + window - 1)
-            numbers.append(int(np.uint64(runs.seed[0]) % np.uint64(buckets)))
+            arrays.append(starts[settled] + found.count[settled] + window - 1)
+            numbers.append(int(np.uint64(found.seed[0]) % np.uint64(buckets)))
             blobs.append(None)
             spans.append(pack([x.astype("<i8") for x in arrays]))
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary()), pa.array(spans, pa.binary())],
             ["bucket", "strings", "spans"],
         )
 
-    return slim.mapInArrow(run, "bucket long, strings binary, spans binary")
+    return flagged.mapInArrow(run, "bucket long, strings binary, spans binary")
 
 
 def _settle(blobs: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -231,13 +224,26 @@ def _settle(blobs: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]]
         yield tuple(np.array(x, np.int64) for x in zip(*spans, strict=True))
 
 
-def repeated_spans(docs: DataFrame, doc_id: str, text: str, window: int = WINDOW) -> DataFrame:
-    """(__id, __tag, __spans): the word spans to remove, several rows per document."""
-    spark = docs.sparkSession
-    slim = keyed(docs, doc_id, text)
+def repeated_spans(rows: DataFrame, text: str, window: int = WINDOW) -> DataFrame:
+    """(__id, __tag, __spans): the word spans to remove, several rows per document.
+
+    ``rows`` are documents with ``__id`` and ``__tag`` that name them.
+    """
+    spark = rows.sparkSession
+    slim = rows.select("__id", "__tag", F.col(f"`{text}`").alias("__text"))
     amount = slim.agg(F.coalesce(F.sum(F.octet_length("__text")), F.lit(0))).first()[0]
+
+    def blocks_of(batches: Iterable[pa.RecordBatch]) -> Iterator[_Runs]:
+        for block in _blocks(batches, window):
+            yield _Runs(block, window)
+
+    crowded = frequent(slim, blocks_of, 200, CROWDED)
+    # One minimiser in nine words, and eight bytes each.
+    few = max(12, int(amount * 8 / 55 / (24 * MB)) + 1)
+    # The same rows, dealt alike, meet their spans later on: one shuffle of the texts.
+    flagged = rows.join(recurring(slim, blocks_of, few, within=True), ["__id", "__tag"])
     n = partitions(spark, 3.2 * amount, 48 * MB)
-    shipped = _shipped(slim, 4 * n, _frequent(slim, window), window)
+    shipped = _shipped(flagged, text, 4 * n, crowded, window)
     dealt = shipped.repartition(n, "bucket").sortWithinPartitions("bucket")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,13 +291,14 @@ def remove_repeats(
     like a result are replaced; an empty table gives an empty result.
     """
     kept = without(docs, "n_words", "n_removed", *["kept_sha256"] * digest)
-    joined = with_spans(kept, repeated_spans(docs, doc_id, text, window), doc_id, text)
+    rows = named(kept, doc_id, text)
+    joined = gathered(rows, repeated_spans(rows, text, window))
     names = [c for c in kept.columns if not (digest and c == text)]
     wanted = "n_words long, n_removed long" + ", kept_sha256 string" * digest
     schema = extended(kept.select(*[f"`{c}`" for c in names]), wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, 16 * MB):
+        for batch in slices(batches, text, 8 * MB):
             texts, n_words, n_removed, digests = [], [], [], []
             for value, spans in zip(
                 batch.column(text).to_pylist(), batch.column("__all").to_pylist(), strict=True
