@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -191,3 +192,22 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+
+
+def deal(sizes: dict[int, int], leaves: int, room: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """First group and number of groups of each leaf, and the number of groups in all.
+
+    Leaves that follow each other share a group up to ``room`` rows; larger ones get
+    several groups of their own.
+    """
+    first, parts = np.zeros(leaves, np.int64), np.ones(leaves, np.int64)
+    group = held = 0
+    for leaf in range(leaves):
+        size = sizes.get(leaf, 0)
+        if held and held + size > room:
+            group, held = group + 1, 0
+        first[leaf], parts[leaf] = group, max(1, -(-size // room))
+        held += size
+        if parts[leaf] > 1:
+            group, held = group + int(parts[leaf]), 0
+    return first, parts, group + 1
