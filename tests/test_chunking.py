@@ -76,3 +76,18 @@ def test_ordinals_of_one_very_long_run(spark):
         brute[r["run_id"]] = max(brute.get(r["run_id"], -1), r["chunk_index"])
     assert last == brute
     assert marked.count() == 6000
+
+
+def test_unequal_axes_lose_no_sample(spark):
+    axes = [([1.0, 2.0, 3.0], [4.0] * 5, None), ([], [1.0] * 5, [2.0] * 5)]
+    rows = [(f"r{i}", "M01", "OP00", BASE, 0, x, y, z, "f") for i, (x, y, z) in enumerate(axes)]
+    signals = spark.createDataFrame(rows, SIGNALS)
+    blocks = chunking.chunk_signals(signals, size=2).orderBy("run_id", "chunk_index").collect()
+    assert [(r["run_id"], r["sample_count"], r["is_last_chunk"]) for r in blocks] == [
+        (run, n, n == 1) for run in ("r0", "r1") for n in (2, 2, 1)
+    ]
+    for run, (x, y, z) in enumerate(axes):
+        for axis, whole in zip("xyz", (x, y, z), strict=True):
+            own = [s for r in blocks if r["run_id"] == f"r{run}" for s in r[f"accel_{axis}"] or []]
+            assert own == (whole or [])
+    assert {r["n_samples"] for r in chunking.signal_features(signals).collect()} == {5}

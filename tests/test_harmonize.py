@@ -133,3 +133,30 @@ def test_month_batches_start_inside_the_range(spark):
         (dt.date(2019, 2, 1), dt.date(2019, 2, 28)),
         (dt.date(2019, 3, 1), dt.date(2019, 3, 31)),
     ]
+
+
+def test_two_countries_are_never_blended(spark):
+    facts = telemetry(spark, at(0))
+    two = quotes(spark, (at(0), 10.0)).unionByName(
+        quotes(spark, (at(0), 90.0)).withColumn("country_code", F.lit("FR"))
+    )
+    with pytest.raises(ValueError):
+        harmonize.join_prices(facts, two, None)
+    assert prices_by_slot(harmonize.join_prices(facts, two, None, "FR")) == {at(0): 90.0}
+    index = spark.createDataFrame(
+        [(dt.datetime(2020, 1, 1), c, v, "S", "U") for c, v in (("DE", 100.0), ("FR", 50.0))], BRONZE_INDUSTRIAL
+    )
+    with pytest.raises(ValueError):
+        harmonize.join_index(facts, index)
+    assert harmonize.join_index(facts, index, country="FR").first()["industrial_production_index"] == 50.0
+
+
+def test_real_quotes_win_over_stand_ins(spark):
+    from wattspindle.operators.windows import hourly_mean
+
+    live = quotes(spark, (at(0), 10.0), (at(0, 30), 20.0))
+    stand_in = quotes(spark, (at(0, 5), 50.0), (at(1), 50.0)).withColumn("source", F.lit("MOCK"))
+    rows = hourly_mean(live.unionByName(stand_in)).collect()
+    assert sorted((r["timestamp"], r["price_eur_mwh"], r["source"]) for r in rows) == [
+        (at(0), 15.0, "EXCHANGE"), (at(1), 50.0, "MOCK"),
+    ]

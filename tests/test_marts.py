@@ -23,8 +23,9 @@ DAY = dt.datetime(2020, 1, 1)
 def test_stage_bounds_are_closed_at_midnight(spark):
     last = dt.datetime(2021, 8, 31)
     rows = [silver_row(t) for t in (last, last + dt.timedelta(seconds=1), dt.datetime(2019, 2, 1))]
-    kept = {r["timestamp_15min"] for r in marts.stage(silver(spark, rows)).collect()}
-    assert kept == {last, dt.datetime(2019, 2, 1)}
+    staged = marts.stage(silver(spark, rows), "2019-02-01", "2021-08-31")
+    assert {r["timestamp_15min"] for r in staged.collect()} == {last, dt.datetime(2019, 2, 1)}
+    assert marts.stage(silver(spark, rows)).count() == 3
 
 
 def test_daily_metrics_count_anomalies_and_survive_zero_power(spark):
@@ -96,7 +97,7 @@ def test_empty_table_gives_an_empty_fact_table(spark):
     assert marts.daily_facts(marts.daily_metrics(silver(spark, []))).count() == 0
 
 
-def test_windows_take_the_highest_label_and_null_labels_stay_null(spark):
+def test_windows_take_the_highest_label_and_no_label_is_normal(spark):
     rows = [(DAY, 1.0, 0), (DAY, 3.0, None), (DAY, 5.0, 1), (DAY + dt.timedelta(hours=1), 1.0, None)]
     df = spark.createDataFrame(rows, "timestamp timestamp_ntz, rms_x double, label int").select(
         "*",
@@ -106,7 +107,7 @@ def test_windows_take_the_highest_label_and_null_labels_stay_null(spark):
         F.lit("OP00").alias("operation"),
     )
     rows = windows.telemetry_windows(df).orderBy("window_start").collect()
-    assert [(r["avg_rms_x"], r["has_anomaly"]) for r in rows] == [(3.0, 1), (1.0, None)]
+    assert [(r["avg_rms_x"], r["has_anomaly"]) for r in rows] == [(3.0, 1), (1.0, 0)]
 
 
 def test_approximate_percentiles_are_opt_in(spark):

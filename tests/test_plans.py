@@ -31,10 +31,13 @@ def test_rollup_shuffles_once_and_combines_before_the_shuffle(spark, sf_dir, pla
 
 
 def test_scan_reads_only_needed_columns_and_gets_the_filter(spark, sf_dir, plan):
-    text = plan(adapters.price_quotes(spark, sf_dir))
+    text = plan(QUERIES["price_batches_union"](spark, sf_dir))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)]" in text
     schema = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
     assert {c.split(":")[0] for c in schema.split(",")} == {"ts", "event_type", "value"}
+    text = plan(adapters.price_quotes(spark, sf_dir).select("timestamp", "price_eur_mwh"))
+    schema = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
+    assert {c.split(":")[0] for c in schema.split(",")} == {"ts", "value"}
 
 
 def test_silver_input_uses_hash_aggregation_and_skips_json(spark, sf_dir, plan):
@@ -50,6 +53,7 @@ def test_silver_joins_are_broadcast_only_after_a_size_check(spark, sf_dir, plan,
             adapters.silver_telemetry(spark, sf_dir),
             adapters.hourly_prices(spark, sf_dir),
             adapters.current_industrial(spark, sf_dir),
+            country="DE",
         )
         return plan(silver)
 
@@ -72,6 +76,7 @@ def test_facts_attach_percentiles_without_a_join(spark, sf_dir, plan):
                 adapters.silver_telemetry(spark, sf_dir),
                 adapters.hourly_prices(spark, sf_dir),
                 adapters.current_industrial(spark, sf_dir),
+                country="DE",
             )
         ),
         "daily",

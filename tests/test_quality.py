@@ -36,11 +36,11 @@ def test_layer_validation_and_presence(spark, tmp_path):
     rows = {r["dataset"]: tuple(r)[1:] for r in quality.validate_layer(spark, paths).collect()}
     assert rows == {"full": (3, 2, 1, "PASS"), "empty": (0, 1, 0, "WARN"), "absent": (0, 0, 0, "FAIL")}
 
-    files = readers.list_files(spark, f"{tmp_path}/lake", "*.parquet")
+    files = readers.list_files(spark, paths)
     expected = spark.createDataFrame([("full",), ("absent",)], "dataset string")
-    found = {r["dataset"]: r["present"] for r in quality.presence_report(files, expected).collect()}
-    assert found == {"full": True, "absent": False}
-    assert readers.list_files(spark, f"{tmp_path}/lake", "*.parquet", limit=1).count() == 1
+    found = {r["dataset"]: (r["present"], r["n_rows"]) for r in quality.presence_report(files, expected).collect()}
+    assert found == {"full": (True, 3), "absent": (False, 0)}
+    assert readers.list_files(spark, paths, limit=1).count() == 1
 
 
 def test_run_summary(spark):
@@ -59,6 +59,8 @@ def test_coverage_matrix_and_pivot_fill_absent_pairs(spark):
     assert {tuple(r)[:2]: r["has_data"] for r in reports.coverage_matrix(inventory).collect()} == {
         ("M01", "OP00"): True, ("M01", "OP01"): False, ("M02", "OP00"): False, ("M02", "OP01"): True,
     }
-    pivot = {r["operation"]: tuple(r)[1:] for r in reports.inventory_pivot(inventory, ["M01", "M02"]).collect()}
+    pivot = {r["operation"]: tuple(r)[1:] for r in reports.inventory_pivot(inventory).collect()}
     assert pivot == {"OP00": (2, 0), "OP01": (0, 1)}
+    every = reports.inventory_pivot(inventory, ["M09", "M02"])
+    assert every.columns == ["operation", "M02", "M01"]
     assert tuple(reports.inventory_totals(inventory).first()) == (3, 1, 17)

@@ -52,7 +52,7 @@ def test_compact_write_has_one_small_file_per_unit(spark, facts, tmp_path):
     path = f"{tmp_path}/c"
     sinks.write_compact(facts.repartition(16), path, UNIT)
     assert spark.read.parquet(path).count() == 900
-    files = readers.list_files(spark, path, "*.parquet").count()
+    files = readers.list_files(spark, {"table": path}).count()
     assert files == facts.select(*UNIT).distinct().count()
 
 

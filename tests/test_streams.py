@@ -150,3 +150,11 @@ def test_zoneless_time_is_cast_for_the_watermark(spark, tmp_path):
     drop_file(spark, f"{tmp_path}/in", rows(1))
     frame = streams.windowed(source(spark, f"{tmp_path}/in"))
     assert dict(frame.dtypes)["window_start"] == "timestamp"
+
+
+def test_stream_reads_a_folder_table_like_a_file(spark, sf_dir, tmp_path):
+    from wattspindle.plans.catalog import QUERIES
+
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["stream_window_update"](spark, str(tmp_path)).collect()
+    assert sorted(found) == sorted(QUERIES["stream_window_update"](spark, sf_dir).collect())

@@ -7,10 +7,8 @@ WINDOW_MINUTES = 15
 WINDOW = "15 minutes"
 SLIDE = "5 minutes"
 WATERMARK = "10 minutes"
-MAX_OFFSETS_PER_TRIGGER = 100
 
 # Fleet naming.
-MACHINES = [f"M{i:02d}" for i in range(1, 4)]
 OPERATIONS = [f"OP{i:02d}" for i in range(15)]
 
 # Risk thresholds, highest first. Daily classes need a rate
@@ -36,9 +34,6 @@ FALLBACK_PRICE = 50.0
 FALLBACK_SOURCE = "MOCK"
 INDEX_UNIT = "Index (2015=100)"
 
-# The period the staging layer keeps.
-STAGE_FROM = "2019-02-01"
-STAGE_TO = "2021-08-31"
 EXPECTED_YEARS = (2019, 2021)
 
 # A lookup side is broadcast only when a count shows it has at most this many

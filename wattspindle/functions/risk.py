@@ -7,22 +7,15 @@ from pyspark.sql import functions as F
 
 from wattspindle.constants import DAILY_RATE_BOUNDS, LOWEST_RISK, PERIOD_RATE_BOUNDS
 
-# Own wording, one line per class.
-ADVICE = {
-    "CRITICAL": "Stop and service now: inspect bearings and alignment.",
-    "HIGH_RISK": "Book maintenance within two weeks and watch the vibration trend.",
-    "MEDIUM_RISK": "Monitor more often and use the next planned stop.",
-    "LOW_RISK": "No action: routine monitoring.",
-}
-
 
 def half_up(value: Column, digits: int) -> Column:
     """Commercial rounding on the decimal value, as a double.
 
     Binary noise would decide ties such as 1.005 at random; the detour through
-    ten decimals removes it.
+    ten decimals removes it. Values that no such decimal can hold stay as they are.
     """
-    return F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+    rounded = F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+    return F.coalesce(rounded, value.cast("double"))
 
 
 def rate_pct(part: Column, whole: Column) -> Column:
@@ -61,15 +54,6 @@ def period_unit_cost(cost: Column, mean_power: Column, days: Column) -> Column:
     return F.try_divide(cost, mean_power * days)
 
 
-def advice(risk: Column) -> Column:
-    named = [(risk == name, text) for name, text in ADVICE.items() if name != LOWEST_RISK]
-    return _first_match(named, ADVICE[LOWEST_RISK])
-
-
-def alert_class(risk: Column) -> Column:
-    return F.concat(F.lower(risk), F.lit("-alert"))
-
-
 def estimated_power(x: Column, y: Column, z: Column) -> Column:
     """Mean of the three axes times one half."""
     return (x + y + z) / 3 * 0.5

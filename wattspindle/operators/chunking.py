@@ -13,6 +13,11 @@ from wattspindle.session import materialize_counted
 _AXES = ("x", "y", "z")
 
 
+def longest_axis() -> Column:
+    """Samples of the longest axis; a missing axis has none."""
+    return F.greatest(*[signal.sample_count(f"accel_{a}") for a in _AXES])
+
+
 def _blocks(size: int, rate_hz: int, fields) -> Column:
     """Array of one struct per block; ``fields(first, count)`` adds the payload.
 
@@ -20,7 +25,7 @@ def _blocks(size: int, rate_hz: int, fields) -> Column:
     its own block. Exploding block numbers and slicing afterwards would copy the
     whole recording into every row.
     """
-    length = F.size("accel_x")
+    length = longest_axis()
     last = F.call_function("div", length - 1, F.lit(size))
 
     def block(i: Column) -> Column:
@@ -39,7 +44,7 @@ def _blocks(size: int, rate_hz: int, fields) -> Column:
 
 def _cut(signals: DataFrame, size: int, rate_hz: int, fields) -> DataFrame:
     # An empty or missing recording has no blocks; sequence(0, -1) would count down.
-    return signals.where(F.size("accel_x") > 0).select(
+    return signals.where(longest_axis() > 0).select(
         "run_id",
         "machine_id",
         "operation",
@@ -52,7 +57,11 @@ def _cut(signals: DataFrame, size: int, rate_hz: int, fields) -> DataFrame:
 def chunk_signals(
     signals: DataFrame, size: int = CHUNK_SAMPLES, rate_hz: int = SAMPLE_RATE_HZ
 ) -> DataFrame:
-    """One row per block of up to ``size`` samples, with the samples; the tail is kept."""
+    """One row per block of up to ``size`` samples, with the samples; the tail is kept.
+
+    Axes may differ in length: blocks follow the longest, which ``sample_count`` counts,
+    and a shorter axis has fewer or no samples in the last blocks.
+    """
 
     def fields(first: Column, count: Column) -> list[Column]:
         return [
@@ -89,7 +98,7 @@ def signal_features(signals: DataFrame) -> DataFrame:
         *[signal.rms(f"accel_{a}").alias(f"rms_{a}") for a in _AXES],
         *[signal.deviation(f"accel_{a}").alias(f"std_{a}") for a in _AXES],
         signal.peak(*[f"accel_{a}" for a in _AXES]).alias("peak_accel"),
-        signal.sample_count("accel_x").alias("n_samples"),
+        longest_axis().alias("n_samples"),
     )
 
 

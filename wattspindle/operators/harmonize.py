@@ -7,23 +7,27 @@ from pyspark.sql import functions as F
 
 from wattspindle.functions import risk, timebase
 from wattspindle.operators.lookups import attach_one_row, lookup_join
-from wattspindle.operators.prices import forward_fill, price_per_bucket
+from wattspindle.operators.prices import forward_fill, of_country, price_per_bucket
 from wattspindle.schemas import SILVER, conform
 from wattspindle.session import materialize_counted
 
 
-def join_prices(telemetry: DataFrame, prices: DataFrame, fill: str | None = "mean") -> DataFrame:
-    """Attach ``price_eur_mwh`` by 15-minute bucket.
+def join_prices(
+    telemetry: DataFrame, prices: DataFrame, fill: str | None = "mean", country: str | None = None
+) -> DataFrame:
+    """Attach ``price_eur_mwh`` of one country by 15-minute bucket.
 
+    ``country`` may be left out where the prices have one country only.
     ``fill``: ``"mean"`` gives windows without a quote the mean over all matched
     windows, ``"ffill"`` carries the latest earlier quote, None leaves NULL. With
     ``"mean"`` the telemetry is read twice, so callers pass a written table.
     """
     if fill not in ("mean", "ffill", None):
         raise ValueError(f"unknown fill: {fill}")
+    prices = of_country(prices, country)
     if fill == "ffill":
         prices = forward_fill(prices)
-    lookup, rows = materialize_counted(price_per_bucket(prices), "bucket-prices")
+    lookup, rows = materialize_counted(price_per_bucket(prices, country), "bucket-prices")
     joined = lookup_join(telemetry, lookup, "timestamp_15min", rows=rows)
     if fill == "mean":
         return _fill_with_mean(joined, telemetry, lookup, rows)
@@ -35,10 +39,11 @@ def join_prices(telemetry: DataFrame, prices: DataFrame, fill: str | None = "mea
 def _fill_with_mean(
     joined: DataFrame, telemetry: DataFrame, lookup: DataFrame, rows: int
 ) -> DataFrame:
-    matched = lookup_join(
-        telemetry.select("timestamp_15min"), lookup, "timestamp_15min", "inner", rows=rows
-    )
-    mean = matched.agg(F.avg("price_eur_mwh")).scalar()
+    # Rows are counted per bucket first, so the buckets join, not the telemetry.
+    counted = telemetry.groupBy("timestamp_15min").agg(F.count(F.lit(1)).alias("n"))
+    matched = lookup_join(counted, lookup, "timestamp_15min", "inner", rows=rows)
+    weighted = F.sum(F.col("price_eur_mwh") * F.col("n"))
+    mean = matched.agg(F.try_divide(weighted, F.sum(F.when(F.col("price_eur_mwh").isNotNull(), F.col("n"))))).scalar()
     return joined.withColumn("price_eur_mwh", F.coalesce("price_eur_mwh", mean))
 
 
@@ -56,15 +61,22 @@ def _carry_last_price(joined: DataFrame, lookup: DataFrame) -> DataFrame:
     )
 
 
-def harmonize_windows(windows: DataFrame, prices: DataFrame, fill: str | None = "ffill") -> DataFrame:
+def harmonize_windows(
+    windows: DataFrame, prices: DataFrame, fill: str | None = "ffill", country: str | None = None
+) -> DataFrame:
     """Attach prices to window aggregates by the start of their window."""
     keyed = windows.withColumnRenamed("window_start", "timestamp_15min")
-    return join_prices(keyed, prices, fill).withColumnRenamed("timestamp_15min", "window_start")
+    return join_prices(keyed, prices, fill, country).withColumnRenamed("timestamp_15min", "window_start")
 
 
-def join_index(facts: DataFrame, index: DataFrame, ts: str = "timestamp_15min") -> DataFrame:
-    """Attach the monthly production index; one value per month, so no row is added."""
-    monthly = index.groupBy(timebase.month_key("date").alias("month")).agg(
+def join_index(
+    facts: DataFrame, index: DataFrame, ts: str = "timestamp_15min", country: str | None = None
+) -> DataFrame:
+    """Attach one country's monthly production index; one value per month, so no row is added.
+
+    ``country`` may be left out where the index has one country only.
+    """
+    monthly = of_country(index, country).groupBy(timebase.month_key("date").alias("month")).agg(
         F.avg("industrial_production_index").alias("industrial_production_index")
     )
     lookup, rows = materialize_counted(monthly, "monthly-index")
@@ -91,7 +103,11 @@ def enrich(facts: DataFrame) -> DataFrame:
 
 
 def silver(
-    telemetry: DataFrame, prices: DataFrame, index: DataFrame, fill: str | None = "mean"
+    telemetry: DataFrame,
+    prices: DataFrame,
+    index: DataFrame,
+    fill: str | None = "mean",
+    country: str | None = None,
 ) -> DataFrame:
     """Bronze tables to the harmonized silver fact, one row per telemetry row."""
-    return enrich(join_index(join_prices(telemetry, prices, fill), index))
+    return enrich(join_index(join_prices(telemetry, prices, fill, country), index, country=country))

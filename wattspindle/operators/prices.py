@@ -115,8 +115,23 @@ def forward_fill(prices: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
     )
 
 
-def price_per_bucket(prices: DataFrame) -> DataFrame:
-    """One price per 15-minute bucket, so that joining it never adds rows."""
+def of_country(rows: DataFrame, country: str | None) -> DataFrame:
+    """The rows of one country. Without a choice the table must hold one country only."""
+    if "country_code" not in rows.columns:
+        return rows
+    if country is not None:
+        return rows.where(F.col("country_code") == country)
+    if rows.select("country_code").distinct().limit(2).count() > 1:
+        raise ValueError("several countries: name the one to use")
+    return rows
+
+
+def price_per_bucket(prices: DataFrame, country: str | None = None) -> DataFrame:
+    """One price of one country per 15-minute bucket, so that joining it never adds rows.
+
+    Several quotes of a bucket are averaged.
+    """
+    prices = of_country(prices, country)
     return prices.groupBy(timebase.minute_bucket("timestamp").alias("timestamp_15min")).agg(
         F.avg("price_eur_mwh").alias("price_eur_mwh")
     )

@@ -77,6 +77,15 @@ def run_summary(df: DataFrame, ts: str = "timestamp_15min") -> DataFrame:
     )
 
 
+def stage_report(stages: dict[str, DataFrame]) -> DataFrame:
+    """Rows of every named input and layer of a run."""
+    counts = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n_rows")) for name, df in stages.items()]
+    first, *rest = counts
+    for count in rest:
+        first = first.unionByName(count)
+    return first
+
+
 def validate_dataset(df: DataFrame, name: str) -> DataFrame:
     """One row: records, columns, nulls over all columns, PASS or WARN."""
     nulls = [F.count_if(F.col(c).isNull()) for c in df.columns]
@@ -107,17 +116,15 @@ def validate_layer(spark: SparkSession, datasets: dict[str, str]) -> DataFrame:
 
 
 def presence_report(files: DataFrame, expected: DataFrame) -> DataFrame:
-    """Files and bytes per expected dataset. ``files`` comes from ``list_files``;
-    ``expected`` has one ``dataset`` name per row, matched as a path segment."""
-    found = (
-        files.select("path", "length", F.explode(F.split("path", "/")).alias("segment"))
-        .withColumn("dataset", F.regexp_replace("segment", r"\.parquet$", ""))
-        .groupBy("dataset")
-        .agg(F.count_distinct("path").alias("file_count"), F.sum("length").alias("bytes"))
+    """Files, bytes and rows per expected dataset, absent ones with none.
+
+    ``files`` comes from ``list_files``; ``expected`` has one ``dataset`` name per row.
+    """
+    found = files.groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("file_count"), F.sum("length").alias("bytes"), F.sum("n_rows").alias("n_rows")
     )
     return expected.join(found, "dataset", "left").select(
         "dataset",
-        F.coalesce("file_count", F.lit(0)).alias("file_count"),
-        F.coalesce("bytes", F.lit(0)).alias("bytes"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("file_count", "bytes", "n_rows")],
         F.col("file_count").isNotNull().alias("present"),
     )

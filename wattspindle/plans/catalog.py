@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattspindle.constants import MACHINES, SLIDE, WATERMARK
+from wattspindle.constants import SLIDE, WATERMARK
 from wattspindle.functions import naming, timebase
 from wattspindle.operators import chunking, harmonize, prices, quality, quantiles, windows
 from wattspindle.operators.lookups import attach_one_row
@@ -24,6 +25,10 @@ TABLES = [
     "lineitem", "nation", "orders", "pages", "part", "region", "supplier",
 ]
 SIGNAL_CHUNK = 8
+COUNTRY = "DE"
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+#: What to do about a risk class, as a caller of the recommendations would give it.
+ACTIONS = [("CRITICAL", "A1", 1), ("HIGH_RISK", "A2", 10), ("MEDIUM_RISK", "A3", 45), ("LOW_RISK", "A4", None)]
 UNIT = ["machine_id", "operation"]
 PEAKS = "max_rms_x max_rms_y max_rms_z"
 
@@ -73,6 +78,7 @@ def _silver(spark: SparkSession, sf_dir: str, fill: str | None = "mean") -> Data
         adapters.hourly_prices(spark, sf_dir),
         adapters.current_industrial(spark, sf_dir),
         fill,
+        COUNTRY,
     )
 
 
@@ -143,15 +149,13 @@ def price_batches_union(spark, sf_dir):
     events = adapters.table(spark, sf_dir, "events")
 
     def batch(kind: str) -> DataFrame:
-        return events.where(F.col("event_type") == kind).select(
+        quotes = events.where(F.col("event_type") == kind).select(
             F.col("ts").alias("timestamp"), F.col("value").alias("price_eur_mwh")
         )
+        return readers.with_defaults(quotes, source=kind.upper())
 
-    named = readers.with_defaults(batch("view"), source="VIEWS")
-    other = readers.with_defaults(batch("purchase"), source="PURCHASES")
-    return readers.with_defaults(
-        readers.concatenate(named, other), source="UNUSED", country_code="DE"
-    )
+    batches = readers.concatenate(*[batch(kind) for kind in EVENT_TYPES])
+    return readers.with_defaults(batches, source="UNUSED", country_code=COUNTRY)
 
 
 @query(4)
@@ -169,14 +173,14 @@ def price_describe(spark, sf_dir):
 @query()
 def harmonize_mean_fill(spark, sf_dir):
     return harmonize.join_prices(
-        adapters.silver_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), "mean"
+        adapters.silver_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), "mean", COUNTRY
     ).select("timestamp_15min", *UNIT, "avg_rms_x", "price_eur_mwh")
 
 
 @query()
 def harmonize_ffill(spark, sf_dir):
     return harmonize.join_prices(
-        adapters.silver_telemetry(spark, sf_dir), adapters.bronze_prices(spark, sf_dir), "ffill"
+        adapters.silver_telemetry(spark, sf_dir), adapters.bronze_prices(spark, sf_dir), "ffill", COUNTRY
     ).select("timestamp_15min", *UNIT, "avg_rms_x", "price_eur_mwh")
 
 
@@ -185,13 +189,14 @@ def harmonize_windows(spark, sf_dir):
     return harmonize.harmonize_windows(
         windows.telemetry_windows(adapters.telemetry(spark, sf_dir)),
         adapters.bronze_prices(spark, sf_dir),
+        country=COUNTRY,
     )
 
 
 @query(2, exact="avg_rms_x avg_rms_y avg_rms_z")
 def monthly_index_join(spark, sf_dir):
     return harmonize.join_index(
-        adapters.telemetry_long(spark, sf_dir), adapters.industrial(spark, sf_dir)
+        adapters.telemetry_long(spark, sf_dir), adapters.industrial(spark, sf_dir), country=COUNTRY
     )
 
 
@@ -266,7 +271,8 @@ def machine_kpis(spark, sf_dir):
 
 @query()
 def risk_recommendations(spark, sf_dir):
-    return reports.risk_recommendations(_summary(spark, sf_dir))
+    actions = spark.createDataFrame(ACTIONS, "risk_level string, action_code string, within_days int")
+    return reports.risk_recommendations(_summary(spark, sf_dir), actions)
 
 
 @query(4)
@@ -303,7 +309,7 @@ def dataset_inventory(spark, sf_dir):
 
 @query()
 def inventory_pivot(spark, sf_dir):
-    return reports.inventory_pivot(_inventory(spark, sf_dir), MACHINES)
+    return reports.inventory_pivot(materialize(_inventory(spark, sf_dir), "inventory"), ["M02", "M01"])
 
 
 @query()
@@ -313,13 +319,19 @@ def inventory_totals(spark, sf_dir):
 
 @query()
 def coverage_matrix(spark, sf_dir):
-    # Runs of rare, anomalous recordings only, so that some pairs are empty.
-    runs = adapters.signals(spark, sf_dir).where(F.col("label") == 1)
-    counted = runs.withColumn("sample_count", F.size("accel_x"))
+    # Not every machine does every operation, so some pairs are empty.
+    able = F.substring("operation", 3, 2).cast("long") % 4
+    machine = F.concat(F.lit("M0"), (F.least(F.col("run_id").cast("long") % 4, able) + 1).cast("string"))
+    runs = adapters.signals(spark, sf_dir).withColumn("machine_id", machine)
+    counted = runs.withColumn("sample_count", chunking.longest_axis())
     inventory = materialize(reports.dataset_inventory(counted), "inventory")
     return reports.coverage_matrix(inventory)
 
 
+def _paths(sf_dir: str, *names: str) -> dict[str, str]:
+    return {name: f"{sf_dir}/{name}.parquet" for name in names}
+
+
 # Data quality -----------------------------------------------------------------
 
 
@@ -335,7 +347,7 @@ def quality_nulls(spark, sf_dir):
 @query()
 def quality_coverage(spark, sf_dir):
     joined = harmonize.join_prices(
-        adapters.silver_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), None
+        adapters.silver_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), None, COUNTRY
     )
     return quality.coverage_report(joined, "price_eur_mwh")
 
@@ -350,24 +362,52 @@ def run_summary(spark, sf_dir):
     return quality.run_summary(_silver(spark, sf_dir, fill=None))
 
 
+@query()
+def stage_rows(spark, sf_dir):
+    """Rows that went into a run and rows of each of its layers."""
+    silver = materialize(_silver(spark, sf_dir, fill=None), "silver")
+    stages = {
+        "telemetry": adapters.telemetry(spark, sf_dir),
+        "quotes": adapters.price_quotes(spark, sf_dir),
+        "prices": adapters.hourly_prices(spark, sf_dir),
+        "index": adapters.industrial(spark, sf_dir),
+        "silver": silver,
+        "daily": marts.daily_metrics(silver),
+    }
+    return quality.stage_report(stages)
+
+
+@query()
+def staged_load_time(spark, sf_dir):
+    staged = marts.with_load_time(marts.stage(_silver(spark, sf_dir, fill=None)))
+    return staged.agg(F.count(F.lit(1)).alias("n_rows"), F.count("loaded_at").alias("n_stamped"))
+
+
+@query(4)
+def mart_table(spark, sf_dir):
+    """The period summary saved as a table and read back by name."""
+    name = f"machine_summary_{uuid.uuid4().hex}"
+    sinks.save_table(_summary(spark, sf_dir), name)
+    return spark.table(name)
+
+
 @query()
 def layer_validation(spark, sf_dir):
-    paths = {name: f"{sf_dir}/{name}.parquet" for name in ("events", "lineitem", "orders")}
-    return quality.validate_layer(spark, {**paths, "absent": f"{sf_dir}/absent.parquet"})
+    return quality.validate_layer(spark, _paths(sf_dir, *TABLES, "absent"))
 
 
 @query()
 def dataset_presence(spark, sf_dir):
     names = F.array(*[F.lit(name) for name in [*TABLES, "absent"]])
     expected = spark.range(1).select(F.explode(names).alias("dataset"))
-    report = quality.presence_report(readers.list_files(spark, sf_dir, "*.parquet"), expected)
-    return report.select("dataset", "file_count", "present", (F.col("bytes") > 0).alias("has_bytes"))
+    report = quality.presence_report(readers.list_files(spark, _paths(sf_dir, *TABLES, "absent")), expected)
+    return report.select("dataset", "n_rows", "present", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query()
 def file_listing(spark, sf_dir):
-    files = readers.list_files(spark, sf_dir, "*.parquet", limit=5)
-    return files.select(naming.file_stem("path").alias("dataset"))
+    files = readers.list_files(spark, _paths(sf_dir, *TABLES), limit=5)
+    return files.select("dataset", "n_rows")
 
 
 # Signals, names, messages, documents ------------------------------------------
@@ -506,7 +546,7 @@ def month_batches(spark, sf_dir):
 # Streams ----------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, path: str, pattern: str = "events.parquet") -> DataFrame:
+def _event_stream(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("event_id", T.LongType()),
@@ -517,7 +557,7 @@ def _event_stream(spark: SparkSession, path: str, pattern: str = "events.parquet
             T.StructField("props", T.StringType()),
         ]
     )
-    return readers.stream_files(spark, path, schema, pattern, max_files=1000)
+    return readers.stream_table(spark, path, schema, max_files=1000)
 
 
 def _appended(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
@@ -534,7 +574,7 @@ def _updated(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
 
 
 def _window_stream(spark: SparkSession, sf_dir: str, slide: str | None = None) -> DataFrame:
-    features = adapters.telemetry_rows(_event_stream(spark, sf_dir))
+    features = adapters.telemetry_rows(_event_stream(spark, f"{sf_dir}/events.parquet"))
     return streams.windowed(features, slide=slide)
 
 
@@ -561,10 +601,18 @@ def stream_alerts(spark, sf_dir):
 
 @query()
 def stream_message_windows(spark, sf_dir):
-    raw = adapters.message_rows(_event_stream(spark, sf_dir))
-    latest = _updated(spark, streams.windowed(streams.message_features(raw)), "stream-messages")
-    # Groups whose messages all lack a label count as normal.
-    return latest.withColumn("has_anomaly", F.coalesce("has_anomaly", F.lit(0)))
+    raw = adapters.message_rows(_event_stream(spark, f"{sf_dir}/events.parquet"))
+    return _updated(spark, streams.windowed(streams.message_features(raw)), "stream-messages")
+
+
+@query()
+def stream_driver(spark, sf_dir):
+    """Messages to closed windows in Parquet through the driver, with a processing time."""
+    raw = adapters.message_rows(_event_stream(spark, f"{sf_dir}/events.parquet"))
+    path = new_scratch_path(spark, "stream-driver")
+    running = streams.start(raw, "parquet", f"{path}-checkpoint", path, {"availableNow": True})
+    running.awaitTermination()
+    return spark.read.parquet(path).where("aggregated_at is not null").drop("aggregated_at")
 
 
 @query(exact=PEAKS)
@@ -575,7 +623,7 @@ def stream_late_data(spark, sf_dir):
     path = new_scratch_path(spark, "stream-late")
     for arrived in (events.where(~late), events.where(late)):
         sinks.append_flat(arrived, f"{path}/in")
-        source = _event_stream(spark, f"{path}/in", "*.parquet")
+        source = _event_stream(spark, f"{path}/in")
         frame = streams.windowed(adapters.telemetry_rows(source), watermark=WATERMARK)
         streams.run_available(streams.to_parquet(frame, f"{path}/out", f"{path}/checkpoint"))
     return spark.read.schema(frame.schema).parquet(f"{path}/out")
@@ -584,6 +632,11 @@ def stream_late_data(spark, sf_dir):
 # Sinks ------------------------------------------------------------------------
 
 
+def _content(columns: list[str]) -> Column:
+    """A checksum of all cells of all rows, whatever their order."""
+    return F.sum(F.xxhash64(*[F.col(c).cast("string") for c in columns]).cast("decimal(20,0)"))
+
+
 @query()
 def sink_roundtrip(spark, sf_dir):
     """Write the bronze telemetry through every batch sink and measure what comes back."""
@@ -597,6 +650,8 @@ def sink_roundtrip(spark, sf_dir):
     sinks.write_compact(bronze, f"{root}/compact", UNIT)
     sinks.write_csv(bronze, f"{root}/csv")
 
+    content = bronze.agg(F.coalesce(_content(bronze.columns), F.lit(0))).first()[0]
+
     def measured(name: str, df: DataFrame) -> DataFrame:
         return df.agg(
             F.lit(name).alias("sink"),
@@ -604,6 +659,7 @@ def sink_roundtrip(spark, sf_dir):
             F.sum("total_samples").alias("total_samples"),
             F.min("timestamp_15min").cast("timestamp_ntz").alias("first_window"),
             F.count_distinct("machine_id").alias("machines"),
+            (F.coalesce(_content(bronze.columns), F.lit(0)) == content).alias("same_rows"),
         )
 
     parquet = ["by_machine", "flat", "by_unit", "replaced", "overwritten", "compact"]

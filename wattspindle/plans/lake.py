@@ -43,21 +43,26 @@ def write_bronze(
     sinks.overwrite_flat(conform(index, BRONZE_INDUSTRIAL), paths.bronze("industrial"))
 
 
-def write_silver(spark: SparkSession, paths: LakePaths, fill: str | None = "mean") -> None:
+def write_silver(
+    spark: SparkSession, paths: LakePaths, fill: str | None = "mean", country: str | None = None
+) -> None:
     harmonized = silver(
         read_parquet(spark, paths.bronze("telemetry"), BRONZE_TELEMETRY),
         read_parquet(spark, paths.bronze("prices"), BRONZE_PRICES),
         read_parquet(spark, paths.bronze("industrial"), BRONZE_INDUSTRIAL),
         fill,
+        country,
     )
     sinks.write_compact(harmonized, paths.silver(), BY_UNIT, "timestamp_15min")
 
 
 def write_marts(
-    spark: SparkSession, paths: LakePaths, first: str = marts.STAGE_FROM, last: str = marts.STAGE_TO
+    spark: SparkSession, paths: LakePaths, first: str | None = None, last: str | None = None
 ) -> None:
-    """Each model reads the written table of the one before."""
-    staged = marts.stage(read_parquet(spark, paths.silver(), SILVER), first, last)
+    """Each model reads the written table of the one before, beginning with the staged rows."""
+    rows = marts.with_load_time(marts.stage(read_parquet(spark, paths.silver(), SILVER), first, last))
+    sinks.overwrite_flat(rows, paths.mart("staged"))
+    staged = read_parquet(spark, paths.mart("staged"), rows.schema)
     daily_path, facts_path = paths.mart("daily_metrics"), paths.mart("machine_daily")
     sinks.overwrite_flat(conform(marts.daily_metrics(staged), DAILY_METRICS), daily_path)
     facts = marts.daily_facts(read_parquet(spark, daily_path, DAILY_METRICS))
@@ -73,25 +78,34 @@ def run_batch(
     signals: DataFrame,
     prices: DataFrame,
     index: DataFrame,
-    first: str = marts.STAGE_FROM,
-    last: str = marts.STAGE_TO,
+    first: str | None = None,
+    last: str | None = None,
     fill: str | None = "mean",
+    country: str | None = None,
 ) -> LakePaths:
-    """All layers, in order. A rerun replaces every table."""
+    """All layers, in order. A rerun replaces every table.
+
+    ``first`` and ``last`` bound what is staged, all rows by default. ``country`` chooses
+    the market and the index; it may be left out where the inputs have one country only.
+    """
     paths = LakePaths(root)
     write_bronze(paths, signals, prices, index)
-    write_silver(spark, paths, fill)
+    write_silver(spark, paths, fill, country)
     write_marts(spark, paths, first, last)
     return paths
 
 
 def append_batch(
-    paths: LakePaths, features: DataFrame, prices: DataFrame, fill: str | None = "ffill"
+    paths: LakePaths,
+    features: DataFrame,
+    prices: DataFrame,
+    fill: str | None = "ffill",
+    country: str | None = None,
 ) -> None:
     """Add one batch of feature rows, prices and harmonised windows to bronze."""
     sinks.append_partitioned(features, paths.bronze("features"), ["machine_id"])
     sinks.append_flat(prices, paths.bronze("price_batches"))
-    harmonized = harmonize_windows(telemetry_windows(features), prices, fill)
+    harmonized = harmonize_windows(telemetry_windows(features), prices, fill, country)
     sinks.append_partitioned(harmonized, paths.bronze("harmonized"), BY_UNIT)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattspindle.constants import STABILITY_PERCENTILES, STAGE_FROM, STAGE_TO
+from wattspindle.constants import STABILITY_PERCENTILES
 from wattspindle.functions import risk, signal
 from wattspindle.operators.lookups import attach_one_row
 from wattspindle.operators.quantiles import exact_quantiles
@@ -16,15 +16,17 @@ DAILY_KEY = ["measurement_date", "machine_id", "operation"]
 UNIT_KEY = ["machine_id", "operation"]
 
 
-def stage(silver: DataFrame, first: str = STAGE_FROM, last: str = STAGE_TO) -> DataFrame:
-    """Rows within the closed timestamp range.
+def stage(silver: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Rows within the closed timestamp range; a missing bound keeps everything on its side.
 
     A bare date as ``last`` means its midnight, so the rest of that day is out.
     """
     ts = F.col("timestamp_15min")
-    return silver.where(
-        ts.between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz"))
-    )
+    if first is not None:
+        silver = silver.where(ts >= F.lit(first).cast("timestamp_ntz"))
+    if last is not None:
+        silver = silver.where(ts <= F.lit(last).cast("timestamp_ntz"))
+    return silver
 
 
 def with_load_time(df: DataFrame, name: str = "loaded_at") -> DataFrame:

@@ -7,7 +7,6 @@
 from __future__ import annotations
 
 from wattspindle.constants import FALLBACK_PRICE, FALLBACK_SOURCE
-from wattspindle.functions.risk import ADVICE
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -15,10 +14,10 @@ ORACLE_SQL: dict[str, str] = {}
 
 _CTES = {
     "telemetry": """
-        SELECT ts AS timestamp, 'M0' || (user_id % 3 + 1) AS machine_id, event_type AS operation,
+        SELECT ts AS timestamp, 'M0' || (user_id % 4 + 1) AS machine_id, event_type AS operation,
                value AS rms_x, value * 0.5 AS rms_y, value * 0.25 AS rms_z,
                CAST(value > 150 AS INTEGER) AS label,
-               'M0' || (user_id % 3 + 1) || '_' || event_type || '_'
+               'M0' || (user_id % 4 + 1) || '_' || event_type || '_'
                    || lpad(CAST(event_id AS VARCHAR), 12, '0') AS filename,
                CAST(json_extract_string(props, '$.k') AS INTEGER) AS sample_count, event_id
         FROM events""",
@@ -29,13 +28,21 @@ _CTES = {
                min(filename) AS sample_file
         FROM telemetry GROUP BY 1, 2, 3""",
     "quotes": """
-        SELECT ts AS timestamp, value AS price_eur_mwh FROM events WHERE event_type = 'purchase'""",
-    "hourly": """
-        SELECT date_trunc('hour', timestamp) AS timestamp, avg(price_eur_mwh) AS price_eur_mwh
-        FROM quotes GROUP BY 1""",
+        SELECT ts AS timestamp, value AS price_eur_mwh,
+               CASE WHEN event_type IN ('purchase', 'view') THEN 'DE' WHEN event_type = 'click' THEN 'FR'
+                    ELSE 'IT' END AS country_code,
+               CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 = 0 THEN 'MOCK'
+                    ELSE 'EXCHANGE' END AS source
+        FROM events""",
+    "hours": """
+        SELECT date_trunc('hour', timestamp) AS timestamp, country_code,
+               coalesce(avg(price_eur_mwh) FILTER (WHERE source <> 'MOCK'), avg(price_eur_mwh)) AS price_eur_mwh,
+               min(source) AS source
+        FROM quotes GROUP BY 1, 2""",
+    "hourly": "SELECT * FROM hours WHERE country_code = 'DE'",
     "index_months": """
         SELECT date_trunc('month', o_orderdate) AS month, avg(o_totalprice) AS idx
-        FROM orders GROUP BY 1""",
+        FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1""",
     "priced": """
         SELECT b.*, h.price_eur_mwh AS matched_price
         FROM bronze b LEFT JOIN hourly h ON b.timestamp_15min = h.timestamp""",
@@ -43,11 +50,15 @@ _CTES = {
         SELECT *, coalesce(matched_price, (SELECT avg(matched_price) FROM priced)) AS price_eur_mwh
         FROM priced""",
     "slots": """
-        SELECT unnest(generate_series(min(timestamp), max(timestamp) + INTERVAL '45 minutes',
-               INTERVAL '15 minutes')) AS timestamp FROM hourly""",
+        SELECT country_code, unnest(generate_series(min(timestamp), max(timestamp) + INTERVAL '45 minutes',
+               INTERVAL '15 minutes')) AS timestamp FROM hours GROUP BY 1""",
+    "spine": """
+        SELECT country_code, unnest(generate_series(min(timestamp), max(timestamp), INTERVAL '1 hour')) AS timestamp
+        FROM hours GROUP BY 1""",
     "ffill": """
-        SELECT s.timestamp, h.price_eur_mwh
-        FROM slots s ASOF LEFT JOIN hourly h ON s.timestamp >= h.timestamp""",
+        SELECT s.timestamp, s.country_code, h.price_eur_mwh
+        FROM slots s ASOF LEFT JOIN hours h
+          ON s.country_code = h.country_code AND s.timestamp >= h.timestamp""",
     "silver": """
         SELECT m.timestamp_15min, machine_id, operation, avg_rms_x AS vibration_rms_x,
                avg_rms_y AS vibration_rms_y, avg_rms_z AS vibration_rms_z,
@@ -117,11 +128,15 @@ _CTES = {
         SELECT CAST(vec_id AS VARCHAR) AS run_id, 'M0' || (vec_id % 3 + 1) AS machine_id,
                'OP' || lpad(CAST(label AS VARCHAR), 2, '0') AS operation,
                TIMESTAMP '2020-01-01' + to_months(CAST(vec_id % 12 AS INTEGER)) AS base_ts,
-               CAST(vec_id % 20 = 0 AS INTEGER) AS label, embedding[1:21] AS accel_x,
-               embedding[22:42] AS accel_y, embedding[43:63] AS accel_z,
+               CAST(vec_id % 20 = 0 AS INTEGER) AS label, embedding[1:22] AS accel_x,
+               embedding[23:43] AS accel_y, embedding[44:64] AS accel_z,
                'M0' || (vec_id % 3 + 1) || '_OP' || lpad(CAST(label AS VARCHAR), 2, '0') || '_' || vec_id
                    AS filename
         FROM embeddings""",
+    "able": """
+        SELECT operation,
+               'M0' || (least(CAST(run_id AS BIGINT) % 4, CAST(substr(operation, 3) AS BIGINT) % 4) + 1) AS machine_id
+        FROM signals""",
     "blocks": """
         SELECT run_id, machine_id, operation, label, filename, CAST(i AS INTEGER) AS chunk_index,
                i = 2 AS is_last_chunk,
@@ -136,13 +151,13 @@ _CTES = {
                time_bucket(INTERVAL '15 minutes', chunk_ts) AS timestamp_15min
         FROM blocks""",
     "run_paths": """
-        SELECT event_id, form, 'M0' || (user_id % 3 + 1) AS machine,
+        SELECT event_id, form, 'M0' || (user_id % 4 + 1) AS machine,
                strftime(ts, '%b') AS mon, strftime(ts, '%Y') AS yr, date_trunc('month', ts) AS first_day,
                'OP' || lpad(CAST(user_id % 15 AS VARCHAR), 2, '0') AS op,
                lpad(CAST(event_id AS VARCHAR), 9, '0') AS run, value > 150 AS is_bad
         FROM (SELECT *, event_id % 4 AS form FROM events)""",
     "messages": """
-        SELECT *, 'run_' || event_id AS filename, 'M0' || (user_id % 3 + 1) AS machine,
+        SELECT *, 'run_' || event_id AS filename, 'M0' || (user_id % 4 + 1) AS machine,
                event_id % 17 = 0 AS cut, event_id % 10 <> 0 OR event_id % 20 = 0 AS has_body,
                CASE WHEN event_id % 23 = 0 THEN NULL ELSE ts END AS sent,
                CASE WHEN event_id % 11 <> 0 THEN CAST(value > 150 AS INTEGER) END AS label
@@ -249,37 +264,31 @@ _add(
 )
 _add(
     "price_hourly_resample",
-    """SELECT timestamp, half_up(price_eur_mwh, 4) AS price_eur_mwh, 'EXCHANGE' AS source,
-              'DE' AS country_code FROM hourly""",
+    "SELECT timestamp, half_up(price_eur_mwh, 4) AS price_eur_mwh, source, country_code FROM hours",
 )
 _add(
     "price_first_per_window",
     """SELECT time_bucket(INTERVAL '15 minutes', timestamp) AS timestamp,
               time_bucket(INTERVAL '15 minutes', timestamp) + INTERVAL '15 minutes' AS window_end,
-              arg_min(half_up(price_eur_mwh, 2), timestamp) AS price_eur_mwh, 'DE' AS country_code,
-              'EXCHANGE' AS source
-       FROM quotes GROUP BY 1, 2""",
+              arg_min(half_up(price_eur_mwh, 2), timestamp) AS price_eur_mwh, country_code,
+              arg_min(source, timestamp) AS source
+       FROM quotes GROUP BY 1, 2, country_code""",
 )
 _add(
     "price_spine_fallback",
-    f"""SELECT s.timestamp, 'DE' AS country_code,
+    f"""SELECT s.timestamp, s.country_code,
                half_up(coalesce(h.price_eur_mwh, {FALLBACK_PRICE}), 4) AS price_eur_mwh,
-               CASE WHEN h.timestamp IS NULL THEN '{FALLBACK_SOURCE}' ELSE 'EXCHANGE' END AS source
-        FROM (SELECT unnest(generate_series(min(timestamp), max(timestamp), INTERVAL '1 hour')) AS timestamp
-              FROM hourly) s
-        LEFT JOIN hourly h ON s.timestamp = h.timestamp""",
+               coalesce(h.source, '{FALLBACK_SOURCE}') AS source
+        FROM spine s LEFT JOIN hours h ON s.timestamp = h.timestamp AND s.country_code = h.country_code""",
 )
 _add(
     "price_spine_gaps",
-    """SELECT s.timestamp, 'DE' AS country_code, half_up(h.price_eur_mwh, 4) AS price_eur_mwh,
-              CASE WHEN h.timestamp IS NOT NULL THEN 'EXCHANGE' END AS source
-       FROM (SELECT unnest(generate_series(min(timestamp), max(timestamp), INTERVAL '1 hour')) AS timestamp
-             FROM hourly) s
-       LEFT JOIN hourly h ON s.timestamp = h.timestamp""",
+    """SELECT s.timestamp, s.country_code, half_up(h.price_eur_mwh, 4) AS price_eur_mwh, h.source
+       FROM spine s LEFT JOIN hours h ON s.timestamp = h.timestamp AND s.country_code = h.country_code""",
 )
 _add(
     "price_forward_fill_15min",
-    "SELECT timestamp, 'DE' AS country_code, half_up(price_eur_mwh, 4) AS price_eur_mwh FROM ffill",
+    "SELECT timestamp, country_code, half_up(price_eur_mwh, 4) AS price_eur_mwh FROM ffill",
 )
 _add(
     "price_bucket_distinct",
@@ -288,10 +297,8 @@ _add(
 )
 _add(
     "price_batches_union",
-    """SELECT ts AS timestamp, value AS price_eur_mwh, 'VIEWS' AS source, 'DE' AS country_code
-       FROM events WHERE event_type = 'view'
-       UNION ALL
-       SELECT ts, value, 'PURCHASES', 'DE' FROM events WHERE event_type = 'purchase'""",
+    """SELECT ts AS timestamp, value AS price_eur_mwh, upper(event_type) AS source, 'DE' AS country_code
+       FROM events""",
 )
 _add(
     "price_describe",
@@ -300,7 +307,7 @@ _add(
               half_up(quantile_cont(price_eur_mwh, 0.25), 4) AS p25,
               half_up(quantile_cont(price_eur_mwh, 0.5), 4) AS p50,
               half_up(quantile_cont(price_eur_mwh, 0.75), 4) AS p75
-       FROM hourly""",
+       FROM hours""",
 )
 
 # Harmonised facts and marts ---------------------------------------------------
@@ -420,10 +427,10 @@ _add(
 )
 _add(
     "risk_recommendations",
-    "SELECT machine_id, operation, risk_level, lower(risk_level) || '-alert' AS alert_class, "
-    "CASE risk_level "
-    + " ".join(f"WHEN '{level}' THEN '{text}'" for level, text in ADVICE.items())
-    + " END AS recommendation FROM summary",
+    """SELECT machine_id, operation, risk_level, action_code, within_days
+       FROM summary LEFT JOIN (VALUES ('CRITICAL', 'A1', 1), ('HIGH_RISK', 'A2', 10), ('MEDIUM_RISK', 'A3', 45),
+                                      ('LOW_RISK', 'A4', NULL)) a(risk_level, action_code, within_days)
+         USING (risk_level)""",
 )
 _add(
     "daily_vs_average",
@@ -462,7 +469,8 @@ _add(
     """SELECT operation,
               CAST(coalesce(sum(total_files) FILTER (WHERE machine_id = 'M01'), 0) AS BIGINT) AS "M01",
               CAST(coalesce(sum(total_files) FILTER (WHERE machine_id = 'M02'), 0) AS BIGINT) AS "M02",
-              CAST(coalesce(sum(total_files) FILTER (WHERE machine_id = 'M03'), 0) AS BIGINT) AS "M03"
+              CAST(coalesce(sum(total_files) FILTER (WHERE machine_id = 'M03'), 0) AS BIGINT) AS "M03",
+              CAST(coalesce(sum(total_files) FILTER (WHERE machine_id = 'M04'), 0) AS BIGINT) AS "M04"
        FROM inventory GROUP BY 1""",
 )
 _add(
@@ -474,9 +482,9 @@ _add(
 _add(
     "coverage_matrix",
     """SELECT m.machine_id, o.operation, coalesce(n, 0) AS total_files, n IS NOT NULL AS has_data
-       FROM (SELECT DISTINCT machine_id FROM signals WHERE label = 1) m
-       CROSS JOIN (SELECT DISTINCT operation FROM signals WHERE label = 1) o
-       LEFT JOIN (SELECT machine_id, operation, count(*) AS n FROM signals WHERE label = 1 GROUP BY 1, 2) c
+       FROM (SELECT DISTINCT machine_id FROM able) m
+       CROSS JOIN (SELECT DISTINCT operation FROM able) o
+       LEFT JOIN (SELECT machine_id, operation, count(*) AS n FROM able GROUP BY 1, 2) c
          ON m.machine_id = c.machine_id AND o.operation = c.operation""",
 )
 
@@ -522,11 +530,23 @@ _add(
               max(timestamp_15min) AS max_ts
        FROM bronze""",
 )
+# The columns of the test tables.
 _VALIDATED = {
+    "benchmark": "item_id text",
+    "conversations": "conv_id turn role text",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label",
     "events": "event_id ts user_id event_type value props",
+    "labels": "doc_id quality toxic",
     "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount "
     "l_tax l_returnflag l_linestatus l_shipdate",
+    "nation": "n_nationkey n_name n_regionkey",
     "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "pages": "page_id url html",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "region": "r_regionkey r_name",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
 }
 _add(
     "layer_validation",
@@ -540,21 +560,33 @@ _add(
         + ["SELECT 'absent', 0, 0, 0, 'FAIL'"]
     ),
 )
-_TABLE_NAMES = (
-    "'benchmark', 'conversations', 'customer', 'documents', 'embeddings', 'events', 'labels', "
-    "'lineitem', 'nation', 'orders', 'pages', 'part', 'region', 'supplier'"
-)
 _add(
     "dataset_presence",
-    f"""SELECT DISTINCT table_name AS dataset, CAST(1 AS BIGINT) AS file_count, TRUE AS present, TRUE AS has_bytes
-        FROM information_schema.tables WHERE table_name IN ({_TABLE_NAMES})
-        UNION ALL SELECT 'absent', 0, FALSE, FALSE""",
+    " UNION ALL ".join(
+        [
+            f"SELECT '{t}' AS dataset, count(*) AS n_rows, TRUE AS present, TRUE AS has_bytes FROM {t}"
+            for t in _VALIDATED
+        ]
+        + ["SELECT 'absent', 0, FALSE, FALSE"]
+    ),
 )
 _add(
     "file_listing",
-    f"""SELECT DISTINCT table_name AS dataset FROM information_schema.tables
-        WHERE table_name IN ({_TABLE_NAMES}) ORDER BY 1 LIMIT 5""",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, count(*) AS n_rows FROM {t}" for t in sorted(_VALIDATED)[:5]
+    ),
+)
+_add(
+    "stage_rows",
+    """SELECT 'telemetry' AS stage, count(*) AS n_rows FROM telemetry
+       UNION ALL SELECT 'quotes', count(*) FROM quotes
+       UNION ALL SELECT 'prices', count(*) FROM hours
+       UNION ALL SELECT 'index', count(DISTINCT (o_custkey % 3, date_trunc('month', o_orderdate))) FROM orders
+       UNION ALL SELECT 'silver', count(*) FROM bronze
+       UNION ALL SELECT 'daily', count(*) FROM daily""",
 )
+_add("staged_load_time", "SELECT count(*) AS n_rows, count(*) AS n_stamped FROM bronze")
+_add("mart_table", _select(f"{_REPORT_COLUMNS} #first_measurement #last_measurement", "summary", 4))
 
 # Signals, names, messages, documents ------------------------------------------
 
@@ -597,7 +629,7 @@ _add(
               base_ts + to_microseconds(CAST(i * 500 AS BIGINT)) AS timestamp,
               accel_x[i + 1]::DOUBLE AS accel_x, accel_y[i + 1]::DOUBLE AS accel_y,
               accel_z[i + 1]::DOUBLE AS accel_z
-       FROM signals, (SELECT unnest(range(21)) AS i)""",
+       FROM signals, (SELECT unnest(range(22)) AS i)""",
 )
 _add(
     "signal_head",
@@ -653,7 +685,7 @@ _add(
 )
 _add(
     "price_xml_parse",
-    "SELECT timestamp, half_up(price_eur_mwh, 4) AS price_eur_mwh FROM hourly",
+    "SELECT timestamp, half_up(price_eur_mwh, 4) AS price_eur_mwh FROM hours",
 )
 _add(
     "index_xml_parse",
@@ -711,6 +743,13 @@ _add(
         " has_anomaly,", " coalesce(has_anomaly, 0) AS has_anomaly,", 1
     ),
 )
+_add(
+    "stream_driver",
+    _select(_WINDOW_COLUMNS.replace(" max_", " @max_"), _windows(_MESSAGE_FEATURES)).replace(
+        " has_anomaly,", " coalesce(has_anomaly, 0) AS has_anomaly,", 1
+    )
+    + " WHERE window_end <= (SELECT max(sent) FROM bodies) - INTERVAL '10 minutes'",
+)
 _add(
     "stream_late_data",
     _select(_WINDOW_COLUMNS, _windows("(SELECT * FROM telemetry WHERE event_id % 50 <> 0)"))
@@ -721,7 +760,7 @@ _add(
 
 _add(
     "sink_roundtrip",
-    """SELECT sink, n_rows, total_samples, first_window, machines
+    """SELECT sink, n_rows, total_samples, first_window, machines, TRUE AS same_rows
        FROM (SELECT count(*) AS n_rows, CAST(sum(total_samples) AS BIGINT) AS total_samples,
                     min(timestamp_15min) AS first_window, count(DISTINCT machine_id) AS machines
              FROM bronze)

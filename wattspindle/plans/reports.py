@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wattspindle.functions import risk
 from wattspindle.operators.lookups import lookup_join
@@ -89,12 +90,13 @@ def operation_choices(summary: DataFrame, machine_id: str) -> DataFrame:
 def health_distribution(facts: DataFrame) -> DataFrame:
     """Days per health class and their share, per unit."""
     counts = facts.groupBy(*UNIT_KEY, "machine_health_status").agg(F.count(F.lit(1)).alias("days"))
-    totals = counts.groupBy(*UNIT_KEY).agg(F.sum("days").alias("all_days"))
-    return counts.join(totals, UNIT_KEY).select(
+    # A unit has one counted row per class, so its window is a handful of rows.
+    all_days = F.sum("days").over(Window.partitionBy(*UNIT_KEY))
+    return counts.select(
         *UNIT_KEY,
         "machine_health_status",
         "days",
-        risk.rate_pct(F.col("days"), F.col("all_days")).alias("share_pct"),
+        risk.rate_pct(F.col("days"), all_days).alias("share_pct"),
     )
 
 
@@ -143,14 +145,13 @@ def machine_kpis(summary: DataFrame) -> DataFrame:
     )
 
 
-def risk_recommendations(summary: DataFrame) -> DataFrame:
-    level = F.col("risk_level")
-    return summary.select(
-        *UNIT_KEY,
-        "risk_level",
-        risk.alert_class(level).alias("alert_class"),
-        risk.advice(level).alias("recommendation"),
-    )
+def risk_recommendations(summary: DataFrame, actions: DataFrame) -> DataFrame:
+    """What to do about each unit: its class joined with the caller's table of actions.
+
+    ``actions`` has one row per ``risk_level``; its other columns are up to the caller.
+    A class without an action keeps its row.
+    """
+    return lookup_join(summary.select(*UNIT_KEY, "risk_level"), actions, "risk_level")
 
 
 def daily_vs_average(facts: DataFrame, summary: DataFrame) -> DataFrame:
@@ -202,9 +203,16 @@ def dataset_inventory(runs: DataFrame) -> DataFrame:
     )
 
 
-def inventory_pivot(inventory: DataFrame, machines: list[str]) -> DataFrame:
-    """Files per operation (rows) and machine (columns), absent pairs as 0."""
-    counts = inventory.groupBy("operation").pivot("machine_id", machines).agg(F.sum("total_files"))
+def inventory_pivot(inventory: DataFrame, machines: list[str] | None = None) -> DataFrame:
+    """Files per operation (rows) and machine (columns), absent pairs as 0.
+
+    Every machine of the inventory has a column. ``machines`` sets the order of those it
+    names; others follow by name.
+    """
+    found = {r.machine_id for r in inventory.select("machine_id").distinct().collect()}
+    named = [m for m in machines or [] if m in found]
+    columns = named + sorted((found - set(named)), key=str)
+    counts = inventory.groupBy("operation").pivot("machine_id", columns).agg(F.sum("total_files"))
     return counts.na.fill(0)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -92,16 +91,15 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's checkpoint folder.
 
-    A local session without one gets a temporary folder; a cluster session must
+    A local session without one uses its warehouse folder; a cluster session must
     name a folder that every executor can reach.
     """
     context = spark.sparkContext
-    root = context.getCheckpointDir() or spark.conf.get(CHECKPOINT_KEY, None)
+    root = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="wattspindle-")
-        context.setCheckpointDir(root)
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/wattspindle-{context.applicationId}"
 
 

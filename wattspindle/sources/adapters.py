@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspindle.constants import INDEX_UNIT
+from wattspindle.constants import FALLBACK_SOURCE, INDEX_UNIT
 from wattspindle.functions import timebase
 from wattspindle.functions.risk import half_up
 from wattspindle.operators.windows import hourly_mean, rollup_chunks
@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_machine() -> Column:
-    return F.concat(F.lit("M0"), (F.col("user_id") % 3 + 1).cast("string"))
+    return F.concat(F.lit("M0"), (F.col("user_id") % 4 + 1).cast("string"))
 
 
 def telemetry_rows(events: DataFrame) -> DataFrame:
@@ -73,16 +73,14 @@ def silver_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Irregular price quotes from the purchases in ``events``."""
-    return (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "purchase")
-        .select(
-            F.col("ts").alias("timestamp"),
-            F.col("value").alias("price_eur_mwh"),
-            F.lit(PRICE_SOURCE).alias("source"),
-            F.lit("DE").alias("country_code"),
-        )
+    """Irregular price quotes of three markets from ``events``, some of them stand-ins."""
+    kind = F.col("event_type")
+    stand_in = F.get_json_object("props", "$.k").try_cast("int") % 5 == 0
+    return table(spark, sf_dir, "events").select(
+        F.col("ts").alias("timestamp"),
+        F.col("value").alias("price_eur_mwh"),
+        F.when(stand_in, FALLBACK_SOURCE).otherwise(PRICE_SOURCE).alias("source"),
+        F.when(kind.isin("purchase", "view"), "DE").when(kind == "click", "FR").otherwise("IT").alias("country_code"),
     )
 
 
@@ -95,15 +93,22 @@ def bronze_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(hourly_prices(spark, sf_dir), "bronze-prices")
 
 
+def order_country() -> Column:
+    return F.element_at(F.array(F.lit("DE"), F.lit("FR"), F.lit("IT")), (F.col("o_custkey") % 3 + 1).cast("int"))
+
+
 def industrial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly index from ``orders``."""
+    """Monthly index per country from ``orders``."""
     return (
         table(spark, sf_dir, "orders")
-        .groupBy(timebase.month_key("o_orderdate").cast("timestamp_ntz").alias("date"))
+        .groupBy(
+            timebase.month_key("o_orderdate").cast("timestamp_ntz").alias("date"),
+            order_country().alias("country_code"),
+        )
         .agg(F.avg("o_totalprice").alias("industrial_production_index"))
         .select(
             "date",
-            F.lit("DE").alias("country_code"),
+            "country_code",
             "industrial_production_index",
             F.lit(INDEX_SOURCE).alias("source"),
             F.lit(INDEX_UNIT).alias("unit"),
@@ -137,11 +142,12 @@ def telemetry_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recordings from ``embeddings``: 21 samples per axis."""
+    """Recordings from ``embeddings``: all 64 values, 22 for the first axis and 21 for the others."""
     month = (F.col("vec_id") % 12).cast("int")
     machine = F.concat(F.lit("M0"), (F.col("vec_id") % 3 + 1).cast("string"))
     operation = F.concat(F.lit("OP"), F.lpad(F.col("label").cast("string"), 2, "0"))
-    axes = {a: F.slice("embedding", 1 + 21 * i, 21) for i, a in enumerate(("x", "y", "z"))}
+    parts = {"x": (1, 22), "y": (23, 21), "z": (44, 21)}
+    axes = {a: F.slice("embedding", first, count) for a, (first, count) in parts.items()}
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("string").alias("run_id"),
         machine.alias("machine_id"),
@@ -221,12 +227,12 @@ def _element(name: str, *content: Column, attributes: str = "") -> Column:
 
 
 def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One price document per day with two half-day periods.
+    """One price document per day and country with two half-day periods.
 
     A document holds at most 24 positions, however many quotes an hour has.
     """
     hourly = hourly_mean(price_quotes(spark, sf_dir)).select(
-        "timestamp", half_up(F.col("price_eur_mwh"), 4).alias("price")
+        "timestamp", "country_code", half_up(F.col("price_eur_mwh"), 4).alias("price")
     )
     hour = F.hour("timestamp")
     point = _element(
@@ -240,10 +246,11 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "yyyy-MM-dd'T'HH:mm'Z'",
     )
     periods = (
-        hourly.groupBy(F.col("timestamp").cast("date").alias("day"), start.alias("start"))
+        hourly.groupBy(F.col("timestamp").cast("date").alias("day"), "country_code", start.alias("start"))
         .agg(F.concat_ws("", F.sort_array(F.collect_list(point))).alias("points"))
         .select(
             "day",
+            "country_code",
             _element(
                 "Period",
                 _element("timeInterval", _element("start", F.col("start"))),
@@ -253,7 +260,7 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return (
-        periods.groupBy("day")
+        periods.groupBy("day", "country_code")
         .agg(F.concat_ws("", F.sort_array(F.collect_list("period"))).alias("periods"))
         .select(
             "day",
@@ -266,10 +273,6 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_country() -> Column:
-    return F.element_at(F.array(F.lit("DE"), F.lit("FR"), F.lit("IT")), (F.col("o_custkey") % 3 + 1).cast("int"))
-
-
 def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One index document per year with one series per country, prefixed namespaces."""
     monthly = (

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattspindle.constants import MAX_OFFSETS_PER_TRIGGER
 from wattspindle.functions.timebase import micros_from_nanos
 from wattspindle.schemas import SIGNALS, conform
 
@@ -30,21 +30,23 @@ def read_signals(spark: SparkSession, path: str) -> DataFrame:
     return conform(read_parquet(spark, path), SIGNALS)
 
 
-def list_files(
-    spark: SparkSession, root: str, pattern: str = "*", limit: int | None = None
-) -> DataFrame:
-    """Files below ``root``: path and length, without reading contents.
+def list_files(spark: SparkSession, tables: dict[str, str], limit: int | None = None) -> DataFrame:
+    """Files of named Parquet tables: dataset, path, length and rows.
 
-    ``limit`` caps the listing, in path order so that the cap is repeatable.
+    Every table is read, one row per file comes out, and a table is a file or a folder
+    of files. One that cannot be read has no row. ``limit`` caps the listing, in the
+    order of dataset and path so that the cap is repeatable.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select("path", "length")
-    )
-    return files if limit is None else files.orderBy("path").limit(limit)
+    listing = spark.createDataFrame([], "dataset string, path string, length long, n_rows long")
+    for name, path in tables.items():
+        try:
+            rows = spark.read.parquet(path)
+        except AnalysisException:
+            continue
+        file = rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"))
+        counted = file.groupBy("path", "length").agg(F.count(F.lit(1)).alias("n_rows"))
+        listing = listing.unionByName(counted.withColumn("dataset", F.lit(name)))
+    return listing if limit is None else listing.orderBy("dataset", "path").limit(limit)
 
 
 def stream_files(
@@ -62,15 +64,28 @@ def stream_files(
     return reader.load(path)
 
 
+def stream_table(
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
+) -> DataFrame:
+    """A Parquet table as a stream, be it one file or a folder of files."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.getFileStatus(place).isDirectory():
+        return stream_files(spark, path, schema, max_files=max_files)
+    return stream_files(spark, place.getParent().toString(), schema, place.getName(), max_files=max_files)
+
+
 def stream_kafka(
     spark: SparkSession,
     servers: str,
     topic: str,
     group: str | None = None,
-    max_offsets: int = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets: int | None = None,
 ) -> DataFrame:
     """A Kafka topic as a stream of ``value`` strings, from the earliest offset.
 
+    ``max_offsets`` caps the records of a trigger; without it a stream catches up.
     Needs the Kafka connector package on the cluster.
     """
     reader = (
@@ -78,8 +93,9 @@ def stream_kafka(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_offsets)
     )
+    if max_offsets is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     if group:
         reader = reader.option("kafka.group.id", group)
     return reader.load().select(F.col("value").cast("string").alias("value"))

@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def gathered(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of a partition value in few tasks; adaptive execution splits large values."""
+    return df.hint("rebalance", *[F.col(c) for c in by])
+
+
 def append_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
-    df.write.mode("append").partitionBy(*by).parquet(path)
+    gathered(df, by).write.mode("append").partitionBy(*by).parquet(path)
 
 
 def append_flat(df: DataFrame, path: str) -> None:
@@ -22,7 +27,8 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     """Replace exactly the partitions present in ``df``; running it again gives
     the same table."""
     (
-        df.write.mode("overwrite")
+        gathered(df, by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)
@@ -39,11 +45,11 @@ def write_compact(
     the values that are too large for one task. ``order`` sorts the rows inside
     each file, so that range filters on it skip row groups.
     """
-    gathered = df.hint("rebalance", *[F.col(c) for c in by])
+    rows = gathered(df, by)
     if order:
-        gathered = gathered.sortWithinPartitions(*by, order)
+        rows = rows.sortWithinPartitions(*by, order)
     (
-        gathered.write.mode(mode)
+        rows.write.mode(mode)
         .option("compression", "snappy")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*by)
