@@ -19,9 +19,9 @@ from wattspindle.llm import (
     toxicity,
 )
 from wattspindle.llm.common import read, ship_code
+from wattspindle.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
