@@ -10,7 +10,9 @@ piece reads its place by its number among the pieces of its length.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -25,8 +27,8 @@ from wattspindle.llm.common import MB, Table, rank_in, slices
 CAPACITY = 2048
 #: Fillings of one sequence that are weighed, and branches that are followed in all.
 FILLINGS, BRANCHES = 12, 4000
-#: Words whose tokens a task remembers.
-REMEMBERED = 200_000
+#: Words of a generation whose tokens a Python worker remembers: some 60 MB.
+REMEMBERED = 300_000
 
 
 def tokenizer_path() -> str:
@@ -45,28 +47,71 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Words of printable ASCII but apostrophes and of precomposed Latin letters have simple parts.
+_LATIN = "a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_SIMPLE = re.compile(f"[!-&(-~{_LATIN}]+")
+_PARTS = re.compile(f"[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+")
+
+
+@cache
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class Words:
-    """Token ids of whole texts, word by word: this vocabulary never joins across white space."""
+    """Token ids of whole texts, word by word: this vocabulary never joins across white space.
+
+    Words are remembered in two generations; one used again moves to the young one. A
+    word's parts (a run of letters, a digit, a run of other signs) go to the vocabulary's
+    model at once; words with other characters take the tokenizer's whole way.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words = (text or "").encode().split()
-        known = self.known
-        missing = list({w for w in words if w not in known})
-        if missing:
-            if len(known) > REMEMBERED:
-                known.clear()
-                missing = list(set(words))
-            plain = [w.decode() for w in missing]
-            for word, code in zip(
-                missing, self.tokenizer.encode_batch(plain, add_special_tokens=False), strict=True
-            ):
-                known[word] = np.array(code.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        # The vocabulary is lower-case; A-Z can go at once, other letters one by one.
+        words = (text or "").encode().lower().split()
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        for word in set(words):
+            if word not in young:
+                young[word] = old.get(word) or self._word(word)
+        return b"".join(map(young.__getitem__, words))
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode().lower()
+        if not _SIMPLE.fullmatch(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        parts = _PARTS.findall(text)
+        if len(parts) == 1:
+            return self._part(text.encode())
+        found = []
+        for part in parts:
+            key = part.encode()
+            ids = self.young.get(key) or self.old.get(key)
+            if ids is None:
+                ids = self.young[key] = self._part(key)
+            found.append(ids)
+        return b"".join(found)
+
+    def _part(self, part: bytes) -> bytes:
+        shown = part.decode() if part.isascii() else "".join(map(_byte_letters().__getitem__, part))
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+
+@cache
+def _words(path: str) -> Words:
+    """One for each Python worker, so that tasks that follow each other share it."""
+    return Words(path)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -77,7 +122,7 @@ def pieces(docs: DataFrame, doc_id: str, text: str, path: str, capacity: int = C
     slim = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(path)
+        words = _words(path)
         for batch in slices(batches, "text", 4 * MB):
             rows: list[tuple] = []
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
