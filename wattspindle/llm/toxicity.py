@@ -37,10 +37,10 @@ BEGIN, END = "\x01", "\x02"
 #: Longer words are read in overlapping parts.
 PART, STEP = 20, 10
 #: Labelled documents, words and landmarks that the machine is trained on.
-SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 9000
-INSULTS, CLEAN_WORDS, LANDMARKS = 1500, 12_000, 128
+SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 6000
+INSULTS, CLEAN_WORDS, LANDMARKS = 1500, 10_000, 96
 #: Words a pool of landmarks is chosen from, and insults that are varied.
-LISTED, VARIED = 1000, 60
+LISTED, VARIED = 400, 60
 #: The kernel of two words is exp((k - 1) / WIDTH), k being the normalised triple kernel.
 WIDTH = 0.25
 #: Words whose value a Python worker remembers.
@@ -89,19 +89,21 @@ def _parts(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def triples(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, triple, weight) of each distinct triple of each row."""
-    keys = []
+    kind = np.uint32 if len(matrix) <= 4096 else np.uint64
+    letter, keys = matrix.astype(kind), []
+    row = (np.arange(len(matrix), dtype=kind) << kind(20))[:, None]
     for first, stretch in _GAPS:
         wide = matrix.shape[1] - stretch
-        if wide <= 0:
-            continue
-        last = matrix[:, stretch:]
-        row, at = np.nonzero(last >= 0)
-        triple = (matrix[row, at] * CLASSES + matrix[row, at + first]) * CLASSES + last[row, at]
-        keys.append((row << 20) | (triple << 2) | (stretch - 2))
-    keys = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
-    heads = np.flatnonzero(np.r_[True, keys[1:] >> 2 != keys[:-1] >> 2][: len(keys)])
-    weight = np.add.reduceat(_WEIGHTS[keys & 3], heads) if len(heads) else np.zeros(0)
-    return keys[heads] >> 20, keys[heads] >> 2 & 0x3FFFF, weight
+        if wide > 0:
+            triple = letter[:, :wide] * kind(CLASSES) + letter[:, first : first + wide]
+            triple = triple * kind(CLASSES) + letter[:, stretch:]
+            key = row | triple << kind(2) | kind(stretch - 2)
+            keys.append(key[matrix[:, stretch:] >= 0])
+    keys = np.sort(np.concatenate(keys)) if keys else np.zeros(0, kind)
+    heads = np.flatnonzero(np.r_[True, keys[1:] >> kind(2) != keys[:-1] >> kind(2)][: len(keys)])
+    weight = np.add.reduceat(_WEIGHTS[keys & kind(3)], heads) if len(heads) else np.zeros(0)
+    found = keys[heads].astype(np.int64)
+    return found >> 20, found >> 2 & 0x3FFFF, weight
 
 
 def _described(names: list[str]) -> tuple[np.ndarray, ...]:
@@ -207,7 +209,8 @@ def train(insults: dict[str, int], clean: dict[str, int], hard: list[str]) -> Ma
     size, vectors = np.linalg.eigh(machine.kernel(marks)[0].astype(float))
     use = size > 1e-5
     white = vectors[:, use] / np.sqrt(size[use])
-    features = np.c_[machine.kernel(names)[0] @ white, np.ones(len(names))]
+    near = [machine.kernel(names[i : i + 2000])[0] @ white for i in range(0, len(names), 2000)]
+    features = np.c_[np.concatenate(near), np.ones(len(names))]
     cost = np.r_[list(insults.values()), list(clean.values()), np.full(len(hard), HARD)]
     cost = np.sqrt(cost.astype(float))
     cost *= np.where(sign > 0, 1 / cost[sign > 0].sum(), 1 / cost[sign < 0].sum()) * COST
