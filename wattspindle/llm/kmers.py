@@ -44,10 +44,10 @@ def least_positions(hashes: np.ndarray, length: int, bits: int) -> np.ndarray:
     return (low & mask).astype(np.int64)
 
 
-def pack(arrays: list[np.ndarray], data: bytes = b"") -> bytes:
+def pack(arrays: list[np.ndarray], data: bytes = b"", level: int = 1) -> bytes:
     """Arrays of one length, and bytes, in one compressed string."""
     head = struct.pack("<I", len(arrays[0]))
-    return zstandard.compress(b"".join([head, *[a.tobytes() for a in arrays], data]), 1)
+    return zstandard.compress(b"".join([head, *[a.tobytes() for a in arrays], data]), level)
 
 
 def unpack(blob: bytes, kinds: list[str]) -> tuple[list[np.ndarray], bytes]:
@@ -74,9 +74,9 @@ def span_rows(
     fresh = new | np.r_[True, begins[1:] + base[1:] > reach[:-1]][: len(ids)]
     at = np.flatnonzero(fresh)
     last = np.r_[at[1:] - 1, len(ids) - 1][: len(at)]
-    pairs = np.stack([begins[at], reach[last] - base[last]], axis=1).astype("<i8")
+    pairs = np.stack([begins[at], reach[last] - base[last]], axis=1).astype("<u4")
     heads = np.flatnonzero(new[at])
-    offsets = np.r_[heads, len(at)] * 16
+    offsets = np.r_[heads, len(at)] * 8
     raw = pairs.tobytes()
     values = [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
     return pa.RecordBatch.from_arrays(
@@ -89,7 +89,7 @@ def covered(n: int, spans: list[bytes] | None) -> np.ndarray:
     """Which of ``n`` places some span covers."""
     steps = np.zeros(n + 1, np.int64)
     for blob in spans or []:
-        pairs = np.frombuffer(blob, "<i8").reshape(-1, 2)
+        pairs = np.frombuffer(blob, "<u4").reshape(-1, 2).astype(np.int64)
         np.add.at(steps, pairs[:, 0], 1)
         np.add.at(steps, pairs[:, 1], -1)
     return np.cumsum(steps[:-1]) > 0

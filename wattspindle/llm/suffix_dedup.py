@@ -47,11 +47,14 @@ LENGTH = 50
 GRAM = 16
 #: Bytes handled at once, and the bits that number them.
 BLOCK, BLOCK_BITS = MB, 22
+#: Blocks whose strings are shipped together.
+TOGETHER = 16
 #: A bucket's share of a minimiser's strings beyond which its windows travel alone.
 CROWDED = 2 * MB
 #: Parts a separator cannot be in: this byte is in no UTF-8 text.
 SEPARATOR = 0xFF
-KINDS = ["<u8", "<i8", "<i8", "<i8", "<u4", "<u4"]
+#: Of minimisers, ids, tags, starts and string lengths.
+KINDS = ["<u8", "<i8", "<i8", "<i8", "<u4"]
 
 
 def _blocks(
@@ -117,6 +120,10 @@ def _strings(flagged: DataFrame, text: str, buckets: int, crowded: np.ndarray, l
     """(bucket, strings, spans): packed strings of recurring minimisers, and settled spans."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        sent: list[list[np.ndarray]] = []
+        strings: list[bytes] = []
+        blocks = 0
         for block in _blocks(batches, length, text):
             found = _Block(block, length)
             flags = np.unique(np.frombuffer(b"".join(s for p in block for s in p[4] or []), "<u8"))
@@ -124,41 +131,49 @@ def _strings(flagged: DataFrame, text: str, buckets: int, crowded: np.ndarray, l
             found.first, found.count = found.first[keep], found.count[keep]
             found.owner, found.seed = found.owner[keep], found.seed[keep]
             found.single(crowded, length)
-            if len(found.seed):
-                yield ship(found)
-
-    def ship(found: _Block) -> pa.RecordBatch:
+            yield from gather(found, known, sent, strings)
+            blocks += 1
+            if blocks == TOGETHER:
+                yield from shipped(sent, strings)
+                known, sent, strings, blocks = {}, [], [], 0
+        yield from shipped(sent, strings)
+
+    def gather(found: _Block, known: dict, sent: list, strings: list) -> Iterator[pa.RecordBatch]:
+        """Keep the strings that no smaller document had before; settle the others."""
         ids, tags = found.ids[found.owner], found.tags[found.owner]
         starts = found.first + found.shift[found.owner]
-        data, known, strings, sent, settled = found.data, {}, [], [], []
+        data, fresh = found.data, np.ones(len(ids), bool)
         ends = (found.first + found.count + length - 1).tolist()
         for k, (doc, begin, end) in enumerate(zip(ids.tolist(), found.first.tolist(), ends, strict=True)):
             string = data[begin:end]
             if known.setdefault(string, doc) < doc:
-                settled.append(k)
+                fresh[k] = False
             else:
-                sent.append(k)
                 strings.append(string)
-        sent, settled = np.array(sent, np.int64), np.array(settled, np.int64)
-        bucket = (found.seed[sent] % np.uint64(buckets)).astype(np.int64)
+        sent.append([found.seed[fresh], ids[fresh], tags[fresh], starts[fresh]])
+        if not fresh.all():
+            old = ~fresh
+            arrays = [ids[old], tags[old], starts[old], starts[old] + found.count[old] + length - 1]
+            number = int(found.seed[0] % np.uint64(buckets))
+            yield row(number, None, pack([x.astype("<i8") for x in arrays]))
+
+    def shipped(sent: list, strings: list) -> Iterator[pa.RecordBatch]:
+        if not strings:
+            return
+        columns = [np.concatenate(x) for x in zip(*sent, strict=True)]
+        columns.append(np.fromiter(map(len, strings), np.int64, len(strings)))
+        bucket = (columns[0] % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True][: len(order) + 1])
-        numbers, blobs, spans = [], [], []
+        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True])
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            row, own = sent[order[a:b]], [strings[i] for i in order[a:b].tolist()]
-            arrays = [found.seed[row], ids[row], tags[row], starts[row], found.count[row]]
-            arrays.append(np.fromiter(map(len, own), np.int64, len(own)))
-            blobs.append(pack([x.astype(k) for x, k in zip(arrays, KINDS, strict=True)], b"".join(own)))
-            numbers.append(int(bucket[order[a]]))
-            spans.append(None)
-        if len(settled):
-            arrays = [ids[settled], tags[settled], starts[settled]]
-            arrays.append(starts[settled] + found.count[settled] + length - 1)
-            numbers.append(int(found.seed[0] % np.uint64(buckets)))
-            blobs.append(None)
-            spans.append(pack([x.astype("<i8") for x in arrays]))
+            part = order[a:b]
+            arrays = [x[part].astype(kind) for x, kind in zip(columns, KINDS, strict=True)]
+            blob = pack(arrays, b"".join([strings[i] for i in part.tolist()]), level=3)
+            yield row(int(bucket[part[0]]), blob, None)
+
+    def row(number: int, blob: bytes | None, spans: bytes | None) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary()), pa.array(spans, pa.binary())],
+            [pa.array([number], pa.int64()), pa.array([blob], pa.binary()), pa.array([spans], pa.binary())],
             ["bucket", "strings", "spans"],
         )
 
@@ -229,7 +244,7 @@ def repeat_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
 def _settle(blobs: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Spans of one bucket, as arrays of id, tag, begin and end."""
     parts = [unpack(blob, KINDS) for blob in blobs]
-    seed, ids, tags, starts, counts, sizes = (
+    seed, ids, tags, starts, sizes = (
         np.concatenate(x) for x in zip(*[p[0] for p in parts], strict=True)
     )
     data = b"".join(p[1] for p in parts)
@@ -251,7 +266,7 @@ def _settle(blobs: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]
     larger = ids[rows] > least[own] if len(rows) else np.zeros(0, bool)
     if larger.any():
         row = rows[larger]
-        yield ids[row], tags[row], starts[row], starts[row] + counts[row].astype(np.int64) + length - 1
+        yield ids[row], tags[row], starts[row], starts[row] + sizes[row]
     # Strings whose minimiser has other strings too may share windows with them.
     group = np.empty(len(least), np.int64)
     group[own] = at[rows]
