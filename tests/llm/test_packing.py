@@ -51,6 +51,21 @@ def test_odd_texts(make, odd_texts):
     holds(packing.pack(make(*rows)).collect(), rows)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "<|endoftext|>", "a<|startoftext|>b", "<|ENDOFTEXT|>", "x <|endoftext|> <|EndOfText|> y", "it's<|ENDOFTEXT|>",
+        "<|endoftext|><|endoftext|>", "ΟΔΟΣ", "ΟΔΟΣ! ΑΣ ΟΔΟΣ", "J\u030cA H\u0331 T\u0308 j\u030c", "İSTANBUL ŸÉ É\u0301 ŉ ĲSS",
+        "Größe ÉTÉ Straße", "“Quoted” Words WORDS words",
+    ],
+)
+def test_ids_are_the_tokenizers(text):
+    words = packing.Words(packing.tokenizer_path())
+    for value in (text, text.lower(), text, f"Plain {text} Plain"):
+        wanted = words.tokenizer.encode(value, add_special_tokens=False).ids
+        assert np.frombuffer(words.ids(value), "<u4").tolist() == wanted
+
+
 def test_repeated_rows_and_clashes(make):
     rows = [(1, "a b c"), (1, "a b c"), (1, "other text"), (2, None)]
     docs = make(*rows).withColumn("offset", F.lit("clash"))

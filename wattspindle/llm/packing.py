@@ -48,9 +48,12 @@ def _tokenizer(path: str):
 
 
 #: Words of printable ASCII but apostrophes and of precomposed Latin letters have simple parts.
-_LATIN = "a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+#: The capital I with a dot is left out: lower-cased it is two characters.
+_LATIN = "a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
 _SIMPLE = re.compile(f"[!-&(-~{_LATIN}]+")
 _PARTS = re.compile(f"[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+")
+#: First bytes of all characters behind those: the only ones whose case or composition depends on neighbours.
+_OTHER = bytes(range(0xC6, 0x100))
 
 
 @cache
@@ -66,19 +69,26 @@ class Words:
 
     Words are remembered in two generations; one used again moves to the young one. A
     word's parts (a run of letters, a digit, a run of other signs) go to the vocabulary's
-    model at once; words with other characters take the tokenizer's whole way.
+    model at once; words with other characters, or with the text of an added token in any
+    case, take the tokenizer's whole way, as they were written.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        # The vocabulary is lower-case; A-Z can go at once, other letters one by one.
-        words = (text or "").encode().lower().split()
+        # The vocabulary is lower-case; A-Z can go at once, unless a capital composes with a mark
+        # behind it or makes the difference between an added token and plain text.
+        written = (text or "").encode()
+        lower = written.lower()
+        if len(written.translate(None, _OTHER)) < len(written) or self._holds_added(lower):
+            lower = written
+        words = lower.split()
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
@@ -87,10 +97,14 @@ class Words:
                 young[word] = old.get(word) or self._word(word)
         return b"".join(map(young.__getitem__, words))
 
+    def _holds_added(self, lower: bytes) -> bool:
+        return any(a in lower for a in self.added)
+
     def _word(self, word: bytes) -> bytes:
-        text = word.decode().lower()
-        if not _SIMPLE.fullmatch(text):
+        text = word.decode()
+        if not _SIMPLE.fullmatch(text) or self._holds_added(word.lower()):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        text = text.lower()
         parts = _PARTS.findall(text)
         if len(parts) == 1:
             return self._part(text.encode())
