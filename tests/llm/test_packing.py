@@ -111,6 +111,23 @@ def test_completion_is_near_the_optimum(seed):
     assert packing.bound(counts, capacity) <= fewest <= used <= fewest + 1
 
 
+def test_first_way_down_is_whole_and_many_lengths_branch(monkeypatch):
+    """A packing better than best fit is found, however few branches may follow it."""
+    rng = random.Random(1)
+    counts = {rng.randint(409, 1024): rng.randint(1, 4) for _ in range(200)}
+    monkeypatch.setattr(packing, "BRANCHES", 1)
+    asked = []
+    fillings = packing._fillings
+    monkeypatch.setattr(packing, "_fillings", lambda *a: asked.append(len(a[0])) or fillings(*a))
+    patterns = packing.complete(counts)
+    held = {}
+    for filling, times in patterns:
+        for size in filling:
+            held[size] = held.get(size, 0) + times
+    assert held == counts and max(asked) > 60
+    assert sum(t for _, t in patterns) < sum(t for _, t in packing._greedy(counts, 2048))
+
+
 def test_slots_give_every_rank_one_place():
     counts = {7: 10, 5: 9, 3: 31, 20: 2, 1: 4}
     slots = packing._slots(packing.complete(counts, 20))

@@ -247,44 +247,51 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
     best = _greedy(counts, capacity)
     fewest, least = sum(t for _, t in best), bound(counts, capacity)
     total = sum(s * n for s, n in counts.items())
-    branches = 0
-
-    def go(left: dict[int, int], done: list[Pattern], used: int, waste: int) -> bool:
-        """Whether a packing as small as the bound was found."""
-        nonlocal best, fewest, branches
-        while True:
-            sizes = sorted(s for s, n in left.items() if n)
-            if not sizes:
-                if used < fewest:
-                    best, fewest = list(done), used
-                return fewest == least
-            # Waste so far and what is left give the sequences this branch needs at least.
-            if -(-(total + waste) // capacity) >= fewest or branches >= BRANCHES:
-                return False
-            branches += 1
+    left, kinds = dict(counts), sorted(counts)
+    done: list[Pattern] = []
+    frames: list[Iterator[tuple[int, ...]]] = []
+    used = waste = branches = 0
+    first = True
+
+    def move(filling: tuple[int, ...], times: int) -> None:
+        """Put a filling in ``times`` sequences, or take it out again where that is negative."""
+        nonlocal used, waste
+        for size in filling:
+            left[size] -= times
+        used, waste = used + times, waste + times * (capacity - sum(filling))
+
+    # Depth first, in place; the first way down does not count, so that a packing is complete.
+    while fewest > least:
+        sizes = [s for s in kinds if left[s]]
+        # Waste so far and what is left give the sequences this branch needs at least.
+        if not sizes or -(-(total + waste) // capacity) >= fewest:
+            if used < fewest and not sizes:
+                best, fewest = list(done), used
+            first = False
+        elif branches >= BRANCHES:
+            break
+        else:
+            branches += not first
             top = sizes[-1]
-            rest = {**left, top: left[top] - 1}
-            options = _fillings(sizes, rest, capacity - top, FILLINGS)
-            for filling in options[1:3] if branches < BRANCHES // 4 and len(sizes) < 60 else []:
-                if go(*_applied((top, *filling), left, done, used, waste, capacity)):
-                    return True
-            left, done, used, waste = _applied((top, *options[0]), left, done, used, waste, capacity)
-
-    if fewest > least:
-        go(counts, [], 0, 0)
+            left[top] -= 1
+            options = _fillings(sizes, left, capacity - top, FILLINGS)
+            left[top] += 1
+            frames.append(iter([(top, *o) for o in options]))
+        filling = None
+        while frames and filling is None:
+            if len(done) == len(frames):
+                last, times = done.pop()
+                move(last, -times)
+            filling = next(frames[-1], None)
+            if filling is None:
+                frames.pop()
+        if filling is None:
+            break
+        done.append((filling, _times(filling, left)))
+        move(*done[-1])
     return best
 
 
-def _applied(
-    filling: tuple[int, ...], left: dict[int, int], done: list[Pattern], used: int, waste: int, capacity: int
-) -> tuple[dict[int, int], list[Pattern], int, int]:
-    times = _times(filling, left)
-    left = dict(left)
-    for size in filling:
-        left[size] -= times
-    return left, [*done, (filling, times)], used + times, waste + times * (capacity - sum(filling))
-
-
 def _slots(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int]]:
     """(length, first rank, last rank, first sequence, offset) for each slot of each pattern."""
     rows, base, ranks = [], 0, {}
