@@ -155,6 +155,23 @@ def test_few_rows_and_clashes(llm):
     assert ann.search(table(llm, [(20, [1.0])])).collect() == []
 
 
+def lonely(width=24):
+    """Forty tight clusters, and queries and others that are alone in their directions."""
+    rng = np.random.default_rng(7)
+    centres = 5 * rng.normal(size=(40, width))
+    rows = [(i, (centres[i % 40] + 0.01 * rng.normal(size=width)).tolist()) for i in range(1, 2000)]
+    rows += [(4000 + 10 * i, (300 * rng.normal(size=width)).tolist()) for i in range(8)]
+    return rows + [(4000, [400.0] * width), (4000, [-400.0] * width), (4000, [400.0] + [0.0] * (width - 1))]
+
+
+def test_queries_in_tiny_leaves_have_full_lists(llm, monkeypatch):
+    monkeypatch.setattr(ann, "RECALL", 0.3)
+    rows = lonely()
+    found = nearest(ann.search(table(llm, rows)))
+    assert {i for i, _ in rows if i % 20 == 0} == set(found)
+    assert {len(x) for x in found.values()} == {20}
+
+
 def test_best_bin_first_lists_every_leaf_once():
     rng = np.random.default_rng(0)
     points = rng.normal(size=(2000, 8))

@@ -4,7 +4,8 @@ The tree is fitted on a bounded sample and every vector is put in one of its lea
 query opens tree nodes from a priority queue, the most promising first, and so lists the
 leaves in the order it would visit them. How many leaves are visited is calibrated: exact
 neighbours of a few queries are found in the whole table, and visits are widened until
-the leaves visited hold the wished share of them. Leaves are dealt to groups of bounded
+the leaves visited hold the wished share of them. A query whose leaves hold fewer rows
+than its list takes goes on to further ones. Leaves are dealt to groups of bounded
 size, large leaves to several; each group scores its vectors against the queries that
 visit its leaves, and partial lists are merged.
 
@@ -121,14 +122,18 @@ class Tree:
             todo += [(child, at[label == k]) for k, child in enumerate(own)]
         return result
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first by inner product with the centre."""
+    def visits(self, query: np.ndarray, most: int, held: np.ndarray | None = None, need: int = 0) -> list[int]:
+        """The first ``most`` leaves, best bin first by inner product with the centre.
+
+        More, if these do not hold ``need`` rows, ``held`` being the rows of each leaf.
+        """
         worth = -(self.table @ query)
-        queue, found = [(worth[0], 0)], []
-        while queue and len(found) < most:
+        queue, found, rows = [(worth[0], 0)], [], 0
+        while queue and (len(found) < most or rows < need):
             _, node = heapq.heappop(queue)
             if not self.children[node]:
                 found.append(self.leaf_number[node])
+                rows += int(held[found[-1]]) if held is not None else 0
             for child in self.children[node]:
                 heapq.heappush(queue, (worth[child], child))
         return found
@@ -237,7 +242,13 @@ def search(
     entries = Table(entries.mapInArrow(placed, "h long, v array<double>, ids array<long>, leaf long"), "leaves").df
     queries = rows.where((F.col("id") != NULL_ID) & (F.expr(f"id % {every}") == 0))
     visited = _calibrate(tree, entries, queries, most)
-    sizes = {r.leaf: r["count"] for r in entries.groupBy("leaf").count().collect()}
+    counts = entries.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("listed")).collect()
+    sizes, held = {r.leaf: r.n for r in counts}, np.zeros(len(tree.leaves), np.int64)
+    for r in counts:
+        held[r.leaf] = r.listed
+    # Rows with the query's own identifier do not count as neighbours.
+    repeated = queries.groupBy("id").agg(F.count("*").alias("own")).where("own > 1")
+    queries = queries.join(repeated, "id", "left").select("id", "v", F.coalesce("own", F.lit(1)).alias("own"))
     first, parts, _ = deal(sizes, len(tree.leaves), GROUP)
 
     def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,10 +263,11 @@ def search(
     def sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             asked, own = matrix(batch.column("v")), batch.column("id").to_pylist()
+            need = (batch.column("own").to_numpy() + most).tolist()
             group, leaves, index = [], [], []
             for i in range(batch.num_rows):
                 mine: dict[int, list[int]] = {}
-                for leaf in tree.visits(asked[i], visited):
+                for leaf in tree.visits(asked[i], visited, held, need[i]):
                     for part in range(int(parts[leaf])):
                         mine.setdefault(int(first[leaf]) + part, []).append(leaf)
                 for g, own_leaves in mine.items():
@@ -278,7 +290,7 @@ def search(
         if not left.num_rows or not right.num_rows:
             return empty
         asked, own = matrix(left["v"].chunk(0)), left["id"].to_numpy()
-        held, leaf = matrix(right["v"].chunk(0)), right["leaf"].to_numpy()
+        rows, leaf = matrix(right["v"].chunk(0)), right["leaf"].to_numpy()
         ids = [np.array(i, np.int64) for i in right["ids"].to_pylist()]
         open_leaf = np.zeros((len(asked), int(leaf.max()) + 1), bool)
         for i, own_leaves in enumerate(left["visits"].to_pylist()):
@@ -288,7 +300,7 @@ def search(
             here, at = np.flatnonzero(open_leaf[:, kind]), np.flatnonzero(leaf == kind)
             for begin in range(0, len(here), 512):
                 part = here[begin : begin + 512]
-                query, near, score, _ = _listed(asked[part], own[part], held[at], [ids[i] for i in at], most)
+                query, near, score, _ = _listed(asked[part], own[part], rows[at], [ids[i] for i in at], most)
                 found.append((part[query], near, score))
         if not found:
             return empty
@@ -298,7 +310,7 @@ def search(
         return pa.table({n: pa.array(a, t) for n, a, t in zip(NAMES, arrays, KINDS, strict=True)})
 
     sides = (
-        queries.select("id", "v").mapInArrow(sent, "group long, visits array<long>, id long, v array<double>"),
+        queries.select("id", "v", "own").mapInArrow(sent, "group long, visits array<long>, id long, v array<double>"),
         entries.mapInArrow(grouped, "group long, leaf long, v array<double>, ids array<long>"),
     )
     partial = sides[0].groupBy("group").cogroup(sides[1].groupBy("group")).applyInArrow(scored, wanted)
