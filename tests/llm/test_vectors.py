@@ -172,6 +172,16 @@ def test_queries_in_tiny_leaves_have_full_lists(llm, monkeypatch):
     assert {len(x) for x in found.values()} == {20}
 
 
+def test_slices_of_a_group_give_the_exact_answer(llm, monkeypatch):
+    """Queries of a group go to slices by their number, and each slice meets all its entries."""
+    monkeypatch.setattr(ann, "RECALL", 2.0)
+    monkeypatch.setattr(ann, "SLICE", 7)
+    monkeypatch.setattr(ann, "RESULTS", 50)
+    assert ann.sliced({0: 7, 2: 8, 3: 700}, 5).tolist() == [1, 0, 2, 100, 0]
+    rows = clustered(3) + ODD
+    assert nearest(ann.search(table(llm, rows))) == brute_nearest(rows)
+
+
 def test_best_bin_first_lists_every_leaf_once():
     rng = np.random.default_rng(0)
     points = rng.normal(size=(2000, 8))

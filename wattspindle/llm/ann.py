@@ -7,7 +7,8 @@ neighbours of a few queries are found in the whole table, and visits are widened
 the leaves visited hold the wished share of them. A query whose leaves hold fewer rows
 than its list takes goes on to further ones. Leaves are dealt to groups of bounded
 size, large leaves to several; each group scores its vectors against the queries that
-visit its leaves, and partial lists are merged.
+visit its leaves, and partial lists are merged. The queries of a group are counted and
+dealt to slices, each of which gets the group's vectors, so no task holds all queries.
 
 Equal vectors are one entry that carries the smallest identifiers among them, as many as
 a list can show, so a vector that a third of all rows share takes one place in its leaf.
@@ -33,8 +34,10 @@ BRANCHES, LEAF_SAMPLE = 8, 60
 CALIBRATED, RECALL = 96, 0.97
 NAMES = ["query_id", "rank", "vec_id", "score"]
 KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.float64()]
-#: Entries of a group, at most.
-GROUP = 20_000
+#: Entries of a group, at most, and queries of a slice of it, about.
+GROUP, SLICE = 20_000, 4000
+#: Results that a slice holds before it keeps the best of them only.
+RESULTS = 1_000_000
 
 
 def usable(vector: str) -> Column:
@@ -213,6 +216,14 @@ def _calibrate(tree: Tree, entries: DataFrame, queries: DataFrame, most: int) ->
     return min(int(np.searchsorted(recall, RECALL)) + 1, len(tree.leaves))
 
 
+def sliced(counts: dict[int, int], groups: int) -> np.ndarray:
+    """Slices of each group, from its number of queries; none where nothing visits it."""
+    result = np.zeros(groups, np.int64)
+    for group, n in counts.items():
+        result[group] = -(-n // SLICE)
+    return result
+
+
 def search(
     table: DataFrame,
     vec_id: str = "vec_id",
@@ -248,41 +259,83 @@ def search(
         held[r.leaf] = r.listed
     # Rows with the query's own identifier do not count as neighbours.
     repeated = queries.groupBy("id").agg(F.count("*").alias("own")).where("own > 1")
-    queries = queries.join(repeated, "id", "left").select("id", "v", F.coalesce("own", F.lit(1)).alias("own"))
-    first, parts, _ = deal(sizes, len(tree.leaves), GROUP)
+    queries = queries.join(repeated, "id", "left").select(
+        "id", "v", F.coalesce("own", F.lit(1)).alias("own"), F.xxhash64("id", "v").alias("h")
+    )
+    first, parts, groups = deal(sizes, len(tree.leaves), GROUP)
+
+    def routed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            need = (batch.column("own").to_numpy() + most).tolist()
+            asked = matrix(batch.column("v"))
+            leaves = [tree.visits(q, visited, held, n) for q, n in zip(asked, need, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("v"), batch.column("h"), pa.array(leaves, pa.list_(pa.int64()))],
+                ["id", "v", "h", "visits"],
+            )
+
+    routes = queries.mapInArrow(routed, "id long, v array<double>, h long, visits array<long>")
+    routes = Table(routes, "routes").df
+
+    def in_groups(leaves: list[int]) -> dict[int, list[int]]:
+        mine: dict[int, list[int]] = {}
+        for leaf in leaves:
+            for part in range(int(parts[leaf])):
+                mine.setdefault(int(first[leaf]) + part, []).append(leaf)
+        return mine
+
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(groups, np.int64)
+        for batch in batches:
+            for leaves in batch.column("visits").to_pylist():
+                total[list(in_groups(leaves))] += 1
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["group", "n"])
+
+    per_group = routes.select("visits").mapInArrow(counted, "group long, n long").groupBy("group").agg(F.sum("n").alias("n"))
+    slices = sliced({r.group: r.n for r in per_group.collect()}, groups)
 
     def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             leaf, h = batch.column("leaf").to_numpy(), batch.column("h").to_numpy()
             group = first[leaf] + (h >> 20) % parts[leaf]
-            yield pa.RecordBatch.from_arrays(
+            whole = pa.RecordBatch.from_arrays(
                 [pa.array(group), batch.column("leaf"), batch.column("v"), batch.column("ids")],
                 ["group", "leaf", "v", "ids"],
             )
+            for number in range(int(slices[group].max(initial=0))):
+                part = whole.filter(pa.array(slices[group] > number))
+                number = pa.array(np.full(part.num_rows, number))
+                yield pa.RecordBatch.from_arrays([*part.columns, number], [*part.schema.names, "slice"])
 
     def sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked, own = matrix(batch.column("v")), batch.column("id").to_pylist()
-            need = (batch.column("own").to_numpy() + most).tolist()
+            h = batch.column("h").to_numpy() >> 20
             group, leaves, index = [], [], []
-            for i in range(batch.num_rows):
-                mine: dict[int, list[int]] = {}
-                for leaf in tree.visits(asked[i], visited, held, need[i]):
-                    for part in range(int(parts[leaf])):
-                        mine.setdefault(int(first[leaf]) + part, []).append(leaf)
-                for g, own_leaves in mine.items():
+            for i, visits in enumerate(batch.column("visits").to_pylist()):
+                for g, own_leaves in in_groups(visits).items():
                     group.append(g)
                     leaves.append(own_leaves)
                     index.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(group, pa.int64()),
-                    pa.array(leaves, pa.list_(pa.int64())),
-                    pa.array([own[i] for i in index], pa.int64()),
-                    batch.column("v").take(pa.array(index, pa.int64())),
-                ],
-                ["group", "visits", "id", "v"],
-            )
+            at, number = np.array(index, np.int64), np.array(group, np.int64)
+            # Runs of bounded size: a query goes to many groups.
+            for begin in range(0, len(at), 10_000):
+                part = slice(begin, begin + 10_000)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(number[part]),
+                        pa.array(h[at[part]] % slices[number[part]]),
+                        pa.array(leaves[part], pa.list_(pa.int64())),
+                        batch.column("id").take(pa.array(at[part])),
+                        batch.column("v").take(pa.array(at[part])),
+                    ],
+                    ["group", "slice", "visits", "id", "v"],
+                )
+
+    def merged(found: list[tuple]) -> tuple:
+        query, near, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        at = _best(query, score, near, most)
+        return query[at], near[at], score[at]
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         left, right = left.combine_chunks(), right.combine_chunks()
@@ -296,24 +349,28 @@ def search(
         for i, own_leaves in enumerate(left["visits"].to_pylist()):
             open_leaf[i, [x for x in own_leaves if x < open_leaf.shape[1]]] = True
         found: list[tuple] = []
+        waiting = 0
         for kind in np.unique(leaf).tolist():
             here, at = np.flatnonzero(open_leaf[:, kind]), np.flatnonzero(leaf == kind)
             for begin in range(0, len(here), 512):
                 part = here[begin : begin + 512]
                 query, near, score, _ = _listed(asked[part], own[part], rows[at], [ids[i] for i in at], most)
                 found.append((part[query], near, score))
+                waiting += len(query)
+                if waiting > RESULTS:
+                    found, waiting = [merged(found)], 0
         if not found:
             return empty
-        query, near, score = (np.concatenate(x) for x in zip(*found, strict=True))
-        at = _best(query, score, near, most)
-        arrays = [own[query[at]], np.zeros(len(at), np.int32), near[at], score[at]]
+        query, near, score = merged(found)
+        arrays = [own[query], np.zeros(len(query), np.int32), near, score]
         return pa.table({n: pa.array(a, t) for n, a, t in zip(NAMES, arrays, KINDS, strict=True)})
 
     sides = (
-        queries.select("id", "v", "own").mapInArrow(sent, "group long, visits array<long>, id long, v array<double>"),
-        entries.mapInArrow(grouped, "group long, leaf long, v array<double>, ids array<long>"),
+        routes.mapInArrow(sent, "group long, slice long, visits array<long>, id long, v array<double>"),
+        entries.mapInArrow(grouped, "group long, leaf long, v array<double>, ids array<long>, slice long"),
     )
-    partial = sides[0].groupBy("group").cogroup(sides[1].groupBy("group")).applyInArrow(scored, wanted)
+    keyed = [side.groupBy("group", "slice") for side in sides]
+    partial = keyed[0].cogroup(keyed[1]).applyInArrow(scored, wanted)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = partial.withColumn("rank", F.row_number().over(order)).where(f"rank <= {most}")
     return best.select("query_id", "rank", F.expr(f"nullif(vec_id, {NULL_ID})").alias("vec_id"), "score")
