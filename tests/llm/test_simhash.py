@@ -67,6 +67,18 @@ def test_keep_one_keeps_columns(make):
     assert sorted((r.doc_id, r.component_id) for r in kept.collect()) == [(2, "mine"), (9, "mine")]
 
 
+def test_keep_one_keeps_texts_that_share_an_identifier_or_have_none(make):
+    rows = [
+        (None, "a b c d"), (None, "q r s t u"), (None, "a b c d"), (7, "a b c d"),
+        (5, "v w x y z"), (5, "k l m n o"), (5, "v w x y z"), (3, "k l m n o"), (9, "f g h i j"),
+    ]
+    for order in (rows, rows[::-1]):
+        kept = sorted((str(r.doc_id), r.text) for r in simhash.keep_one(make(*order).repartition(3)).collect())
+        assert kept == [
+            ("3", "k l m n o"), ("5", "v w x y z"), ("9", "f g h i j"), ("None", "a b c d"), ("None", "q r s t u"),
+        ]
+
+
 @pytest.mark.parametrize(("meeting", "small"), [(4096, 48), (8, 2), (1, 0)])
 def test_dense_neighbourhoods(llm, monkeypatch, meeting, small):
     """Crowded keys go through the second cut, or the flips, with the same links."""

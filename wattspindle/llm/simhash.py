@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattspindle.llm.common import MB, NULL_ID, Table, components, extended, id_of, partitions, slices
@@ -227,12 +227,29 @@ def near_duplicates(
     ``component_id``. Rows that share an identifier are one document; repeated rows come
     back as often as they came in. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
+    marked, distinct = _distinct(docs, doc_id, text, shingle)
+    found = components(_links(distinct))
+    labelled = distinct.join(found, distinct["rep"] == found["node"], "left").select(
+        "fp", F.coalesce("component", "rep").alias("component")
+    )
+    return marked.join(labelled, marked["__fp"] == labelled["fp"]).select(
+        F.expr(f"nullif(__id, {NULL_ID})").alias("doc_id"),
+        F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"),
+        F.expr(f"nullif(component, {NULL_ID})").alias("component_id"),
+    )
+
+
+def _distinct(docs: DataFrame, doc_id: str, text: str, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(__id, __fp) of every row, and (fp, rep): each fingerprint with its smallest identifier."""
     slim = docs.select(id_of(doc_id).alias("__id"), F.col(f"`{text}`").alias("__text"))
     marked = Table(fingerprints(slim, "__text", shingle).drop("__text"), "fingerprints").df
-    distinct = Table(
-        marked.groupBy(F.col("__fp").alias("fp")).agg(F.min("__id").alias("rep")), "distinct"
-    ).df
+    distinct = marked.groupBy(F.col("__fp").alias("fp")).agg(F.min("__id").alias("rep"))
+    return marked, Table(distinct, "distinct").df
+
+
+def _links(distinct: DataFrame) -> DataFrame:
+    """(a, b): the representatives of fingerprints that are linked."""
+    spark = distinct.sparkSession
     n = partitions(spark, 64 * distinct.count(), 1_000_000)
     met = Table(_meet(_variants(distinct), n, first=True), "met").df
     edges = met.where("key is null").select("a", "b")
@@ -241,26 +258,33 @@ def near_duplicates(
     if more:
         again = _meet(_second_cut(crowded), partitions(spark, 32 * more, 1_000_000), first=False)
         edges = edges.union(again.select("a", "b"))
-    found = components(edges)
-    labelled = distinct.join(found, distinct["rep"] == found["node"], "left").select(
-        "fp", F.coalesce("component", "rep").alias("component")
-    )
-    return marked.join(labelled, marked["__fp"] == labelled["fp"]).select(
-        F.expr(f"nullif(__id, {NULL_ID})").alias("doc_id"),
-        F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"),
-        F.expr(f"nullif(component, {NULL_ID})").alias("component_id"),
-    )
+    return edges
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay: of each component the one with the smallest identifier.
 
-    Of rows that share that identifier, one stays. Columns are those of ``docs``.
+    Components are of fingerprints here, so that rows without an identifier, or with the
+    same one, stand together only if their texts do. Of rows that share identifier and
+    fingerprint one stays, the first by text and then by the other columns. Columns are
+    those of ``docs``.
     """
-    found = near_duplicates(docs, doc_id, text)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.coalesce("doc_id", F.lit(NULL_ID)).alias("__kept")
+    marked, distinct = _distinct(docs, doc_id, text, SHINGLE)
+    found = components(_links(distinct.select("fp", F.col("fp").alias("rep"))))
+    labelled = distinct.join(found, distinct["fp"] == found["node"], "left")
+    kept = (
+        labelled.groupBy(F.coalesce("component", "fp"))
+        .agg(F.min(F.struct("rep", "fp")).alias("first"))
+        .select(F.col("first.rep").alias("__kept"), F.col("first.fp").alias("__kept_fp"))
     )
+    kept = Table(kept, "kept").df
     kept_docs = docs.join(kept, id_of(doc_id) == kept["__kept"], "left_semi")
-    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept_docs.dropDuplicates([doc_id]) if repeated else kept_docs
+    if not marked.groupBy("__id").count().where("count > 1").limit(1).count():
+        return kept_docs
+    same = (id_of(doc_id) == kept["__kept"]) & (F.col("__fp") == kept["__kept_fp"])
+    marked_docs = fingerprints(kept_docs, text).join(kept, same, "left_semi")
+    others = [f"`{f.name}`" for f in docs.schema if "map<" not in f.dataType.simpleString() and f.name != text]
+    order = Window.partitionBy(id_of(doc_id), "__fp").orderBy(f"`{text}`", *others)
+    return marked_docs.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(
+        *[f"`{c}`" for c in docs.columns]
+    )
