@@ -131,3 +131,17 @@ def test_mart_schemas_are_as_declared(spark):
     assert typed(daily.schema) == typed(DAILY_METRICS)
     assert typed(facts.schema) == typed(MACHINE_DAILY)
     assert typed(marts.machine_summary(facts).schema) == typed(MACHINE_SUMMARY)
+
+
+def test_a_flat_series_has_no_correlation(spark):
+    rows = [
+        ("M01", "OP00", 1.0, 2.0, 5.0), ("M01", "OP00", 1.0, 3.0, 6.0),
+        ("M02", "OP00", 1.0, 2.0, 4.0), ("M02", "OP00", 2.0, 4.0, 2.0), ("M02", "OP00", 9.0, None, 7.0),
+        ("M03", "OP00", 1.0, 2.0, None),
+    ]
+    columns = "machine_id string, operation string, vibration_magnitude double, daily_energy_cost double, anomaly_rate_pct double"
+    found = reports.cost_vibration_corr(spark.createDataFrame(rows, columns)).collect()
+    by_unit = {r.machine_id: (r.magnitude_cost_corr, r.rate_cost_corr) for r in found}
+    assert by_unit["M01"][0] is None and abs(by_unit["M01"][1] - 1) < 1e-12
+    assert abs(by_unit["M02"][0] - 1) < 1e-12 and abs(by_unit["M02"][1] + 1) < 1e-12
+    assert by_unit["M03"] == (None, None)

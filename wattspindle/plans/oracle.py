@@ -457,8 +457,10 @@ _add(
 _add(
     "cost_vibration_corr",
     """SELECT machine_id, operation,
-              half_up(corr(vibration_magnitude, daily_energy_cost), 6) AS magnitude_cost_corr,
-              half_up(corr(anomaly_rate_pct, daily_energy_cost), 6) AS rate_cost_corr
+              CASE WHEN stddev_pop(vibration_magnitude) * stddev_pop(daily_energy_cost) > 0
+                   THEN half_up(corr(vibration_magnitude, daily_energy_cost), 6) END AS magnitude_cost_corr,
+              CASE WHEN stddev_pop(anomaly_rate_pct) * stddev_pop(daily_energy_cost) > 0
+                   THEN half_up(corr(anomaly_rate_pct, daily_energy_cost), 6) END AS rate_cost_corr
        FROM facts GROUP BY 1, 2""",
 )
 _add("selector_machines", "SELECT DISTINCT machine_id FROM summary")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -185,11 +185,19 @@ def cost_vibration_scatter(facts: DataFrame) -> DataFrame:
     )
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation over the rows that have both values; NULL where one of them
+    never changes, as it has no correlation with anything then."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def cost_vibration_corr(facts: DataFrame) -> DataFrame:
     """Correlation of cost with magnitude and with anomaly rate, per unit."""
     return facts.groupBy(*UNIT_KEY).agg(
-        F.corr("vibration_magnitude", "daily_energy_cost").alias("magnitude_cost_corr"),
-        F.corr("anomaly_rate_pct", "daily_energy_cost").alias("rate_cost_corr"),
+        correlation("vibration_magnitude", "daily_energy_cost").alias("magnitude_cost_corr"),
+        correlation("anomaly_rate_pct", "daily_energy_cost").alias("rate_cost_corr"),
     )
 
 
