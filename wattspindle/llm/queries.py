@@ -11,8 +11,11 @@ from wattspindle.llm import (
     embed_dedup,
     html_extract,
     langid,
+    line_dedup,
+    merkle,
     mixing,
     packing,
+    periodic,
     simhash,
     substring_dedup,
     suffix_dedup,
@@ -89,3 +92,21 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return substring_dedup.remove_repeats(docs, digest=True)
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(read(spark, sf_dir, "documents", *merkle.FIELDS))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    index = line_dedup.LineIndex(spark)
+    index.insert(docs)
+    return index.clean(docs, digest=True)
