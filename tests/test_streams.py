@@ -97,7 +97,7 @@ def test_update_mode_keeps_the_newest_version_of_each_window(spark, tmp_path):
     drop_file(spark, path, rows(3, 20, label=1))
     frame = streams.windowed(source(spark, path))
     streams.run_available(streams.to_upserts(frame, f"{tmp_path}/out", f"{tmp_path}/ckpt"))
-    latest = streams.latest_windows(spark, f"{tmp_path}/out", frame.columns).orderBy("window_start")
+    latest = streams.latest_windows(spark, f"{tmp_path}/out", frame.schema).orderBy("window_start")
     assert [(r["n_records"], r["has_anomaly"]) for r in latest.collect()] == [(3, 1), (1, 1)]
 
 
@@ -115,6 +115,39 @@ def test_alerts_pass_only_anomalous_windows(spark, tmp_path):
     assert len(starts(spark, tmp_path)) == 1
 
 
+def record_alerts(spark, root):
+    frame = streams.record_alerts(source(spark, f"{root}/in"))
+    query = streams.run_available(streams.to_parquet(frame, f"{root}/out", f"{root}/ckpt", by=()))
+    out = spark.read.schema(frame.schema).parquet(f"{root}/out").collect()
+    found = [((r["window_start"] - T0).seconds // 60, r["machine_id"], r["rms_x"]) for r in out]
+    return query, sorted(found, key=lambda f: (f[0], f[1] or "", f[2]))
+
+
+def test_record_alerts_come_before_the_window_closes_and_once_across_restarts(spark, tmp_path):
+    path = f"{tmp_path}/in"
+    drop_file(spark, path, rows(1, 3) + rows(2, label=1))
+    assert record_alerts(spark, tmp_path)[1] == [(0, "M01", 2.0)]  # the window is open until minute 25
+    drop_file(spark, path, rows(5, 9, label=1) + rows(4, label=1, machine="M02"))
+    drop_file(spark, path, rows(6, 16, label=1) + rows(7, label=1, machine=None))
+    expected = [(0, None, 7.0), (0, "M01", 2.0), (0, "M02", 4.0), (15, "M01", 16.0)]
+    assert record_alerts(spark, tmp_path)[1] == expected
+    # Late records of a window with an alert stay silent as long as they are let in at all.
+    drop_file(spark, path, rows(38, label=1))
+    drop_file(spark, path, rows(14, label=1))
+    drop_file(spark, path, rows(29, 39, label=1))
+    assert record_alerts(spark, tmp_path)[1] == [*expected, (30, "M01", 38.0)]
+
+
+def test_alert_state_ends_with_the_window(spark, tmp_path):
+    path = f"{tmp_path}/in"
+    drop_file(spark, path, rows(1, 20, 40, label=1))
+    drop_file(spark, path, rows(300, label=1))
+    drop_file(spark, path, rows(301, label=1))
+    query, found = record_alerts(spark, tmp_path)
+    assert [m for m, _, _ in found] == [0, 15, 30, 300 // 15 * 15]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+
+
 def test_start_runs_messages_to_parquet_and_checks_its_arguments(spark, tmp_path):
     message = {
         "timestamp": "2020-01-01T10:00:00",

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattspindle.constants import SLIDE, WATERMARK
+from wattspindle.constants import SLIDE, WATERMARK, WINDOW
 from wattspindle.functions import naming, timebase
 from wattspindle.operators import chunking, harmonize, prices, quality, quantiles, windows
 from wattspindle.operators.lookups import attach_one_row
 from wattspindle.plans import marts, reports
-from wattspindle.session import materialize, new_scratch_path
-from wattspindle.sources import adapters, documents, messages, readers, sinks
-from wattspindle.streaming import streams
+from wattspindle.session import materialize, new_scratch_path, setting
+from wattspindle.sources import adapters, documents, message_log, messages, readers, sinks
+from wattspindle.streaming import streams, trends
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -570,7 +570,7 @@ def _appended(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
 def _updated(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     path = new_scratch_path(spark, name)
     streams.run_available(streams.to_upserts(frame, path, f"{path}-checkpoint"))
-    return streams.latest_windows(spark, path, frame.columns)
+    return streams.latest_windows(spark, path, frame.schema)
 
 
 def _window_stream(spark: SparkSession, sf_dir: str, slide: str | None = None) -> DataFrame:
@@ -594,11 +594,64 @@ def stream_sliding(spark, sf_dir):
 
 
 @query(exact=PEAKS)
-def stream_alerts(spark, sf_dir):
+def stream_window_alerts(spark, sf_dir):
     found = streams.alerts(_window_stream(spark, sf_dir))
     return _appended(spark, found, "stream-alerts")
 
 
+def _halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The events before and from the middle of their period, as they arrive in two parts."""
+    events = adapters.table(spark, sf_dir, "events")
+    ends = events.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(ends[0] + (ends[1] - ends[0]) / 2 if ends[0] else None)
+    return [events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)]
+
+
+@query()
+def stream_alerts(spark, sf_dir):
+    """Alerts as records arrive, windows still open or not, across a restart of the stream."""
+    path = new_scratch_path(spark, "stream-record-alerts")
+    for arrived in _halves(spark, sf_dir):
+        sinks.append_flat(arrived, f"{path}/in")
+        records = adapters.telemetry_rows(_event_stream(spark, f"{path}/in"))
+        frame = streams.record_alerts(records)
+        streams.run_available(streams.to_parquet(frame, f"{path}/out", f"{path}/checkpoint", by=()))
+    alerts = spark.read.schema(frame.schema).parquet(f"{path}/out")
+    later = F.col("timestamp") >= F.col("window_start") + F.expr(f"INTERVAL {WINDOW}")
+    return alerts.select(
+        "window_start",
+        *UNIT,
+        (F.col("rms_x") > adapters.ANOMALY_LEVEL).alias("anomalous"),
+        ((F.col("timestamp") < F.col("window_start")) | later).alias("outside"),
+    )
+
+
+@query(4)
+def stream_trend(spark, sf_dir):
+    """Trends of closed windows in state per unit, across a restart of the stream."""
+    path = new_scratch_path(spark, "stream-trend")
+    with setting(spark, *trends.STATE_STORE):
+        for arrived in _halves(spark, sf_dir):
+            sinks.append_flat(arrived, f"{path}/in")
+            features = adapters.telemetry_rows(_event_stream(spark, f"{path}/in"))
+            frame = trends.trends(streams.windowed(features))
+            streams.run_available(streams.to_parquet(frame, f"{path}/out", f"{path}/checkpoint", by=()))
+    return spark.read.schema(frame.schema).parquet(f"{path}/out")
+
+
+@query()
+def stream_log_windows(spark, sf_dir):
+    """Messages from a log with offsets, a sixth of it a trigger, across a restart of the stream."""
+    path = new_scratch_path(spark, "stream-log")
+    for arrived in _halves(spark, sf_dir):
+        ordered = arrived.repartitionByRange("ts").sortWithinPartitions("ts")
+        _, end = message_log.append_messages(adapters.message_rows(ordered), f"{path}/log")
+        raw = message_log.stream_log(spark, f"{path}/log", "windows", max_messages=max(1, end // 6))
+        frame = streams.windowed(streams.message_features(raw))
+        streams.run_until_idle(streams.to_upserts(frame, f"{path}/out", f"{path}/checkpoint"))
+    return streams.latest_windows(spark, f"{path}/out", frame.schema)
+
+
 @query()
 def stream_message_windows(spark, sf_dir):
     raw = adapters.message_rows(_event_stream(spark, f"{sf_dir}/events.parquet"))

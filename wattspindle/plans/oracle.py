@@ -730,9 +730,40 @@ _SLID = """(SELECT t.*, time_bucket(INTERVAL '5 minutes', timestamp) - to_minute
             FROM telemetry t, (SELECT unnest(range(3)) AS k))"""
 _add("stream_sliding", _select(_WINDOW_COLUMNS, _windows(_SLID, "start")) + " " + _CLOSED)
 _add(
-    "stream_alerts",
+    "stream_window_alerts",
     _select(_WINDOW_COLUMNS, _windows("telemetry")) + f" {_CLOSED} AND has_anomaly = 1",
 )
+_add(
+    "stream_alerts",
+    """SELECT DISTINCT time_bucket(INTERVAL '15 minutes', timestamp) AS window_start, machine_id, operation,
+              TRUE AS anomalous, FALSE AS outside
+       FROM telemetry WHERE label = 1""",
+)
+_TRENDS = f"""
+    (SELECT *, running_sum / n_windows AS running_mean, walk - least(0, min(walk) OVER w) AS shift_sum,
+            (n_windows * sum_ty - sum_t * running_sum) / nullif(n_windows * sum_tt - sum_t * sum_t, 0) AS slope_per_hour
+     FROM (SELECT *, sum(step) OVER w AS walk
+           FROM (SELECT *, row_number() OVER w AS n_windows, sum(magnitude) OVER w AS running_sum, sum(t) OVER w AS sum_t,
+                        sum(t * t) OVER w AS sum_tt, sum(t * magnitude) OVER w AS sum_ty,
+                        coalesce(magnitude - avg(magnitude) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                                 - 0.5, 0) AS step
+                 FROM (SELECT *, epoch(window_start - min(window_start) OVER (PARTITION BY machine_id, operation, part))
+                              / 3600 AS t
+                       FROM (SELECT *, count(*) FILTER (WHERE gap > INTERVAL '24 hours') OVER u AS part
+                             FROM (SELECT window_start, machine_id, operation,
+                                          sqrt(avg_rms_x ** 2 + avg_rms_y ** 2 + avg_rms_z ** 2) AS magnitude,
+                                          window_start - lag(window_start) OVER u AS gap
+                                   FROM {_windows("telemetry")} {_CLOSED}
+                                   WINDOW u AS (PARTITION BY machine_id, operation ORDER BY window_start))
+                             WINDOW u AS (PARTITION BY machine_id, operation ORDER BY window_start)))
+                 WINDOW w AS (PARTITION BY machine_id, operation, part ORDER BY window_start))
+           WINDOW w AS (PARTITION BY machine_id, operation, part ORDER BY window_start))
+     WINDOW w AS (PARTITION BY machine_id, operation, part ORDER BY window_start))"""
+_add(
+    "stream_trend",
+    _select("window_start machine_id operation @magnitude n_windows @running_mean @slope_per_hour @shift_sum", _TRENDS, 4)
+    .replace(" FROM", ", shift_sum > 500 AS shifted FROM", 1),
+)
 _MESSAGE_FEATURES = """
     (SELECT ts AS timestamp, CASE WHEN event_id % 13 <> 0 THEN machine END AS machine_id,
             event_type AS operation, label,
@@ -745,6 +776,7 @@ _add(
         " has_anomaly,", " coalesce(has_anomaly, 0) AS has_anomaly,", 1
     ),
 )
+ORACLE_SQL["stream_log_windows"] = ORACLE_SQL["stream_message_windows"]
 _add(
     "stream_driver",
     _select(_WINDOW_COLUMNS.replace(" max_", " @max_"), _windows(_MESSAGE_FEATURES)).replace(

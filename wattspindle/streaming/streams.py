@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wattspindle.constants import WATERMARK, WINDOW
 from wattspindle.functions import signal
 from wattspindle.operators.windows import telemetry_windows
 from wattspindle.sources.messages import parse_messages, valid_messages
+from wattspindle.sources.versioned import VersionedTable
 
 WINDOW_KEY = ["window_start", "machine_id", "operation"]
 
@@ -44,10 +46,29 @@ def windowed(
 
 
 def alerts(windows: DataFrame) -> DataFrame:
-    """Windows with at least one anomalous record."""
+    """Windows with at least one anomalous record, once they are closed."""
     return windows.where(F.col("has_anomaly") == 1)
 
 
+def record_alerts(features: DataFrame, window: str = WINDOW, lateness: str = WATERMARK) -> DataFrame:
+    """One alert per unit and window, as soon as its first anomalous record arrives.
+
+    Nothing waits for the window to close. A unit's window is remembered until no record of
+    it can count any more: the watermark is ``lateness`` and a whole window behind, and a
+    key that is kept as long as that outlives the window's last record. So there is no
+    second alert, also across a restart. Of records that arrive together any one is the
+    first. Records without time or label raise none; a unit may be NULL.
+    """
+    bad = features.where((F.col("label") == 1) & F.col("timestamp").isNotNull())
+    zoned = bad.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return (
+        # An interval text may name a unit twice; the parts add up.
+        zoned.withWatermark("timestamp", f"{lateness} {window}")
+        .withColumn("window_start", F.window("timestamp", window)["start"])
+        .dropDuplicatesWithinWatermark(WINDOW_KEY)
+    )
+
+
 def with_processing_time(windows: DataFrame) -> DataFrame:
     return windows.withColumn("aggregated_at", F.current_timestamp())
 
@@ -77,16 +98,21 @@ def to_parquet(
     return writer.option("checkpointLocation", checkpoint).outputMode("append")
 
 
-def to_upserts(windows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Changed windows per micro-batch, one folder per batch.
+def window_table(spark: SparkSession, path: str, schema: T.StructType) -> VersionedTable:
+    """The table that ``to_upserts`` keeps up to date; ``snapshot`` reads it."""
+    return VersionedTable(spark, path, schema, WINDOW_KEY, "window_start")
+
 
-    A replayed batch replaces its own folder, so restarts leave no duplicates.
-    ``latest_windows`` reads the current state.
+def to_upserts(windows: DataFrame, path: str, checkpoint: str, writer: str = "windows") -> DataStreamWriter:
+    """Changed windows of each micro-batch into one versioned table.
+
+    A batch is one version, and a replayed one changes nothing, so restarts leave no
+    duplicates. Streams that share a table need different names as ``writer``.
     """
+    schema = windows.schema
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        gathered = batch.repartition("machine_id", "operation")
-        gathered.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        window_table(batch.sparkSession, path, schema).upsert(batch, writer, batch_id)
 
     return (
         windows.writeStream.foreachBatch(save)
@@ -95,11 +121,9 @@ def to_upserts(windows: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
     )
 
 
-def latest_windows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Newest version of every window written by ``to_upserts``."""
-    rows = spark.read.parquet(path)
-    newest = F.max_by(F.struct(*columns), "batch").alias("row")
-    return rows.groupBy(*WINDOW_KEY).agg(newest).select("row.*")
+def latest_windows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Newest state of every window written by ``to_upserts``, from one snapshot."""
+    return window_table(spark, path, schema).snapshot()
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
@@ -109,6 +133,20 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def run_until_idle(writer: DataStreamWriter) -> StreamingQuery:
+    """Process batch after batch until no source has more, then stop.
+
+    For sources that cap a batch but know no end of their own, where ``run_available``
+    would take one batch.
+    """
+    query = writer.trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def start(
     raw: DataFrame,
     sink: str,
