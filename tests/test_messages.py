@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
+
 from wattspindle.schemas import STREAM_FEATURES, STREAM_WINDOWS
 from wattspindle.sources import messages
 from wattspindle.streaming import streams
@@ -74,3 +76,27 @@ def test_stream_schemas_are_as_declared(spark):
     windows = streams.with_processing_time(streams.windowed(features))
     assert typed(features.schema) == typed(STREAM_FEATURES)
     assert typed(windows.schema) == typed(STREAM_WINDOWS)
+
+
+def test_a_reader_of_scalar_fields_decodes_no_arrays(spark):
+    narrow = messages.parse_messages(raw(spark, *ALL), body=["machine_id", "label"])
+    assert narrow.schema["payload"].dataType.fieldNames() == ["machine_id", "label"]
+    assert "accel" not in narrow._jdf.queryExecution().executedPlan().toString()
+    full = messages.parse_messages(raw(spark, *ALL)).select("timestamp", "payload.machine_id", "payload.label")
+    assert narrow.select("timestamp", "payload.machine_id", "payload.label").collect() == full.collect()
+    counts = messages.message_counts(messages.parse_messages(raw(spark, *ALL), body=["label"])).first()
+    assert (counts["seen"], counts["processed"]) == (7, 4)
+    with pytest.raises(ValueError, match="rpm"):
+        messages.message_schema(["rpm", "label"])
+
+
+def test_fields_unknown_to_the_schema_are_found_with_their_kind(spark):
+    drifted = {**FULL, "site": "north", "payload": {**FULL["payload"], "rpm": 900, "tools": [1, "a"], "spare": None}}
+    older = {**OLDER, "data": {**OLDER["data"], "rpm": 1.5, "axis": {"u": [1]}}}
+    found = messages.unknown_fields(raw(spark, *ALL, drifted, drifted, older, '{"payload": 5, "site": true}', "[1]"))
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("data", "axis", "OBJECT", 1), ("data", "rpm", "DECIMAL", 1), ("message", "site", "BOOLEAN", 1),
+        ("message", "site", "STRING", 2), ("payload", "rpm", "BIGINT", 2), ("payload", "spare", "VOID", 2),
+        ("payload", "tools", "ARRAY", 2),
+    ]
+    assert messages.unknown_fields(raw(spark)).collect() == []

@@ -459,7 +459,8 @@ def filename_parse(spark, sf_dir):
 
 @query()
 def message_parse(spark, sf_dir):
-    parsed = messages.parse_messages(adapters.raw_messages(spark, sf_dir))
+    raw = adapters.raw_messages(spark, sf_dir)
+    parsed = messages.parse_messages(raw, body=["operation", "run_id", "n_samples"])
     return messages.valid_messages(parsed).select(
         "timestamp", "filename", "payload.operation", "payload.run_id", "payload.n_samples"
     )
@@ -476,7 +477,13 @@ def message_describe(spark, sf_dir):
 
 @query()
 def message_counts(spark, sf_dir):
-    return messages.message_counts(messages.parse_messages(adapters.raw_messages(spark, sf_dir)))
+    return messages.message_counts(messages.parse_messages(adapters.raw_messages(spark, sf_dir), body=["label"]))
+
+
+@query()
+def message_drift(spark, sf_dir):
+    """Fields that newer senders add, here to some messages, on both levels."""
+    return messages.unknown_fields(adapters.drifted_messages(spark, sf_dir))
 
 
 @query()

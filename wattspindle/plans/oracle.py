@@ -674,6 +674,19 @@ _add(
     "message_counts",
     "SELECT count(*) AS seen, count(*) FILTER (WHERE NOT cut AND has_body) AS processed FROM messages",
 )
+_add(
+    "message_drift",
+    """SELECT place, field, kind, count(*) AS n_messages
+       FROM (SELECT unnest([
+                 CASE WHEN event_id % 4 = 0 THEN {'place': 'message', 'field': 'site', 'kind': 'STRING'} END,
+                 CASE WHEN event_id % 4 = 1 THEN {'place': 'message', 'field': 'replay', 'kind': 'BOOLEAN'} END,
+                 CASE WHEN event_id % 3 = 0 THEN {'place': body, 'field': 'shift', 'kind': 'BIGINT'} END,
+                 CASE WHEN event_id % 5 = 0 THEN {'place': body, 'field': 'spindle', 'kind': 'OBJECT'} END],
+                 recursive := true)
+             FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN 'payload' ELSE 'data' END AS body
+                   FROM events WHERE event_id % 19 <> 0))
+       WHERE place IS NOT NULL GROUP BY ALL""",
+)
 _add(
     "message_first",
     """SELECT filename, CASE WHEN label = 1 THEN 'Anomaly' ELSE 'Normal' END AS label_name

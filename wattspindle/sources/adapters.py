@@ -221,6 +221,27 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return message_rows(table(spark, sf_dir, "events"))
 
 
+def drifted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages to some of which a newer sender has added fields."""
+    raw, event = table(spark, sf_dir, "events"), F.col("event_id")
+    spindle = F.struct(F.col("value").alias("rpm"), F.array(F.lit("a"), F.lit("b")).alias("tools"))
+    body = F.struct(
+        event_machine().alias("machine_id"),
+        F.when(event % 3 == 0, F.col("user_id")).alias("shift"),
+        F.when(event % 5 == 0, spindle).alias("spindle"),
+        F.array("value", "value").alias("accel_x"),
+    )
+    message = F.struct(
+        F.lit("2024-01-01T00:00:00").alias("timestamp"),
+        F.when(event % 4 == 0, F.col("event_type")).alias("site"),
+        F.when(event % 4 == 1, event % 2 == 0).alias("replay"),
+        F.when(event % 2 == 0, body).alias("payload"),
+        F.when(event % 2 == 1, body).alias("data"),
+    )
+    text = F.to_json(message)
+    return raw.select(F.when(event % 19 == 0, F.substring(text, 1, 30)).otherwise(text).alias("value"))
+
+
 def _element(name: str, *content: Column, attributes: str = "") -> Column:
     opening = f"<{name} {attributes}>" if attributes else f"<{name}>"
     return F.concat(F.lit(opening), *content, F.lit(f"</{name}>"))
