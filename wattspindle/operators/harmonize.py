@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattspindle.functions import risk, timebase
-from wattspindle.operators.lookups import attach_one_row, lookup_join
-from wattspindle.operators.prices import forward_fill, of_country, price_per_bucket
+from wattspindle.operators.asof import asof_join
+from wattspindle.operators.lookups import lookup_join
+from wattspindle.operators.prices import of_country, price_per_bucket
 from wattspindle.schemas import SILVER, conform
 from wattspindle.session import materialize_counted
 
@@ -20,20 +21,22 @@ def join_prices(
     ``country`` may be left out where the prices have one country only.
     ``fill``: ``"mean"`` gives windows without a quote the mean over all matched
     windows, ``"ffill"`` carries the latest earlier quote, None leaves NULL. With
-    ``"mean"`` the telemetry is read twice, so callers pass a written table.
+    either fill the telemetry is read twice, so callers pass a written table.
     """
     if fill not in ("mean", "ffill", None):
         raise ValueError(f"unknown fill: {fill}")
-    prices = of_country(prices, country)
+    quotes = price_per_bucket(prices, country)
     if fill == "ffill":
-        prices = forward_fill(prices)
-    lookup, rows = materialize_counted(price_per_bucket(prices, country), "bucket-prices")
+        # Only the windows that there are ask for a price, and only once each.
+        quotes = asof_join(
+            telemetry.select("timestamp_15min").distinct(),
+            quotes.where(F.col("price_eur_mwh").isNotNull()),
+            "timestamp_15min",
+            ["price_eur_mwh"],
+        )
+    lookup, rows = materialize_counted(quotes, "bucket-prices")
     joined = lookup_join(telemetry, lookup, "timestamp_15min", rows=rows)
-    if fill == "mean":
-        return _fill_with_mean(joined, telemetry, lookup, rows)
-    if fill == "ffill":
-        return _carry_last_price(joined, lookup)
-    return joined
+    return _fill_with_mean(joined, telemetry, lookup, rows) if fill == "mean" else joined
 
 
 def _fill_with_mean(
@@ -47,20 +50,6 @@ def _fill_with_mean(
     return joined.withColumn("price_eur_mwh", F.coalesce("price_eur_mwh", mean))
 
 
-def _carry_last_price(joined: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Telemetry after the last quoted slot keeps the last price."""
-    close = lookup.agg(
-        F.max("timestamp_15min").alias("last_slot"),
-        F.max_by("price_eur_mwh", "timestamp_15min").alias("last_price"),
-    )
-    carried = F.when(F.col("timestamp_15min") > F.col("last_slot"), F.col("last_price"))
-    return (
-        attach_one_row(joined, close)
-        .withColumn("price_eur_mwh", F.coalesce("price_eur_mwh", carried))
-        .drop("last_slot", "last_price")
-    )
-
-
 def harmonize_windows(
     windows: DataFrame, prices: DataFrame, fill: str | None = "ffill", country: str | None = None
 ) -> DataFrame:

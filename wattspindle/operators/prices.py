@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wattspindle.constants import FALLBACK_PRICE, FALLBACK_SOURCE, WINDOW_MINUTES
 from wattspindle.functions import timebase
+from wattspindle.operators.asof import asof_join
 from wattspindle.operators.lookups import lookup_join
+from wattspindle.session import materialize
 
 
 def time_spine(bounds: DataFrame, first: Column, last: Column, minutes: int, name: str) -> DataFrame:
@@ -77,42 +78,18 @@ def price_spine(
 def forward_fill(prices: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
     """Regular slots where each slot carries the latest quote at or before it.
 
-    The fill runs inside each day, then over one closing quote per day, so no
-    window partition spans a whole price history. Several quotes of one slot are
-    averaged. The last quote holds for its hour. ``prices`` is read more than once.
+    Several quotes of one slot are averaged. The last quote holds for its hour. The quotes
+    are written once, as the slots and the join read them.
     """
     quotes = prices.groupBy(
         "country_code", timebase.minute_bucket("timestamp", minutes).alias("timestamp")
     ).agg(F.avg("price_eur_mwh").alias("price_eur_mwh"))
+    quotes = materialize(quotes, "quotes")
     last_slot = F.col("last") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(60 - minutes))
-    spine = time_spine(_bounds(quotes), F.col("first"), last_slot, minutes, "timestamp")
-    slots = lookup_join(
-        spine.select("country_code", "timestamp"), quotes, ["country_code", "timestamp"]
-    ).withColumn("day", F.col("timestamp").cast("date"))
-    within = (
-        Window.partitionBy("country_code", "day")
-        .orderBy("timestamp")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    filled = slots.withColumn("in_day", F.last("price_eur_mwh", ignorenulls=True).over(within))
-
-    earlier = (
-        Window.partitionBy("country_code")
-        .orderBy("day")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    closing = F.max_by("price_eur_mwh", F.when(F.col("price_eur_mwh").isNotNull(), F.col("timestamp")))
-    carried = (
-        slots.groupBy("country_code", "day")
-        .agg(closing.alias("close"))
-        .withColumn("carry", F.last("close", ignorenulls=True).over(earlier))
-        .select("country_code", "day", "carry")
-    )
-    return filled.join(carried, ["country_code", "day"], "left").select(
-        "timestamp",
-        "country_code",
-        F.coalesce("in_day", "carry").alias("price_eur_mwh"),
-    )
+    slots = time_spine(_bounds(quotes), F.col("first"), last_slot, minutes, "timestamp")
+    slots = slots.select("timestamp", "country_code")
+    known = quotes.where(F.col("price_eur_mwh").isNotNull())
+    return asof_join(slots, known, "timestamp", ["price_eur_mwh"], ("country_code",))
 
 
 def of_country(rows: DataFrame, country: str | None) -> DataFrame:
