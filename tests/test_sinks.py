@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wattspindle.operators import chunking
 from wattspindle.paths import LakePaths
 from wattspindle.plans import lake, marts
+from wattspindle.plans.ledger import ENTRY
 from wattspindle.schemas import BRONZE_INDUSTRIAL, BRONZE_PRICES, SIGNALS
 from wattspindle.sources import messages, readers, sinks
 
@@ -136,6 +137,12 @@ def test_batch_run_builds_every_layer_and_can_be_rerun(spark, tmp_path):
     assert summary.agg(F.sum("total_anomalies").alias("n")).first()["n"] == 1
     assert set(marts.DAILY_KEY) < set(daily.columns)
     assert os.path.isdir(paths.silver() + "/machine_id=M01")
+    entries = spark.read.schema(ENTRY).json(f"{paths.ledger()}/_versions/[0-9]*.json").collect()
+    written = {"bronze.telemetry": 12, "bronze.prices": 3, "bronze.industrial": 4, "silver": 12, "staged": 12}
+    counts = {(r.run, r.stage): r.n_rows for r in entries}
+    assert len(counts) == 16 and len({run for run, _ in counts}) == 2
+    assert all(n == written[stage] for (_, stage), n in counts.items() if stage in written)
+    assert {n for (_, stage), n in counts.items() if stage == "machine_daily"} == {daily.count()}
 
 
 def test_append_batch_adds_every_time_and_price_windows_replace(spark, tmp_path):

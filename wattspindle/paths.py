@@ -25,3 +25,6 @@ class LakePaths:
 
     def checkpoint(self, query: str) -> str:
         return self.layer("checkpoints", query)
+
+    def ledger(self) -> str:
+        return self.layer("ledger", "runs")

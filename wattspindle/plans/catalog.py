@@ -13,9 +13,10 @@ from wattspindle.constants import SLIDE, WATERMARK, WINDOW
 from wattspindle.functions import naming, timebase
 from wattspindle.operators import chunking, harmonize, prices, quality, quantiles, windows
 from wattspindle.operators.lookups import attach_one_row
-from wattspindle.plans import marts, reports
+from wattspindle.plans import ledger, marts, reports
+from wattspindle.schemas import layer_schema
 from wattspindle.session import materialize, new_scratch_path, setting
-from wattspindle.sources import adapters, documents, message_log, messages, readers, sinks
+from wattspindle.sources import adapters, documents, ingest, message_log, messages, readers, sinks
 from wattspindle.streaming import streams, trends
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -357,24 +358,52 @@ def quality_range(spark, sf_dir):
     return quality.range_report(adapters.telemetry(spark, sf_dir), "timestamp")
 
 
+def _ledger(spark: SparkSession) -> ledger.Ledger:
+    return ledger.Ledger(spark, new_scratch_path(spark, "ledger"), "run")
+
+
 @query()
 def run_summary(spark, sf_dir):
-    return quality.run_summary(_silver(spark, sf_dir, fill=None))
+    """What the write of silver measured."""
+    book = _ledger(spark)
+    measures = {**ledger.period("timestamp_15min"), **ledger.fleet()}
+    book.materialize(_silver(spark, sf_dir, fill=None), "silver", measures)
+    return ledger.run_summary(book, "silver")
 
 
 @query()
 def stage_rows(spark, sf_dir):
-    """Rows that went into a run and rows of each of its layers."""
-    silver = materialize(_silver(spark, sf_dir, fill=None), "silver")
-    stages = {
-        "telemetry": adapters.telemetry(spark, sf_dir),
-        "quotes": adapters.price_quotes(spark, sf_dir),
-        "prices": adapters.hourly_prices(spark, sf_dir),
-        "index": adapters.industrial(spark, sf_dir),
-        "silver": silver,
-        "daily": marts.daily_metrics(silver),
-    }
-    return quality.stage_report(stages)
+    """Rows that went into a run and rows of each of its layers, as their writes counted them."""
+    book = _ledger(spark)
+    book.note_input(adapters.telemetry(spark, sf_dir), "telemetry")
+    book.note_input(adapters.price_quotes(spark, sf_dir), "quotes")
+    hourly = book.materialize(adapters.hourly_prices(spark, sf_dir), "prices")
+    index = book.materialize(adapters.industrial(spark, sf_dir), "index")
+    silver = harmonize.silver(
+        adapters.silver_telemetry(spark, sf_dir), hourly, adapters.moved_to_events(index), None, COUNTRY
+    )
+    written = book.materialize(silver, "silver")
+    book.materialize(marts.daily_metrics(written), "daily")
+    return book.stages().select("stage", "n_rows")
+
+
+READINGS = layer_schema("timestamp:ntz machine_id:string operation:string rms_x:double label:int")
+
+
+@query()
+def ingest_rejects(spark, sf_dir):
+    """Rejected rows by column and reason, and the accepted ones as a line of their own."""
+    path = new_scratch_path(spark, "readings")
+    found = ingest.ingest(adapters.raw_readings(spark, sf_dir), READINGS, path, ("timestamp", "machine_id"))
+    accepted = found.accepted.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").alias("labels"))
+    lines = ingest.reject_report(found).withColumn("labels", F.lit(None).cast("long"))
+    return lines.unionByName(accepted.withColumns({"column_name": F.lit(""), "reason": F.lit("accepted")}))
+
+
+@query(exact="rms_x")
+def ingest_accepted(spark, sf_dir):
+    path = new_scratch_path(spark, "readings")
+    return ingest.ingest(adapters.raw_readings(spark, sf_dir), READINGS, path, ("timestamp", "machine_id")).accepted
 
 
 @query()

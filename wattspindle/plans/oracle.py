@@ -674,6 +674,32 @@ _add(
     "message_counts",
     "SELECT count(*) AS seen, count(*) FILTER (WHERE NOT cut AND has_body) AS processed FROM messages",
 )
+_READINGS = """
+    (SELECT *, event_id % 23 = 0 AS bad_time, event_id % 23 <> 0 AND event_id % 41 = 0 AS no_time,
+            event_id % 13 = 0 AS no_machine, event_id % 29 = 0 AS bad_value, event_id % 31 = 0 AS bad_label,
+            CASE WHEN event_id % 7 <> 0 THEN 0 END AS given_label
+     FROM events)"""
+_add(
+    "ingest_rejects",
+    f"""SELECT column_name, reason, count(*) AS n_rows,
+               CAST(sum(given_label) FILTER (WHERE reason = 'accepted') AS BIGINT) AS labels
+        FROM (SELECT given_label, unnest([
+                  CASE WHEN bad_time THEN {{'column_name': 'timestamp', 'reason': 'unparsable'}} END,
+                  CASE WHEN no_time THEN {{'column_name': 'timestamp', 'reason': 'missing'}} END,
+                  CASE WHEN no_machine THEN {{'column_name': 'machine_id', 'reason': 'missing'}} END,
+                  CASE WHEN bad_value THEN {{'column_name': 'rms_x', 'reason': 'unparsable'}} END,
+                  CASE WHEN bad_label THEN {{'column_name': 'label', 'reason': 'unparsable'}} END,
+                  CASE WHEN NOT (bad_time OR no_time OR no_machine OR bad_value OR bad_label)
+                       THEN {{'column_name': '', 'reason': 'accepted'}} END], recursive := true)
+              FROM {_READINGS})
+        WHERE reason IS NOT NULL GROUP BY ALL""",
+)
+_add(
+    "ingest_accepted",
+    f"""SELECT ts AS timestamp, 'M0' || (user_id % 4 + 1) AS machine_id, event_type AS operation, value AS rms_x,
+               given_label AS label
+        FROM {_READINGS} WHERE NOT (bad_time OR no_time OR no_machine OR bad_value OR bad_label)""",
+)
 _add(
     "message_drift",
     """SELECT place, field, kind, count(*) AS n_messages

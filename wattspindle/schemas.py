@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,13 +102,17 @@ MESSAGE = T.StructType(
 KAFKA_VALUE = T.StructType([T.StructField("value", T.StringType())])
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select, order and cast columns to a layer schema; unparsable values become NULL."""
-    return df.select(
-        [
-            F.col(field.name)
-            if df.schema[field.name].dataType == field.dataType
-            else F.col(field.name).try_cast(field.dataType).alias(field.name)
-            for field in schema.fields
-        ]
-    )
+def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
+    """Select, order and cast columns to a layer schema.
+
+    Between own layers a value that does not fit is an error. Where tables come in,
+    ``strict=False`` makes it NULL; ``sources.ingest`` keeps such rows apart instead.
+    """
+
+    def typed(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if df.schema[field.name].dataType == field.dataType:
+            return column
+        return (column.cast(field.dataType) if strict else column.try_cast(field.dataType)).alias(field.name)
+
+    return df.select([typed(field) for field in schema.fields])

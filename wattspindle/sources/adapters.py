@@ -117,15 +117,17 @@ def industrial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def current_industrial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The index moved to the months of ``events``, so that silver has matches.
+    """The index moved to the months of ``events``, so that silver has matches."""
+    return moved_to_events(industrial(spark, sf_dir))
 
-    The first order month becomes January 2023, so that 2024 is covered.
-    """
+
+def moved_to_events(index: DataFrame) -> DataFrame:
+    """The first order month becomes January 2023, so that 2024 is covered."""
     shifted = F.add_months(
         F.lit("2023-01-01").cast("date"),
         F.months_between(F.col("date").cast("date"), F.lit("1995-01-01").cast("date")).cast("int"),
     )
-    return industrial(spark, sf_dir).withColumn("date", shifted.cast("timestamp_ntz"))
+    return index.withColumn("date", shifted.cast("timestamp_ntz"))
 
 
 def telemetry_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,6 +223,20 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return message_rows(table(spark, sf_dir, "events"))
 
 
+def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings as text, as a file of another system has them, some of them unreadable."""
+    event = F.col("event_id")
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return table(spark, sf_dir, "events").select(
+        F.when(event % 23 == 0, F.lit("not a time")).when(event % 41 != 0, iso).alias("timestamp"),
+        F.when(event % 13 != 0, event_machine()).alias("machine_id"),
+        F.col("event_type").alias("operation"),
+        F.when(event % 29 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("rms_x"),
+        F.when(event % 31 == 0, F.lit("1e")).when(event % 7 != 0, F.lit("0")).alias("label"),
+        event.cast("string").alias("serial"),
+    )
+
+
 def drifted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages to some of which a newer sender has added fields."""
     raw, event = table(spark, sf_dir, "events"), F.col("event_id")

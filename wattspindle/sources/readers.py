@@ -27,7 +27,7 @@ def read_nanos_parquet(spark: SparkSession, path: str, ts: str) -> DataFrame:
 
 def read_signals(spark: SparkSession, path: str) -> DataFrame:
     """Recordings: one row per run with its three sample arrays."""
-    return conform(read_parquet(spark, path), SIGNALS)
+    return conform(read_parquet(spark, path), SIGNALS, strict=False)
 
 
 def list_files(spark: SparkSession, tables: dict[str, str], limit: int | None = None) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+Measured = Callable[[DataFrame], DataFrame]
+
 
 def gathered(df: DataFrame, by: list[str]) -> DataFrame:
     """Rows of a partition value in few tasks; adaptive execution splits large values."""
@@ -19,8 +23,9 @@ def append_flat(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def overwrite_flat(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def overwrite_flat(df: DataFrame, path: str, measured: Measured | None = None) -> None:
+    """``measured`` is applied to the rows as they are written."""
+    (measured(df) if measured else df).write.mode("overwrite").parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
@@ -36,20 +41,27 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
 
 
 def write_compact(
-    df: DataFrame, path: str, by: list[str], order: str | None = None, mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    by: list[str],
+    order: str | None = None,
+    mode: str = "overwrite",
+    measured: Measured | None = None,
 ) -> None:
     """Partitioned write with few files per partition value; overwriting replaces
     the whole table.
 
     The rebalance hint gathers each value's rows, and adaptive execution splits
     the values that are too large for one task. ``order`` sorts the rows inside
-    each file, so that range filters on it skip row groups.
+    each file, so that range filters on it skip row groups. ``measured`` is applied to
+    the rows as they are written.
     """
     rows = gathered(df, by)
     if order:
         rows = rows.sortWithinPartitions(*by, order)
     (
-        rows.write.mode(mode)
+        (measured(rows) if measured else rows)
+        .write.mode(mode)
         .option("compression", "snappy")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*by)
