@@ -121,11 +121,22 @@ def test_lookup_join_beyond_the_bound_gives_the_same_rows(spark):
     )
     lookup = spark.range(40).selectExpr("id AS k", "id * 2 AS twice")
     small = lookups.lookup_join(facts, lookup, "k")
-    large = lookups.lookup_join(facts, lookup, "k", max_rows=5)
+    large = lookups.lookup_join(facts, lookup, "k", most=5)
     assert sorted(small.collect(), key=str) == sorted(large.collect(), key=str)
     assert small.count() == 3000
 
 
+def test_a_broadcast_is_bounded_by_bytes_not_by_rows(spark):
+    rows = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    size = lookups.broadcast_bytes(rows)
+    assert 100_000 < size < 120_000
+    assert lookups.broadcast_bytes(rows, 100_000) is None and lookups.broadcast_bytes(rows, size) == size
+    assert lookups.broadcast_bytes(rows.select("id"), 6000) == 100 * 48
+    assert lookups.broadcast_bytes(rows.where("false")) == 0
+    nested = rows.select(F.array("id").alias("a"))
+    assert lookups.broadcast_bytes(nested) is None  # no bound can be told
+
+
 def test_month_batches_start_inside_the_range(spark):
     bounds = spark.sql("SELECT DATE '2019-01-15' AS a, DATE '2019-03-31' AS b")
     rows = prices.month_batches(bounds, "a", "b").orderBy("month_start").collect()

@@ -61,6 +61,7 @@ def test_silver_joins_are_broadcast_only_after_a_size_check(spark, sf_dir, plan,
     assert "BroadcastHashJoin" in small
     assert "NestedLoop" not in small and "Cartesian" not in small
     monkeypatch.setattr("wattspindle.operators.lookups.lookup_join.__defaults__", ("left", None, 1))
+    monkeypatch.setattr("wattspindle.operators.lookups.broadcast_bytes.__defaults__", (1,))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         large = joins()
@@ -113,6 +114,6 @@ def test_skewed_key_join_splits_at_run_time(spark):
     )
     from wattspindle.operators.lookups import lookup_join
 
-    joined = lookup_join(facts, spark.range(1000).selectExpr("id AS k", "id + 1 AS v"), "k", max_rows=10)
+    joined = lookup_join(facts, spark.range(1000).selectExpr("id AS k", "id + 1 AS v"), "k", most=10)
     assert joined.where("v IS NULL OR v <> k + 1").count() == 0
     assert joined.count() == 30_000

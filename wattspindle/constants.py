@@ -36,7 +36,6 @@ INDEX_UNIT = "Index (2015=100)"
 
 EXPECTED_YEARS = (2019, 2021)
 
-# A lookup side is broadcast only when a count shows it has at most this many
-# rows; lookups hold a key and a few fixed-width values, so this stays in tens
-# of megabytes.
-BROADCAST_ROWS = 500_000
+# A lookup side is broadcast only when a measurement shows that it takes at most this
+# much memory.
+BROADCAST_BYTES = 64 << 20

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wattspindle.constants import CHUNK_SAMPLES, SAMPLE_RATE_HZ
 from wattspindle.functions import signal, timebase
 from wattspindle.operators.lookups import lookup_join
-from wattspindle.session import materialize_counted
+from wattspindle.session import materialize
 
 _AXES = ("x", "y", "z")
 
@@ -138,12 +138,12 @@ def chunk_ordinals(chunks: DataFrame, run: str = "run_id", index: str = "chunk_i
     The last index is pre-aggregated and joined back, so no task holds all
     blocks of a run however long the run is. ``chunks`` is read twice.
     """
-    ends, rows = materialize_counted(
+    ends = materialize(
         chunks.groupBy(run).agg(
             F.max(index).alias("last_index"), F.count(F.lit(1)).alias("n_chunks")
         ),
         "run-ends",
     )
-    return lookup_join(chunks, ends, run, rows=rows).select(
+    return lookup_join(chunks, ends, run).select(
         chunks["*"], "n_chunks", (F.col(index) == F.col("last_index")).alias("is_last_chunk")
     )

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from wattspindle.functions import risk, timebase
 from wattspindle.operators.asof import asof_join
-from wattspindle.operators.lookups import lookup_join
+from wattspindle.operators.lookups import broadcast_bytes, lookup_join
 from wattspindle.operators.prices import of_country, price_per_bucket
 from wattspindle.schemas import SILVER, conform
-from wattspindle.session import materialize_counted
+from wattspindle.session import materialize
 
 
 def join_prices(
@@ -34,17 +34,18 @@ def join_prices(
             "timestamp_15min",
             ["price_eur_mwh"],
         )
-    lookup, rows = materialize_counted(quotes, "bucket-prices")
-    joined = lookup_join(telemetry, lookup, "timestamp_15min", rows=rows)
-    return _fill_with_mean(joined, telemetry, lookup, rows) if fill == "mean" else joined
+    lookup = materialize(quotes, "bucket-prices")
+    small = broadcast_bytes(lookup) is not None
+    joined = lookup_join(telemetry, lookup, "timestamp_15min", small=small)
+    return _fill_with_mean(joined, telemetry, lookup, small) if fill == "mean" else joined
 
 
 def _fill_with_mean(
-    joined: DataFrame, telemetry: DataFrame, lookup: DataFrame, rows: int
+    joined: DataFrame, telemetry: DataFrame, lookup: DataFrame, small: bool
 ) -> DataFrame:
     # Rows are counted per bucket first, so the buckets join, not the telemetry.
     counted = telemetry.groupBy("timestamp_15min").agg(F.count(F.lit(1)).alias("n"))
-    matched = lookup_join(counted, lookup, "timestamp_15min", "inner", rows=rows)
+    matched = lookup_join(counted, lookup, "timestamp_15min", "inner", small=small)
     weighted = F.sum(F.col("price_eur_mwh") * F.col("n"))
     mean = matched.agg(F.try_divide(weighted, F.sum(F.when(F.col("price_eur_mwh").isNotNull(), F.col("n"))))).scalar()
     return joined.withColumn("price_eur_mwh", F.coalesce("price_eur_mwh", mean))
@@ -68,9 +69,9 @@ def join_index(
     monthly = of_country(index, country).groupBy(timebase.month_key("date").alias("month")).agg(
         F.avg("industrial_production_index").alias("industrial_production_index")
     )
-    lookup, rows = materialize_counted(monthly, "monthly-index")
+    lookup = materialize(monthly, "monthly-index")
     keyed = facts.withColumn("month", timebase.month_key(ts))
-    return lookup_join(keyed, lookup, "month", rows=rows).drop("month")
+    return lookup_join(keyed, lookup, "month").drop("month")
 
 
 def enrich(facts: DataFrame) -> DataFrame:

@@ -4,8 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wattspindle.constants import BROADCAST_ROWS
+from wattspindle.constants import BROADCAST_BYTES
+
+#: What a row takes in a broadcast besides its values: header, null bits, hash entry.
+_ROW = 40
+_VARIABLE = (T.StringType, T.BinaryType)
+_FIXED = (T.NumericType, T.BooleanType, T.DatetimeType, T.TimestampNTZType)
+
+
+def broadcast_bytes(lookup: DataFrame, most: int = BROADCAST_BYTES) -> int | None:
+    """What ``lookup`` takes in memory, or None where no bound can be told or it exceeds ``most``.
+
+    Rows are counted first. Texts are measured only if the rows alone would fit, so a table
+    that is too large is not read for its size.
+    """
+    fields = lookup.schema.fields
+    if not all(isinstance(f.dataType, (*_VARIABLE, *_FIXED)) for f in fields):
+        return None
+    size = lookup.count() * (_ROW + 8 * len(fields))
+    texts = [F.octet_length(f"`{f.name}`") for f in fields if isinstance(f.dataType, _VARIABLE)]
+    if texts and size <= most:
+        # A value is padded to words.
+        total = sum((F.coalesce(F.sum(t + 8), F.lit(0)) for t in texts[1:]), F.coalesce(F.sum(texts[0] + 8), F.lit(0)))
+        size += lookup.agg(total).first()[0]
+    return size if size <= most else None
 
 
 def lookup_join(
@@ -13,16 +37,16 @@ def lookup_join(
     lookup: DataFrame,
     keys: str | list[str],
     how: str = "left",
-    rows: int | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
+    most: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join ``facts`` with ``lookup``, broadcasting only when its row count allows it.
+    """Join ``facts`` with ``lookup``, broadcasting it only when its size allows it.
 
-    ``rows`` is the known count of ``lookup``; without it the lookup is counted,
-    so it should be cheap to read. Beyond ``max_rows`` the join shuffles and
+    ``small`` says whether ``broadcast_bytes`` found a size; without it the lookup is
+    measured, so it should be cheap to read. A larger one is joined by a shuffle, in which
     adaptive execution splits the partitions of hot keys on the fact side.
     """
-    if (lookup.count() if rows is None else rows) <= max_rows:
+    if broadcast_bytes(lookup, most) is not None if small is None else small:
         lookup = F.broadcast(lookup)
     return facts.join(lookup, keys, how)
 

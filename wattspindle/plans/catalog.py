@@ -15,7 +15,7 @@ from wattspindle.operators import chunking, harmonize, prices, quality, quantile
 from wattspindle.operators.lookups import attach_one_row
 from wattspindle.plans import ledger, marts, reports
 from wattspindle.schemas import layer_schema
-from wattspindle.session import materialize, new_scratch_path, setting
+from wattspindle.session import layer, materialize, new_scratch_path, setting
 from wattspindle.sources import adapters, documents, ingest, message_log, messages, readers, sinks
 from wattspindle.streaming import streams, trends
 
@@ -73,26 +73,56 @@ def query(digits: int = 6, exact: str = ""):
 # Layers shared by the queries -------------------------------------------------
 
 
+def _layer(spark: SparkSession, sf_dir: str, name: str, tables: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A layer that several queries read, written once for each state of its input tables."""
+    return layer(spark, name, [f"{sf_dir}/{t}.parquet" for t in tables.split()], build)
+
+
+def _telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, "silver-telemetry", "events", lambda: adapters.silver_telemetry(spark, sf_dir))
+
+
+def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, "bronze-prices", "events", lambda: adapters.hourly_prices(spark, sf_dir))
+
+
+def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, "bronze-index", "orders", lambda: adapters.industrial(spark, sf_dir))
+
+
+def _built_silver(spark: SparkSession, sf_dir: str, fill: str | None) -> DataFrame:
+    index = adapters.moved_to_events(_index(spark, sf_dir))
+    return harmonize.silver(_telemetry(spark, sf_dir), _prices(spark, sf_dir), index, fill, COUNTRY)
+
+
 def _silver(spark: SparkSession, sf_dir: str, fill: str | None = "mean") -> DataFrame:
-    return harmonize.silver(
-        adapters.silver_telemetry(spark, sf_dir),
-        adapters.hourly_prices(spark, sf_dir),
-        adapters.current_industrial(spark, sf_dir),
-        fill,
-        COUNTRY,
-    )
+    return _layer(spark, sf_dir, f"silver-{fill}", "events orders", lambda: _built_silver(spark, sf_dir, fill))
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.daily_metrics(_silver(spark, sf_dir))
+    build = lambda: marts.daily_metrics(_silver(spark, sf_dir))
+    return _layer(spark, sf_dir, "daily-metrics", "events orders", build)
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.daily_facts(materialize(_daily(spark, sf_dir), "daily-metrics"))
+    return _layer(spark, sf_dir, "machine-daily", "events orders", lambda: marts.daily_facts(_daily(spark, sf_dir)))
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.machine_summary(_daily(spark, sf_dir))
+    build = lambda: marts.machine_summary(_daily(spark, sf_dir))
+    return _layer(spark, sf_dir, "machine-summary", "events orders", build)
+
+
+LAYERS: dict[str, Query] = {
+    "telemetry": _telemetry,
+    "prices": _prices,
+    "index": _index,
+    "silver": _silver,
+    "silver_unfilled": lambda spark, sf_dir: _silver(spark, sf_dir, None),
+    "daily": _daily,
+    "facts": _facts,
+    "summary": _summary,
+}
 
 
 def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,17 +157,17 @@ def price_first_per_window(spark, sf_dir):
 
 @query(4)
 def price_spine_fallback(spark, sf_dir):
-    return prices.price_spine(adapters.bronze_prices(spark, sf_dir))
+    return prices.price_spine(_prices(spark, sf_dir))
 
 
 @query(4)
 def price_spine_gaps(spark, sf_dir):
-    return prices.price_spine(adapters.bronze_prices(spark, sf_dir), fallback=None)
+    return prices.price_spine(_prices(spark, sf_dir), fallback=None)
 
 
 @query(4)
 def price_forward_fill_15min(spark, sf_dir):
-    return prices.forward_fill(adapters.bronze_prices(spark, sf_dir))
+    return prices.forward_fill(_prices(spark, sf_dir))
 
 
 @query(exact="price_eur_mwh")
@@ -161,7 +191,7 @@ def price_batches_union(spark, sf_dir):
 
 @query(4)
 def price_describe(spark, sf_dir):
-    hourly = adapters.bronze_prices(spark, sf_dir)
+    hourly = _prices(spark, sf_dir)
     quartiles = quantiles.exact_quantiles(
         hourly, "price_eur_mwh", {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     )
@@ -174,14 +204,14 @@ def price_describe(spark, sf_dir):
 @query()
 def harmonize_mean_fill(spark, sf_dir):
     return harmonize.join_prices(
-        adapters.silver_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), "mean", COUNTRY
+        _telemetry(spark, sf_dir), _prices(spark, sf_dir), "mean", COUNTRY
     ).select("timestamp_15min", *UNIT, "avg_rms_x", "price_eur_mwh")
 
 
 @query()
 def harmonize_ffill(spark, sf_dir):
     return harmonize.join_prices(
-        adapters.silver_telemetry(spark, sf_dir), adapters.bronze_prices(spark, sf_dir), "ffill", COUNTRY
+        _telemetry(spark, sf_dir), _prices(spark, sf_dir), "ffill", COUNTRY
     ).select("timestamp_15min", *UNIT, "avg_rms_x", "price_eur_mwh")
 
 
@@ -189,7 +219,7 @@ def harmonize_ffill(spark, sf_dir):
 def harmonize_windows(spark, sf_dir):
     return harmonize.harmonize_windows(
         windows.telemetry_windows(adapters.telemetry(spark, sf_dir)),
-        adapters.bronze_prices(spark, sf_dir),
+        _prices(spark, sf_dir),
         country=COUNTRY,
     )
 
@@ -197,7 +227,7 @@ def harmonize_windows(spark, sf_dir):
 @query(2, exact="avg_rms_x avg_rms_y avg_rms_z")
 def monthly_index_join(spark, sf_dir):
     return harmonize.join_index(
-        adapters.telemetry_long(spark, sf_dir), adapters.industrial(spark, sf_dir), country=COUNTRY
+        adapters.telemetry_long(spark, sf_dir), _index(spark, sf_dir), country=COUNTRY
     )
 
 
@@ -256,8 +286,7 @@ def health_distribution(spark, sf_dir):
 
 @query()
 def stability_mode(spark, sf_dir):
-    daily = materialize(_daily(spark, sf_dir), "daily-metrics")
-    return reports.dominant_stability(marts.with_stability(daily))
+    return reports.dominant_stability(marts.with_stability(_daily(spark, sf_dir)))
 
 
 @query(4)
@@ -278,9 +307,7 @@ def risk_recommendations(spark, sf_dir):
 
 @query(4)
 def daily_vs_average(spark, sf_dir):
-    daily = materialize(_daily(spark, sf_dir), "daily-metrics")
-    summary = materialize(marts.machine_summary(daily), "machine-summary")
-    return reports.daily_vs_average(daily, summary)
+    return reports.daily_vs_average(_daily(spark, sf_dir), _summary(spark, sf_dir))
 
 
 @query(4)
@@ -348,7 +375,7 @@ def quality_nulls(spark, sf_dir):
 @query()
 def quality_coverage(spark, sf_dir):
     joined = harmonize.join_prices(
-        adapters.silver_telemetry(spark, sf_dir), adapters.hourly_prices(spark, sf_dir), None, COUNTRY
+        _telemetry(spark, sf_dir), _prices(spark, sf_dir), None, COUNTRY
     )
     return quality.coverage_report(joined, "price_eur_mwh")
 
@@ -367,7 +394,7 @@ def run_summary(spark, sf_dir):
     """What the write of silver measured."""
     book = _ledger(spark)
     measures = {**ledger.period("timestamp_15min"), **ledger.fleet()}
-    book.materialize(_silver(spark, sf_dir, fill=None), "silver", measures)
+    book.materialize(_built_silver(spark, sf_dir, None), "silver", measures)
     return ledger.run_summary(book, "silver")
 
 
@@ -704,6 +731,16 @@ def stream_driver(spark, sf_dir):
     return spark.read.parquet(path).where("aggregated_at is not null").drop("aggregated_at")
 
 
+@query()
+def stream_console(spark, sf_dir):
+    """What a window stream to the console has taken in, as its progress tells."""
+    frame = streams.with_processing_time(_window_stream(spark, sf_dir))
+    checkpoint = new_scratch_path(spark, "stream-console")
+    done = streams.run_available(streams.to_console(frame, checkpoint))
+    rows = sum(p["numInputRows"] for p in done.recentProgress)
+    return spark.range(1).select(F.lit(rows).cast("long").alias("rows_taken"), F.lit(done.exception() is None).alias("ended"))
+
+
 @query(exact=PEAKS)
 def stream_late_data(spark, sf_dir):
     """Every 50th event arrives after all others, across a restart of the stream."""

@@ -823,6 +823,7 @@ _add(
     )
     + " WHERE window_end <= (SELECT max(sent) FROM bodies) - INTERVAL '10 minutes'",
 )
+_add("stream_console", "SELECT count(*) AS rows_taken, TRUE AS ended FROM events")
 _add(
     "stream_late_data",
     _select(_WINDOW_COLUMNS, _windows("(SELECT * FROM telemetry WHERE event_id % 50 <> 0)"))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -120,7 +121,35 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """``materialize`` that also returns the row count, taken from the file footers."""
-    table = materialize(df, name)
-    return table, table.count()
+_layers: dict[tuple, tuple[str, StructType]] = {}
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    """Name, size and time of a table's files; another content shows in one of them."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, rest = [], [place]
+    while rest:
+        for status in store.listStatus(rest.pop()):
+            if status.isDirectory():
+                rest.append(status.getPath())
+            else:
+                found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def layer(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """A table built from ``inputs``, written once in an application for each state of them.
+
+    Whoever asks first has it built; later ones read it, as long as the files of the inputs
+    are the same. Layers of states that are gone, and all at the end of the application, may
+    be deleted with the scratch folder of the application.
+    """
+    key = (spark.sparkContext.applicationId, name, *[_files(spark, p) for p in inputs])
+    if key not in _layers:
+        rows = build()
+        path = new_scratch_path(spark, name)
+        rows.write.parquet(path)
+        _layers[key] = (path, rows.schema)
+    path, schema = _layers[key]
+    return spark.read.schema(schema).parquet(path)

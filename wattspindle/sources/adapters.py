@@ -63,13 +63,13 @@ def bronze_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns of the 15-minute telemetry that silver reads, written once.
+    """The columns of the 15-minute telemetry that silver reads.
 
     Leaving out the sample file keeps the rollup a hash aggregate (a string
     minimum forces a sort) and spares the JSON parsing.
     """
     rollup = rollup_chunks(telemetry_chunks(spark, sf_dir))
-    return materialize(rollup.drop("sample_file", "total_samples"), "silver-telemetry")
+    return rollup.drop("sample_file", "total_samples")
 
 
 def price_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,11 +88,6 @@ def hourly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(hourly_mean(price_quotes(spark, sf_dir)), BRONZE_PRICES)
 
 
-def bronze_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly prices, written once: spines and fills read them more than once."""
-    return materialize(hourly_prices(spark, sf_dir), "bronze-prices")
-
-
 def order_country() -> Column:
     return F.element_at(F.array(F.lit("DE"), F.lit("FR"), F.lit("IT")), (F.col("o_custkey") % 3 + 1).cast("int"))
 
