@@ -56,6 +56,48 @@ def test_siblings_and_most_of_the_page():
     assert extract(f"<div class=banner><p>{'word, ' * 30}</p></div><p>x</p>").count("word,") == 30
 
 
+PROSE = "A first sentence, with commas, that is long enough to be scored as a paragraph of the page."
+MORE = "Another one, also with commas, which goes on for long enough to count as a paragraph too."
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ['data-title="The hidden costs of war"', 'class="md hidden-xs x"', "class='md hidden x'", "data-hidden=1", "title=hidden"],
+)
+def test_hidden_is_an_attribute_and_not_a_word_in_one(attributes):
+    assert extract(f"<body><article {attributes}><p>{PROSE}<p>{MORE}</article></body>") == f"{PROSE}\n{MORE}"
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "hidden=''", "class=x hidden", "HIDDEN id=a", 'hidden="until-found"'])
+def test_hidden_elements_are_left_out(attributes):
+    assert extract(f"<article><p>{PROSE}<p {attributes}>{MORE}</article>") == PROSE
+
+
+def test_a_form_around_the_page_is_not_a_form_in_it():
+    controls = "<label>Name</label><input name=q><select><option>one</select><button>Send</button>"
+    body = f"<div id=c><h1>Title</h1><p>{PROSE}</p><p>{MORE}</p></div>"
+    assert extract(f"<body><form id=aspnetForm>{controls}{body}</form></body>") == f"Title\n{PROSE}\n{MORE}"
+    article = f"<article><p>{PROSE}</p></article>"
+    assert extract(f"<form>{controls}{article}<div class=menu>{MORE}</div></form>") == PROSE
+    asked = f"<form><p>Write to us, we like that.</p>{controls}</form>"
+    assert extract(f"<body>{body}{asked}</body>") == f"Title\n{PROSE}\n{MORE}"
+    assert extract(f"<form>{controls}Search</form>") == ""
+
+
+def test_an_article_keeps_what_is_in_it():
+    page = f"""<body><ul><li><a href=1>Home</a><li><a href=2>News</a><li><a href=3>More</a></ul><article>
+    <div class=top><h1>Head</h1></div><div><p>{PROSE}</p><p class="text notice-period">{MORE}</p>
+    <ul><li><a href=4>one</a><li><a href=5>two</a><li><a href=6>three</a></ul></div>
+    <div><p>The end.</p></div><p class=notice>Mind the step.</p></article><div>Elsewhere</div></body>"""
+    assert extract(page).split("\n") == ["Head", PROSE, MORE, "one", "two", "three", "The end."]
+
+
+def test_heading_and_end_in_wrappers_belong_to_the_text():
+    page = f"""<body><div class=content><div><h1>Head</h1></div><div><p>{PROSE}</p><p>{MORE}</p></div>
+    <div><p>The end.</p></div><div class=share>Tell others</div></div><div>Elsewhere</div></body>"""
+    assert extract(page).split("\n") == ["Head", PROSE, MORE, "The end."]
+
+
 def articles(source):
     """By the layout of the test pages: paragraphs and heading inside <article>."""
     part = source[source.index("<article>") + 9 :]

@@ -28,13 +28,13 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s"']+)""")
+_ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""")
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _COMMAS = ",،、，;；"
 
 #: Elements that never hold article text.
 DROPPED = set(
-    "script style noscript template iframe object embed svg canvas form button input select"
+    "script style noscript template iframe object embed svg canvas button input select label legend"
     " textarea option nav footer aside head menu dialog audio video map datalist title".split()
 )
 #: Elements whose content is text up to their end tag.
@@ -74,6 +74,8 @@ AROUND = set(
 SAYS = {"has", "no", "with", "without", "is", "show", "hide", "open"}
 ARTICLE = {"article", "content", "main", "post", "entry", "story", "text", "body"}
 ANCHORED = {"html", "body", "main", "article"}
+#: Elements of running text: a name says something about them only if it is the whole name.
+RUNNING = {"p", "li", "dt", "dd", "td", "th", "blockquote", "pre", "span", "em", "strong", "b", "i", "a"} | HEADINGS
 #: Length from which a block counts as a paragraph.
 PARAGRAPH = 25
 
@@ -82,10 +84,12 @@ def _words(name: str) -> list[str]:
     return [w.lower() for w in _NAME.findall(name)]
 
 
-def _around(attributes: dict[str, str]) -> bool:
+def _around(attributes: dict[str, str], running: bool) -> bool:
     for key in ("class", "id", "role"):
         for name in attributes.get(key, "").split():
             words = _words(name)
+            if running and len(words) > 1:
+                continue
             for i, word in enumerate(words):
                 if word in AROUND and not (i and words[i - 1] in SAYS):
                     return True
@@ -112,11 +116,11 @@ class _Page:
             bool(attributes)
             and (
                 pairs.get("aria-hidden", "").lower() == "true"
-                or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes))
+                or "hidden" in pairs
                 or "display:none" in pairs.get("style", "").replace(" ", "").lower()
             )
         )
-        around = tag == "header" or (bool(pairs) and tag not in ANCHORED and _around(pairs))
+        around = tag in ("header", "form") or (bool(pairs) and tag not in ANCHORED and _around(pairs, tag in RUNNING))
         names = pairs.get("class", "") + " " + pairs.get("id", "") if pairs else ""
         self.tags.append(tag)
         self.parents.append(parent)
@@ -212,9 +216,9 @@ def extract(source: str | None) -> str:
     n = len(page.tags)
     tags, parents = page.tags, page.parents
     blocks = page.blocks()
-    length, linked = [0] * n, [0] * n
+    length, linked, prose = [0] * n, [0] * n, [0] * n
     lengths = []
-    for _, pieces in blocks:
+    for block, pieces in blocks:
         total = 0
         for at, text, link in pieces:
             size = len(text.strip())
@@ -222,14 +226,17 @@ def extract(source: str | None) -> str:
             linked[at] += size * link
             total += size
         lengths.append(total)
+        prose[block] += total * (total >= PARAGRAPH)
     for at in range(n - 1, 0, -1):
         length[parents[at]] += length[at]
         linked[parents[at]] += linked[at]
-    # Menus by name go, unless they hold most of a page that names no article or hold
-    # the article itself; so do lists of links.
+        prose[parents[at]] += prose[at]
+    # Menus by name and forms go, unless they hold most of a page that names no article or
+    # hold the article itself; so do lists of links outside of an article.
     gone = list(page.dropped)
-    links, articles = [0] * n, [0] * n
+    links, articles, inside = [0] * n, [0] * n, [False] * n
     for at in range(1, n):
+        inside[at] = inside[parents[at]] or tags[at] == "article"
         links[parents[at]] += tags[at] == "a"
         articles[at] += tags[at] in ("article", "main") and length[at] > 0
     for at in range(n - 1, 0, -1):
@@ -238,7 +245,9 @@ def extract(source: str | None) -> str:
     for at in range(1, n):
         if page.around[at] and (2 * length[at] <= length[0] or articles[0] and not articles[at]):
             gone[at] = True
-        elif tags[at] in ("ul", "ol", "dl", "table", "div", "section") and links[at] >= 3:
+        elif tags[at] == "form" and not articles[at] and 2 * prose[at] <= prose[0]:
+            gone[at] = True
+        elif tags[at] in ("ul", "ol", "dl", "table", "div", "section") and links[at] >= 3 and not inside[at]:
             gone[at] |= linked[at] > 0.6 * length[at]
         gone[at] |= gone[parents[at]]
     points = [0.0] * n
@@ -262,15 +271,23 @@ def extract(source: str | None) -> str:
     if not points[best]:
         named = [i for i in range(n) if tags[i] in ("article", "main") and length[i] and not gone[i]]
         best = named[0] if named else 0
+    # What stands in the same article belongs to it, wrapped or not.
+    up = best
+    while up > 0 and tags[up] != "article":
+        up = parents[up]
+    best = up if up > 0 else best
     roots = {best}
     if tags[best] not in ("#page", "html", "body"):
+        named = page.positive[parents[best]] and tags[parents[best]] != "body"
+        heads = {parents[at] for at in range(1, n) if tags[at] in ("h1", "h2")}
         for at in range(1, n):
             if parents[at] == parents[best] and at != best and not gone[at]:
                 dense = linked[at] / max(length[at], 1)
                 similar = points[at] >= max(10.0, 0.2 * points[best])
-                prose = tags[at] == "p" and length[at] >= 80 and dense < 0.25
-                titled = tags[at] in ("h1", "h2") and at < best and tags[parents[at]] != "body"
-                if similar or prose or titled:
+                long = tags[at] == "p" and length[at] >= 80 and dense < 0.25
+                titled = (tags[at] in ("h1", "h2") or at in heads) and at < best and tags[parents[at]] != "body"
+                part = named and 0 < length[at] and dense < 0.5
+                if similar or long or titled or part:
                     roots.add(at)
     kept = [False] * n
     for at in range(n):
