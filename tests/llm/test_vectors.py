@@ -190,3 +190,23 @@ def test_best_bin_first_lists_every_leaf_once():
     assert sorted(order) == list(range(len(tree.leaves)))
     assert tree.visits(points[0], 5) == order[:5]
     assert set(tree.assign(points).tolist()) <= set(order)
+
+
+def test_ties_go_to_the_smallest_identifiers(llm, monkeypatch):
+    rng = np.random.default_rng(4)
+    binary = rng.integers(0, 2, (900, 12)).astype(float)
+    binary[:300, :] = 0
+    binary[:300, 0] = 1  # three hundred vectors of one product
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(binary) if v.any()]
+    monkeypatch.setattr(ann, "RECALL", 1.0)
+    monkeypatch.setattr(ann, "PAIRS", 700)
+    table = llm.createDataFrame(rows[::-1], "vec_id long, embedding array<float>, label int")
+    found: dict[int, list] = {}
+    for r in ann.search(table).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    ids = np.array([i for i, _, _ in rows])
+    vectors = np.array([v for _, v, _ in rows])
+    for query in ids[ids % 20 == 0].tolist():
+        scores = vectors @ binary[query]
+        order = [i for i in np.lexsort((ids, -scores)) if ids[i] != query][:20]
+        assert found[query] == [(int(ids[i]), float(scores[i])) for i in order]

@@ -38,6 +38,8 @@ KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.float64()]
 GROUP, SLICE = 20_000, 4000
 #: Results that a slice holds before it keeps the best of them only.
 RESULTS = 1_000_000
+#: Pairs of a query and a row whose exact products are taken at once, one query at least.
+PAIRS = 50_000
 
 
 def usable(vector: str) -> Column:
@@ -168,21 +170,39 @@ def _best(query: np.ndarray, score: np.ndarray, ids: np.ndarray, most: int) -> n
 def _listed(
     queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: list[np.ndarray], most: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, score, row) of the best among ``rows`` for each query but itself."""
-    # A few more than wanted survive the fast product; exact scores and ids decide.
-    keep = min(most + 8, len(rows))
+    """(query, id, score, row) of the best among ``rows`` for each query but itself.
+
+    A fast product tells which rows may be listed: those that, within its rounding, reach
+    the last place. Exact scores and identifiers decide among them, however many tie.
+    """
+    nothing = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+    if not len(queries) or not len(rows):
+        return nothing
     fast = queries @ rows.T
-    top = np.argpartition(-fast, keep - 1, axis=1)[:, :keep] if keep < len(rows) else np.tile(np.arange(keep), (len(queries), 1))
-    query = np.repeat(np.arange(len(queries)), keep)
-    row = top.ravel()
-    score = _scores(queries[query], rows[row])
-    sizes = np.array([len(i) for i in ids])[row]
-    query, score, row = np.repeat(query, sizes), np.repeat(score, sizes), np.repeat(row, sizes)
-    found = np.concatenate([ids[i] for i in top.ravel().tolist()]) if len(top.ravel()) else np.zeros(0, np.int64)
-    other = found != own[query]
-    query, score, row, found = query[other], score[other], row[other], found[other]
-    at = _best(query, score, found, most)
-    return query[at], found[at], score[at], row[at]
+    keep = min(most + 1, len(rows))
+    last = np.partition(fast, len(rows) - keep, axis=1)[:, len(rows) - keep]
+    longest = np.linalg.norm(queries, axis=1) * np.linalg.norm(rows, axis=1).max()
+    slack = 8 * rows.shape[1] * np.finfo(float).eps * longest
+    with np.errstate(invalid="ignore"):
+        reach = np.where(np.isfinite(slack) & np.isfinite(last), last - slack, -np.inf)
+        picked = ~(fast < reach[:, None])
+    upto = np.cumsum(picked.sum(axis=1))
+    sizes = np.array([len(i) for i in ids])
+    found, begin = [], 0
+    while begin < len(queries):
+        # One query at least, and few enough pairs to be scored at once.
+        end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + PAIRS, "right")))
+        query, row = np.nonzero(picked[begin:end])
+        query += begin
+        score = _scores(queries[query], rows[row])
+        near = np.concatenate([ids[i] for i in row.tolist()])
+        query, score, row = (np.repeat(x, sizes[row]) for x in (query, score, row))
+        other = near != own[query]
+        query, near, score, row = query[other], near[other], score[other], row[other]
+        at = _best(query, score, near, most)
+        found.append((query[at], near[at], score[at], row[at]))
+        begin = end
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _calibrate(tree: Tree, entries: DataFrame, queries: DataFrame, most: int) -> int:
