@@ -134,3 +134,29 @@ def test_slots_give_every_rank_one_place():
     for size, n in counts.items():
         ranks = sorted(r for s, a, b, *_ in slots if s == size for r in range(a, b + 1))
         assert ranks == list(range(n))
+
+
+def test_dominated_fillings_are_left_out():
+    assert packing._dominates((9, 6), (5, 4, 6)) and packing._dominates((9, 6), (9, 5))
+    assert not packing._dominates((9, 6), (8, 7)) and not packing._dominates((5, 4, 6), (9, 6))
+    assert packing._dominates((7,), (7,)) and packing._dominates((7,), ())
+    fillings = packing._fillings([3, 4, 5, 6, 9], {3: 1, 4: 1, 5: 1, 6: 1, 9: 1}, 15, 12)
+    assert fillings[0] == (9, 6) and all(sum(f) <= 15 for f in fillings)
+    assert not any(packing._dominates(a, b) for a in fillings for b in fillings if a != b)
+
+
+def test_fillings_of_many_short_pieces_leave_no_room():
+    left = {n: 500 for n in range(5, 21)}
+    for filling in packing._fillings(sorted(left), left, 2028, 12):
+        # As many as there are and fit, and none more can be added.
+        assert 2028 - sum(filling) < 5 and len(filling) > 100
+        assert all(filling.count(s) <= left[s] for s in left)
+
+
+def test_a_word_takes_the_whole_way_only_for_itself():
+    words = packing.Words(packing.tokenizer_path())
+    text = "Plain WORDS and “Quoted” Plain words <|ENDOFTEXT|>"
+    wanted = words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.ids(text), "<u4").tolist() == wanted
+    kept = set(words.young)
+    assert {b"plain", b"words", b"and", "“Quoted”".encode(), b"<|ENDOFTEXT|>"} <= kept and b"Plain" not in kept

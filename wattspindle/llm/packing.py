@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from wattspindle.llm.common import MB, Table, rank_in, slices
 
 CAPACITY = 2048
-#: Fillings of one sequence that are weighed, and branches that are followed in all.
-FILLINGS, BRANCHES = 12, 4000
-#: Words of a generation whose tokens a Python worker remembers: some 60 MB.
-REMEMBERED = 300_000
+#: Fillings of one sequence that are weighed, the steps in which they are looked for, and
+#: branches that are followed in all: the search runs on the driver, over counts.
+FILLINGS, STEPS, BRANCHES = 12, 400, 1000
+#: Words of a generation whose tokens a Python worker remembers: some 100 MB.
+REMEMBERED = 500_000
 
 
 def tokenizer_path() -> str:
@@ -83,12 +84,13 @@ class Words:
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         # The vocabulary is lower-case; A-Z can go at once, unless a capital composes with a mark
-        # behind it or makes the difference between an added token and plain text.
+        # behind it or makes the difference between an added token and plain text. That is
+        # for each word to tell, as words never join.
         written = (text or "").encode()
         lower = written.lower()
-        if len(written.translate(None, _OTHER)) < len(written) or self._holds_added(lower):
-            lower = written
         words = lower.split()
+        if len(written.translate(None, _OTHER)) < len(written) or self._holds_added(lower):
+            words = [self._as_met(w, low) for w, low in zip(written.split(), words, strict=True)]
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
@@ -97,6 +99,10 @@ class Words:
                 young[word] = old.get(word) or self._word(word)
         return b"".join(map(young.__getitem__, words))
 
+    def _as_met(self, word: bytes, lower: bytes) -> bytes:
+        other = not word.isascii() and len(word.translate(None, _OTHER)) < len(word)
+        return word if other or self._holds_added(lower) else lower
+
     def _holds_added(self, lower: bytes) -> bool:
         return any(a in lower for a in self.added)
 
@@ -156,42 +162,73 @@ def pieces(docs: DataFrame, doc_id: str, text: str, path: str, capacity: int = C
 Pattern = tuple[tuple[int, ...], int]
 
 
+def _dominates(one: tuple[int, ...], two: tuple[int, ...]) -> bool:
+    """Whether groups of the pieces of ``two`` can be exchanged for pieces of ``one``, each at
+    least as long as its group, so that ``one`` holds all that ``two`` does.
+
+    Tried with a bounded number of steps; a dominance that takes more is not seen.
+    """
+    if sum(one) < sum(two):
+        return False
+    rooms, steps = list(one), 0
+
+    def place(i: int) -> bool:
+        nonlocal steps
+        steps += 1
+        if i == len(two):
+            return True
+        tried = set()
+        for k, room in enumerate(rooms):
+            if room >= two[i] and room not in tried and steps < 200:
+                tried.add(room)
+                rooms[k] -= two[i]
+                if place(i + 1):
+                    return True
+                rooms[k] += two[i]
+        return False
+
+    # Short fillings only: every piece is a level of the search.
+    return len(two) <= 60 and place(0)
+
+
 def _fillings(sizes: list[int], left: dict[int, int], room: int, most: int) -> list[tuple[int, ...]]:
     """Undominated ways to fill ``room``, least waste first, then with the fewest pieces.
 
-    Maximal fillings are reached largest piece first; one that wastes as much as another
-    and needs more pieces, or wastes more, stands behind it: exchanging the pieces for
-    the smaller ones of the dominated filling elsewhere never takes more sequences.
+    Fillings to which no piece can be added are reached largest piece first, each length as
+    often as it goes in, or once less. Those that another one dominates are left out:
+    exchanging its pieces for the dominated ones elsewhere never takes more sequences.
     """
-    found: list[tuple[int, int, tuple[int, ...]]] = []
+    found: dict[tuple[tuple[int, int], ...], int] = {}
     steps = 0
 
-    def go(at: int, room: int, chosen: tuple[int, ...]) -> bool:
+    def whole(chosen: tuple[tuple[int, int], ...], room: int) -> bool:
+        used = dict(chosen)
+        return all(left[s] <= used.get(s, 0) for s in sizes[: bisect_right(sizes, room)])
+
+    def go(at: int, room: int, chosen: tuple[tuple[int, int], ...]) -> bool:
+        """Distinct lengths are the levels: as many as fit in a sequence side by side."""
         nonlocal steps
         steps += 1
-        at = min(at, bisect_right(sizes, room) - 1)
-        if at < 0 or len(chosen) >= 40:
-            found.append((room, len(chosen), chosen))
-            return room == 0
-        tried = 0
-        last = None
-        while at >= 0 and steps < 400 and tried < 6:
+        at, tried, placed = min(at, bisect_right(sizes, room) - 1), 0, False
+        while at >= 0 and tried < 6:
             size = sizes[at]
-            if left[size] > chosen.count(size):
-                tried += 1
-                last = size
-                if go(at, room - size, (*chosen, size)) and len(found) >= most:
-                    return True
             at -= 1
-        if last is None:
-            found.append((room, len(chosen), chosen))
-        return room == 0
+            fits = min(left[size], room // size)
+            for times in (fits, fits - 1) if fits > 1 else (fits,) if fits else ():
+                placed = True
+                # The first way down is gone to its end.
+                if (steps < STEPS or not found) and go(at, room - times * size, (*chosen, (size, times))):
+                    return True
+            tried += fits > 0
+        if not placed and whole(chosen, room):
+            found[chosen] = room
+        return len(found) >= 4 * most
 
     go(len(sizes) - 1, room, ())
-    found.sort(key=lambda x: (x[0], x[1], [-s for s in x[2]]))
     result: list[tuple[int, ...]] = []
-    for _, _, chosen in found:
-        if chosen not in result:
+    flat = [(waste, tuple(s for s, n in chosen for _ in range(n))) for chosen, waste in found.items()]
+    for _, chosen in sorted(flat, key=lambda x: (x[0], len(x[1]), [-s for s in x[1]])):
+        if not any(_dominates(other, chosen) for other in result):
             result.append(chosen)
         if len(result) == most:
             break
