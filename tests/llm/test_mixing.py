@@ -97,3 +97,12 @@ def test_empty_tables_null_ids_and_no_words(make):
     found = mixing.mix(make((None, "a b", None, None), (None, "a b", None, None), (1, None, None, "s"))).collect()
     assert sum(r.taken for r in found) in (6, 8) and len(found) == 3
     assert all(r.taken == 0 for r in mixing.mix(make((1, " ", None, "s"))).collect())
+
+
+def test_rows_that_share_an_identifier_are_taken_each_for_itself(make):
+    rows = [(None, f"{'w ' * (i % 5 + 1)}{i}", "en", f"s{i % 3}") for i in range(90)]
+    docs = make(*rows)
+    planned = sum(r.taken for r in mixing.mix(docs).collect())
+    taken = [r.text for r in mixing.mixed(docs).collect()]
+    assert sum(len(t.split()) for t in taken) == planned
+    assert sorted(taken) == sorted(r.text for r in mixing.mixed(docs.repartition(5)).collect())

@@ -40,3 +40,15 @@ def test_odd_documents_pass_through(llm, make, odd_texts, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(llm, docs, str(tmp_path)).cache()
         docs.collect()
+
+
+def test_columns_named_like_results_are_kept(llm, make):
+    rows = [(i, f"the house number {i} is on the road to the sea and the hills {i}", "en", "s", 1) for i in range(40)]
+    docs = make(*rows, *[(100 + i, rows[i][1], "en", "s", 1) for i in range(9)])
+    named = docs.drop("n_chars").selectExpr("*", "'KEEP' AS score", "doc_id AS Lang_Pred", "true AS n_words", "'r' AS n_removed")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        after = stage(llm, named, "")
+        assert after.columns == named.columns and after.dtypes == named.dtypes
+        found = after.collect()
+        assert found and all(r.score == "KEEP" and r.Lang_Pred == r.doc_id and r.n_words and r.n_removed == "r" for r in found)
+        named = after

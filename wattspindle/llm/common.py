@@ -114,12 +114,15 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator
         yield batch.slice(begin)
 
 
-def rank_in(df: DataFrame, keys: list[str], order: list[str], name: str, seed: int = 0) -> DataFrame:
+def rank_in(
+    df: DataFrame, keys: list[str], order: list[str], name: str, seed: int = 0, ties: tuple[str, ...] = ()
+) -> DataFrame:
     """Number the rows of each key from 0, in the order of a seeded hash of ``order``.
 
     A key may hold any share of the rows: its rows are dealt to 256 drawers by the
     hash, drawers are counted with map-side sums, and only within a drawer are rows
-    sorted. Rows that agree in every order column are alike and may swap numbers.
+    sorted. Rows that agree in every order column go by ``ties``; those that agree in them
+    too are alike and may swap numbers.
     """
     drawn = df.withColumn("__hash", F.xxhash64(F.lit(seed), *order))
     drawn = drawn.withColumn("__drawer", F.expr("pmod(__hash, 256)"))
@@ -139,7 +142,7 @@ def rank_in(df: DataFrame, keys: list[str], order: list[str], name: str, seed: i
     ).select(
         *[F.col(k).alias(f"__of_{k}") for k in keys], F.col("__d.__drawer").alias("__at"), "__d.__before"
     )
-    inside = Window.partitionBy(*keys, "__drawer").orderBy("__hash", *order)
+    inside = Window.partitionBy(*keys, "__drawer").orderBy("__hash", *order, *ties)
     ranked = drawn.withColumn("__rank", F.row_number().over(inside) - 1)
     same = F.col("__drawer") == F.col("__at")
     for k in keys:

@@ -116,10 +116,16 @@ def targets(sources: DataFrame) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    row: tuple[str, ...] = (),
 ) -> DataFrame:
     """(doc_id, size, source_size, target, taken), one row for each row of ``docs``.
 
+    The columns ``row`` are kept besides, and tell rows apart that share an identifier.
+
     ``size`` counts the words of the text, 0 for null; ``taken`` the words that the mix
     takes of it: 0, or once or twice its size. Rows without words are never taken. Rows
     alike in identifier, source and size may swap places. An empty table gives an empty
@@ -130,6 +136,7 @@ def mix(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.col(f"`{source}`").alias("source"),
         F.coalesce(F.regexp_count(column, F.lit(WORD)).cast("long"), F.lit(0).cast("long")).alias("size"),
+        *row,
     )
     sized = Table(slim, "sizes").df
     lengths = Table(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "lengths").df
@@ -152,7 +159,7 @@ def mix(
         run, "source string, size long, whole long, more long"
     )
     planned = Table(plan, "plan").df
-    ranked = rank_in(sized.where("size > 0"), ["source", "size"], ["doc_id"], "rank", SEED)
+    ranked = rank_in(sized.where("size > 0"), ["source", "size"], ["doc_id"], "rank", SEED, row)
     chosen = ranked.join(
         planned.select(F.col("source").alias("__s"), F.col("size").alias("__z"), "whole", "more"),
         F.col("source").eqNullSafe(F.col("__s")) & (F.col("size") == F.col("__z")),
@@ -160,13 +167,14 @@ def mix(
         "doc_id",
         "source",
         "size",
+        *row,
         (F.col("size") * (F.col("whole") + F.when(F.col("rank") < F.col("more"), 1).otherwise(0))).alias("taken"),
     )
     empty = sized.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return (
         chosen.unionByName(empty)
         .join(aims.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .select("doc_id", "size", "source_size", "target", "taken", *row)
     )
 
 
@@ -175,17 +183,21 @@ def mixed(
 ) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken.
 
-    Rows that share an identifier are taken as often as the most taken of them.
+    Rows that share an identifier are told apart by text and source. Only rows alike in all
+    three are taken as often as the most taken of them.
     """
-    kept = without(docs, "__of", "__times")
+    kept = without(docs, "__of", "__times", "__row")
+    names = [F.col(f"`{c}`").cast("string") for c in (doc_id, source, text)]
+    # Null and empty differ, and neither moves a value into its neighbour.
+    keyed = kept.withColumn("__row", F.xxhash64(*names, *[c.isNull() for c in names]))
     times = (
-        mix(docs, doc_id, text, source)
+        mix(keyed, doc_id, text, source, ("__row",))
         .where("taken > 0")
-        .groupBy(F.col("doc_id").alias("__of"))
+        .groupBy(F.col("__row").alias("__of"))
         .agg(F.max(F.expr("cast(taken / size as int)")).alias("__times"))
     )
     return (
-        kept.join(times, F.col(f"`{doc_id}`").eqNullSafe(F.col("__of")))
+        keyed.join(times, F.col("__row") == F.col("__of"))
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
         .select(*[f"`{c}`" for c in kept.columns])
     )
