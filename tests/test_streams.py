@@ -171,6 +171,24 @@ def test_start_runs_messages_to_parquet_and_checks_its_arguments(spark, tmp_path
     assert "aggregated_at" in out.columns
 
 
+def test_start_keeps_a_table_and_alerts(spark, tmp_path):
+    def message(minute, label):
+        payload = {"machine_id": "M01", "operation": "OP00", "accel_x": [3], "accel_y": [0], "accel_z": [4], "label": label}
+        return (json.dumps({"timestamp": f"2020-01-01T10:{minute:02}:00", "payload": payload}),)
+
+    spark.createDataFrame([message(1, 0), message(3, 1), message(20, 0)], KAFKA_VALUE).write.parquet(f"{tmp_path}/in")
+    raw = readers.stream_files(spark, f"{tmp_path}/in", KAFKA_VALUE)
+    for sink in ("table", "alerts"):
+        with pytest.raises(ValueError, match="path"):
+            streams.start(raw, sink, f"{tmp_path}/c-{sink}")
+        streams.start(raw, sink, f"{tmp_path}/c-{sink}", f"{tmp_path}/{sink}", {"availableNow": True}).awaitTermination()
+    schema = streams.with_processing_time(streams.windowed(streams.message_features(raw))).schema
+    rows = streams.latest_windows(spark, f"{tmp_path}/table", schema).orderBy("window_start").collect()
+    assert [(r["n_records"], r["has_anomaly"], r["max_rms_z"]) for r in rows] == [(2, 1, 4.0), (1, 0, 4.0)]
+    (alert,) = spark.read.parquet(f"{tmp_path}/alerts").collect()
+    assert (alert["timestamp"].minute, alert["window_start"].minute, alert["peak_accel"]) == (3, 0, 4.0)
+
+
 def test_console_sink_runs(spark, tmp_path):
     drop_file(spark, f"{tmp_path}/in", rows(1))
     frame = streams.windowed(source(spark, f"{tmp_path}/in"))

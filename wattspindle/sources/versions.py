@@ -15,8 +15,9 @@ class Versions:
     """The folder ``_versions`` of a table: one JSON manifest a version, numbered from 1.
 
     A manifest is written under another name and then renamed; a name that is taken makes
-    the rename fail, so of two writers of one number one loses. This needs a store whose
-    rename keeps an existing target, as file systems under Hadoop do, or a single writer.
+    the rename fail, so of two writers of one number one loses. Distributed file systems
+    check and rename in one step; a local file system, or an object store without such a
+    step, looks for the name just before, and wants one writer at a time.
     Readers see a version whole or not at all.
     """
 

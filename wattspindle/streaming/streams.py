@@ -154,13 +154,22 @@ def start(
     path: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Messages to windows to ``"console"`` or ``"parquet"``; the caller waits or stops."""
-    if sink not in ("console", "parquet"):
+    """Messages to a sink; the caller waits or stops.
+
+    ``"console"`` shows changed windows, ``"parquet"`` keeps closed ones, ``"table"`` the
+    newest state of each in a versioned table, and ``"alerts"`` the alerts of records.
+    """
+    if sink not in ("console", "parquet", "table", "alerts"):
         raise ValueError(f"unknown sink: {sink}")
-    if sink == "parquet" and not path:
-        raise ValueError("the parquet sink needs a path")
-    windows = with_processing_time(windowed(message_features(raw)))
-    writer = to_console(windows, checkpoint) if sink == "console" else to_parquet(windows, path, checkpoint)
+    if sink != "console" and not path:
+        raise ValueError(f"the {sink} sink needs a path")
+    features = message_features(raw)
+    if sink == "alerts":
+        writer = to_parquet(record_alerts(features), path, checkpoint, by=())
+    else:
+        windows = with_processing_time(windowed(features))
+        to = {"console": lambda: to_console(windows, checkpoint), "table": lambda: to_upserts(windows, path, checkpoint)}
+        writer = to[sink]() if sink in to else to_parquet(windows, path, checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
