@@ -103,3 +103,20 @@ def test_too_little_to_learn(make, llm):
 def test_long_words_are_read_whole(machine):
     value = machine.values(["x" * 400 + "idiot" + "y" * 400, "x" * 805])
     assert value[0] > value[1]
+
+
+def test_values_do_not_depend_on_what_is_remembered(monkeypatch):
+    monkeypatch.setattr(toxicity, "REMEMBERED", 3)
+    asked = []
+
+    def values(names):
+        asked.extend(names)
+        return np.array([float(len(n)) for n in names])
+
+    memory = toxicity.Memory()
+    for names in ({"a", "bb", "ccc", "dddd"}, {"a", "eeeee"}, {"bb", "ff", "g", "hh"}, {"a", "x"}, {"dddd"}, set()):
+        found = memory.recalled(names, values)
+        assert {n: found[n] for n in names} == {n: float(len(n)) for n in names}
+        assert len(memory.young) <= 3 + 4 and len(memory.old) <= 3 + 4
+    # Words used again are not asked for again as long as a generation holds them.
+    assert asked.count("a") == asked.count("bb") == 1

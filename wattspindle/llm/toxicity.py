@@ -17,7 +17,7 @@ an insult can be told from it.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -43,8 +43,8 @@ INSULTS, CLEAN_WORDS, LANDMARKS = 1500, 10_000, 96
 LISTED, VARIED = 400, 60
 #: The kernel of two words is exp((k - 1) / WIDTH), k being the normalised triple kernel.
 WIDTH = 0.25
-#: Words whose value a Python worker remembers.
-REMEMBERED = 250_000
+#: Words of a generation whose value a Python worker remembers: some 60 MB.
+REMEMBERED = 300_000
 #: Evidence that a word marks toxic documents: twice the log likelihood ratio, and share.
 EVIDENCE, SHARE = 15.0, 0.7
 #: What mistakes cost in all on either side, and the documents a mined clean word counts for.
@@ -114,6 +114,27 @@ def _described(names: list[str]) -> tuple[np.ndarray, ...]:
     return row, triple, (weight / np.maximum(norm[row], 1e-12)).astype(np.float32), owner
 
 
+class Memory:
+    """Values of words in two generations; one used again moves to the young one."""
+
+    def __init__(self):
+        self.young: dict[str, float] = {}
+        self.old: dict[str, float] = {}
+
+    def recalled(self, names: set[str], values: Callable[[list[str]], np.ndarray]) -> dict[str, float]:
+        """A table with the values of ``names`` at least, the unknown ones worked out."""
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        unknown = []
+        for name in names.difference(self.young):
+            if name in self.old:
+                self.young[name] = self.old[name]
+            else:
+                unknown.append(name)
+        self.young.update(zip(unknown, values(unknown).tolist(), strict=True))
+        return self.young
+
+
 class Machine:
     """Landmark words with a coefficient each, an offset, and the logistic curve."""
 
@@ -152,13 +173,10 @@ class Machine:
     def score(self, value: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * value + self.level, -40, 40)))
 
-    def worst(self, texts: list[str | None], known: dict[str, float]) -> tuple[np.ndarray, list[str]]:
-        """The highest value among each text's words, and that word; ``known`` remembers values."""
+    def worst(self, texts: list[str | None], memory: Memory) -> tuple[np.ndarray, list[str]]:
+        """The highest value among each text's words, and that word."""
         owned = [words(t) for t in texts]
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list(set().union(*owned).difference(known))
-        known.update(zip(new, self.values(new).tolist(), strict=True))
+        known = memory.recalled(set().union(*owned), self.values)
         best, which = np.full(len(texts), self.offset), [""] * len(texts)
         for i, own in enumerate(owned):
             if own:
@@ -312,7 +330,7 @@ def learn(
 
     def judged(machine: Machine) -> list:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known: dict[str, float] = {}
+            known = Memory()
             for batch in slices(batches, "text", 2 * MB):
                 value, word = machine.worst(batch.column(1).to_pylist(), known)
                 yield pa.RecordBatch.from_arrays(
@@ -345,9 +363,9 @@ def _logit(share: float) -> float:
 
 
 @lru_cache(maxsize=1)
-def _remembered(fingerprint: str) -> dict[str, float]:
+def _remembered(fingerprint: str) -> Memory:
     """A Python worker's values of words, for one machine."""
-    return {}
+    return Memory()
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
