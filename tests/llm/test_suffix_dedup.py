@@ -101,3 +101,15 @@ def test_expansion_gives_the_classes_of_equal_starts(seed, length):
             groups.setdefault(raw[place : place + length], set()).add(k)
     assert all(len(k) == 1 for k in groups.values())
     assert len({next(iter(k)) for k in groups.values()}) == len(groups)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_suffixes_are_in_order(seed):
+    rng = np.random.default_rng(seed)
+    parts = [rng.integers(97, 97 + 1 + seed, rng.integers(1, 90)).astype(np.uint8).tobytes() for _ in range(60)]
+    raw = bytes([suffix_dedup.SEPARATOR]).join([*parts, *parts[:20], b"a" * 300]) + bytes([suffix_dedup.SEPARATOR])
+    for depth in (1, 8, 9, 51):
+        order = suffix_dedup.suffix_order(np.frombuffer(raw, np.uint8), depth).tolist()
+        assert sorted(order) == list(range(len(raw)))
+        found = [raw[i : i + depth].ljust(depth, b"\0") for i in order]
+        assert found == sorted(found)

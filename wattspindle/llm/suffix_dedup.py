@@ -49,6 +49,8 @@ GRAM = 16
 BLOCK, BLOCK_BITS = MB, 22
 #: Blocks whose strings are shipped together.
 TOGETHER = 16
+#: Shares of a bucket that are settled one after the other.
+SHARES = 8
 #: A bucket's share of a minimiser's strings beyond which its windows travel alone.
 CROWDED = 2 * MB
 #: Parts a separator cannot be in: this byte is in no UTF-8 text.
@@ -181,20 +183,32 @@ def _strings(flagged: DataFrame, text: str, buckets: int, crowded: np.ndarray, l
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes sorted by at least their first ``depth`` bytes, by doubling."""
+    """Suffixes sorted by at least their first ``depth`` bytes, by doubling.
+
+    A round sorts only those that are still alike in the bytes compared so far; a rank is
+    the first place of a suffix's group.
+    """
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)]).tobytes()
     key = np.ascontiguousarray(np.ndarray((n,), ">u8", padded, 0, (1,))).astype(np.uint64)
-    reach = 8
+    order = np.argsort(key)
+    alike, key, place, reach = order, key[order], np.arange(n), 8
+    rank = np.empty(n, np.uint64)
     while True:
-        order = np.argsort(key)
-        if reach >= depth:
+        new = np.r_[True, key[1:] != key[:-1]][: len(key)]
+        rank[alike] = np.maximum.accumulate(np.where(new, place, 0)).astype(np.uint64)
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        alike, place = alike[tied], place[tied]
+        if reach >= depth or not len(alike):
             return order
-        ordered = key[order]
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(np.r_[True, ordered[1:] != ordered[:-1]]).astype(np.uint64)
-        key = rank << np.uint64(32)
-        key[: max(n - reach, 0)] |= rank[reach:]
+        behind = alike + reach
+        key = rank[alike] << np.uint64(32)
+        inside = behind < n
+        key[inside] |= rank[behind[inside]] + np.uint64(1)
+        turn = np.argsort(key)
+        alike, key = alike[turn], key[turn]
+        order[place] = alike
         reach *= 2
 
 
@@ -241,14 +255,30 @@ def repeat_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     return order, np.cumsum(parted[:n]) - 1
 
 
-def _settle(blobs: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Spans of one bucket, as arrays of id, tag, begin and end."""
+def _settle(blobs: list[bytes], length: int, buckets: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Spans of one bucket, as arrays of id, tag, begin and end; settled a share at a time."""
     parts = [unpack(blob, KINDS) for blob in blobs]
-    seed, ids, tags, starts, sizes = (
-        np.concatenate(x) for x in zip(*[p[0] for p in parts], strict=True)
-    )
+    columns = [np.concatenate(x) for x in zip(*[p[0] for p in parts], strict=True)]
     data = b"".join(p[1] for p in parts)
-    ends = np.cumsum(sizes.astype(np.int64))
+    ends = np.cumsum(columns[4].astype(np.int64))
+    share = columns[0] // np.uint64(buckets) % np.uint64(SHARES)
+    for number in range(SHARES):
+        own = share == np.uint64(number)
+        if own.any():
+            yield from _settled(*[c[own] for c in columns], ends[own], data, length)
+
+
+def _settled(
+    seed: np.ndarray,
+    ids: np.ndarray,
+    tags: np.ndarray,
+    starts: np.ndarray,
+    sizes: np.ndarray,
+    ends: np.ndarray,
+    data: bytes,
+    length: int,
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """Spans of strings whose minimisers are nowhere else; a string ends at ``ends`` in ``data``."""
     _, at, times = np.unique(seed, return_inverse=True, return_counts=True)
     rows = np.flatnonzero(times[at] > 1)
     places = zip(ids[rows].tolist(), (ends - sizes)[rows].tolist(), ends[rows].tolist(), strict=True)
@@ -323,24 +353,20 @@ def repeated_spans(rows: DataFrame, text: str, length: int = LENGTH) -> DataFram
     # The same rows, dealt alike, meet their spans later on: one shuffle of the texts.
     flagged = rows.join(recurring(slim, blocks_of, few, within=False), ["__id", "__tag"])
     n = partitions(spark, amount, 24 * MB)
-    shipped = _strings(flagged, text, 8 * n, crowded, length)
-    dealt = shipped.repartition(n, "bucket").sortWithinPartitions("bucket")
+    # A bucket is a partition: a task sends one packet to each, not many small ones.
+    shipped = _strings(flagged, text, n, crowded, length)
+    dealt = shipped.repartitionById(n, F.col("bucket").cast("int"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, blobs = None, []
+        blobs = []
         for batch in batches:
-            for at, strings, spans in zip(*[batch.column(i) for i in range(3)], strict=True):
+            for strings, spans in zip(batch.column(1), batch.column(2), strict=True):
                 if spans.is_valid:
                     yield span_rows(*unpack(spans.as_py(), ["<i8"] * 4)[0])
-                    continue
-                if at.as_py() != bucket and blobs:
-                    for arrays in _settle(blobs, length):
-                        yield span_rows(*arrays)
-                    blobs = []
-                bucket = at.as_py()
-                blobs.append(strings.as_py())
+                else:
+                    blobs.append(strings.as_py())
         if blobs:
-            for arrays in _settle(blobs, length):
+            for arrays in _settle(blobs, length, n):
                 yield span_rows(*arrays)
 
     return dealt.mapInArrow(run, SPANS)
