@@ -89,8 +89,8 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the session's checkpoint folder.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's checkpoint folder.
 
     A local session without one uses its warehouse folder; a cluster session must
     name a folder that every executor can reach.
@@ -101,7 +101,12 @@ def scratch_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
         root = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/wattspindle-{context.applicationId}"
+    return root.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Where intermediate tables of this application lie."""
+    return f"{shared_root(spark)}/wattspindle-{spark.sparkContext.applicationId}"
 
 
 def new_scratch_path(spark: SparkSession, name: str) -> str:
