@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattspindle.session import shared_root
+
 #: A word is a maximal run of anything but ASCII white space; ``bytes.split()`` cuts alike.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Null identifiers order before all others.
@@ -28,9 +30,8 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    """The folder of ``spark.checkpoint.dir``; in a local session without one, the warehouse."""
+    return shared_root(spark)
 
 
 class Table:
