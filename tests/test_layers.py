@@ -1,9 +1,10 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from wattspindle.plans.catalog import LAYERS, QUERIES
-from wattspindle.session import layer
+from wattspindle.session import layer, shared_root
 
 
 def test_a_layer_is_built_once_for_each_state_of_its_inputs(spark, tmp_path):
@@ -39,3 +40,29 @@ def test_every_layer_is_read_from_files(spark, sf_dir):
     for name, build in LAYERS.items():
         plan = build(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "FileScan parquet" in plan and "Exchange" not in plan, name
+
+
+def test_a_cluster_session_names_its_shared_folder():
+    class Context:
+        applicationId = "app"
+
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext, self.values = Context(master), conf
+            self.conf = self
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    warehouse = {"spark.sql.warehouse.dir": "file:/here/"}
+    assert shared_root(Session("local[4]", **warehouse)) == "file:/here"
+    named = {"spark.checkpoint.dir": "hdfs://c/shared/"}
+    assert shared_root(Session("yarn", **named, **warehouse)) == "hdfs://c/shared"
+    with pytest.raises(ValueError, match="shared"):
+        shared_root(Session("yarn", **warehouse))
