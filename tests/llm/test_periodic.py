@@ -137,3 +137,11 @@ def test_equal_exponents_go_to_the_first_then_the_shortest(make):
     doc_id = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10)
     row = periodic.digests(make((doc_id, text))).first()
     assert (row.n_runs, row.start, row.length, row.period, row.exponent_milli) == (2, 0, 6, 1, 6000)
+
+
+def test_texts_without_words_are_not_planted(make):
+    chosen = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0]
+    texts = [None, "", " \n\t ", "one", "one two", "a b c d e f g h i j k l m n o p q r s t"]
+    rows = [(i, texts[n % len(texts)]) for n, i in enumerate(chosen)] + [(None, "x " * 9), (-7, "y z " * 9)]
+    assert len(rows) > 2 * len(texts)
+    assert rows_of(periodic.digests(make(*rows))) == sorted([row_by_hand(*r) for r in rows], key=str)
