@@ -28,8 +28,8 @@ CAPACITY = 2048
 #: Fillings of one sequence that are weighed, the steps in which they are looked for, and
 #: branches that are followed in all: the search runs on the driver, over counts.
 FILLINGS, STEPS, BRANCHES = 12, 400, 1000
-#: Words of a generation whose tokens a Python worker remembers: some 100 MB.
-REMEMBERED = 500_000
+#: Words of a generation whose tokens a Python worker remembers: some 80 MB.
+REMEMBERED = 400_000
 
 
 def tokenizer_path() -> str:
