@@ -92,6 +92,50 @@ def test_cover_tree_covers():
             assert apart <= r + 1e-6 and r <= radius + 1e-9
 
 
+def block_of(rows, first=0):
+    return embed_dedup._block(embed_dedup._blob(np.arange(first, first + len(rows)), np.ones(len(rows), np.int64), rows))
+
+
+def spread(seed, n=1500, width=64):
+    """Scattered directions, a few of them at most a unit apart, and some near copies."""
+    rng = np.random.default_rng(seed)
+    rows = rng.normal(size=(n, width))
+    rows[1:60:2] = rows[0:60:2] + 0.8 * rng.normal(size=(30, width))
+    rows[100:130] = rows[99] + 0.05 * rng.normal(size=(30, width))
+    return rows
+
+
+def test_wide_nodes_do_not_meet_every_other(monkeypatch):
+    """Two directions a unit apart are one wide node, near to half of all; they are met one by one instead."""
+    met = []
+    go = embed_dedup.Pairs._go
+    monkeypatch.setattr(embed_dedup.Pairs, "_go", lambda self, depth, i, j: met.append(len(i)) or go(self, depth, i, j))
+    block = block_of(spread(5))
+    sizes = [len(level[0]) for level in block["levels"]]
+    assert sizes[0] < sizes[-2] - 20
+    embed_dedup.Pairs(block, None).result()
+    embed_dedup.Pairs(block, block_of(spread(6), 2000)).result()
+    assert 0 < sum(met) < 2 * sizes[0]
+
+
+@pytest.mark.parametrize(("tile", "step"), [(512, 2_000_000), (7, 50)])
+def test_blocks_match_brute_force(monkeypatch, tile, step):
+    monkeypatch.setattr(embed_dedup, "TILE", tile, raising=False)
+    monkeypatch.setattr(embed_dedup, "SLICE", step, raising=False)
+    shared = spread(8, 400)
+    for rows, others in ((shared, None), (shared, np.concatenate([spread(9, 300), 2 * shared[90:140]]))):
+        unit, mates = (x / np.linalg.norm(x, axis=1)[:, None] for x in (rows, rows if others is None else others))
+        near = unit @ mates.T >= embed_dedup.COSINE
+        if others is None:
+            wanted = dict(enumerate((near.sum(axis=1) - 1).tolist()))
+        else:
+            wanted = dict(enumerate(near.sum(axis=1).tolist())) | dict(enumerate(near.sum(axis=0).tolist(), 1000))
+        two = None if others is None else block_of(others, 1000)
+        ids, totals, one, tied = embed_dedup.Pairs(block_of(rows), two).result()
+        assert dict(zip(ids.tolist(), totals.tolist(), strict=True)) == {k: n for k, n in wanted.items() if n}
+        assert max(wanted.values()) >= 30 and set(one.tolist()) | set(tied.tolist()) == {k for k, n in wanted.items() if n}
+
+
 def test_links_of_few_or_no_rows(llm):
     assert links(embed_dedup.linked(table(llm, []))) == []
     assert links(embed_dedup.linked(table(llm, ODD[:2]))) == [(9001, 0, 9001, True), (9003, 0, 9003, True)]

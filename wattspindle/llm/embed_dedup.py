@@ -10,7 +10,9 @@ A tree on a bounded sample gives the upper levels: every vector goes to one of i
 leaves, leaves make up blocks of bounded size, large leaves several, and pairs of blocks
 of which no two leaves can hold a pair are pruned. Each block has its own tree for the
 lower levels, and each remaining pair of blocks is one small task, which returns a count
-per vector and links that connect what is linked, never all pairs.
+per vector and links that connect what is linked, never all pairs. It screens the nodes of
+a first level by products at single precision, with room for their error, and goes on from
+what is left at double precision.
 
 Equal vectors are one entry with their number. In data without structure, where no
 bounds prune, the number of tasks grows with the square of the number of blocks, as any
@@ -35,6 +37,8 @@ SAMPLE, SAMPLE_BYTES = 1000, 16 << 20
 #: Entries of a block, at most, and bytes they may take.
 BLOCK, BLOCK_BYTES = 4096, 8 << 20
 RADII = (1.0, 0.5, 0.25, 0.125)
+#: Nodes on a side of a tile, and pairs or numbers that a step holds, about.
+TILE, SLICE = 512, 2_000_000
 #: Bounds give way by this much; single vectors are compared exactly.
 SLACK = 1e-6
 
@@ -43,6 +47,17 @@ def _apart(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (one @ two.T), 0))
 
 
+def _between(one: np.ndarray, i: np.ndarray, two: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Distances of the pairs i, j, a slice at a time."""
+    apart = np.empty(len(i))
+    step = max(1, SLICE // one.shape[1])
+    for begin in range(0, len(i), step):
+        part = slice(begin, begin + step)
+        dot = np.einsum("ij,ij->i", one[i[part]], two[j[part]])
+        apart[part] = np.sqrt(np.maximum(2 - 2 * dot, 0))
+    return apart
+
+
 def _cover(unit: np.ndarray, members: np.ndarray, radius: float) -> list[tuple[np.ndarray, float]]:
     """Members in groups within ``radius`` of each group's first, and the radius needed."""
     groups, rest = [], members
@@ -110,22 +125,45 @@ class Pairs:
         self._start()
 
     def _start(self) -> None:
-        a, b = self.one["levels"][0], self.two["levels"][0]
-        left, right = self.one["unit"][a[0]], self.two["unit"][b[0]]
-        for begin in range(0, len(left), 512):
-            apart = _apart(left[begin : begin + 512], right)
-            far = self.limit + SLACK + a[2][begin : begin + 512, None] + b[2][None, :]
-            i, j = np.nonzero(apart <= far)
-            i += begin
-            keep = i <= j if self.same else slice(None)
-            self._go(0, i[keep], j[keep])
+        """Screen the nodes of a level pair by pair, in tiles and at single precision."""
+        sizes = [len(x[0]) * len(y[0]) for x, y in zip(self.one["levels"], self.two["levels"], strict=True)]
+        # Levels that hardly split their nodes are passed over: their larger radii prune less.
+        depth = max(d for d in range(len(RADII)) if sizes[d] <= 2 * sizes[0])
+        a, b = self.one["levels"][depth], self.two["levels"][depth]
+        # In the order of their radii, so that a tile's largest ones are close to all of them.
+        rows, columns = np.argsort(a[2], kind="stable"), np.argsort(b[2], kind="stable")
+        left = self.one["unit"][a[0][rows]].astype(np.float32)
+        right = self.two["unit"][b[0][columns]].astype(np.float32)
+        rough = (left.shape[1] + 4) * float(np.finfo(np.float32).eps)
+        found, held = [], 0
+        for begin in range(0, len(rows), TILE):
+            i = rows[begin : begin + TILE]
+            for low in range(begin if self.same else 0, len(columns), TILE):
+                j = columns[low : low + TILE]
+                dot = left[begin : begin + TILE] @ right[low : low + TILE].T
+                far = self.limit + SLACK + a[2][i[-1]] + b[2][j[-1]]
+                at = np.flatnonzero(dot >= 1 - far * far / 2 - rough)
+                if not len(at):
+                    continue
+                x, y = i[at // len(j)], j[at % len(j)]
+                far = self.limit + SLACK + a[2][x] + b[2][y]
+                keep = dot.ravel()[at] >= 1 - far * far / 2 - rough
+                if self.same:
+                    keep &= at // len(j) + begin <= at % len(j) + low
+                    x, y = np.minimum(x, y), np.maximum(x, y)
+                found.append((x[keep], y[keep]))
+                held += len(found[-1][0])
+                if held >= SLICE:
+                    self._go(depth, *np.concatenate(found, axis=1))
+                    found, held = [], 0
+        if found:
+            self._go(depth, *np.concatenate(found, axis=1))
 
     def _go(self, depth: int, i: np.ndarray, j: np.ndarray) -> None:
         last = len(self.one["levels"]) - 1
         while len(i):
             a, b = self.one["levels"][depth], self.two["levels"][depth]
-            x, y = self.one["unit"][a[0][i]], self.two["unit"][b[0][j]]
-            apart = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", x, y), 0))
+            apart = _between(self.one["unit"], a[0][i], self.two["unit"], b[0][j])
             reach = a[2][i] + b[2][j]
             if depth == last:
                 self._single(i, j, apart)
@@ -141,7 +179,7 @@ class Pairs:
             # All children of the one with all children of the other, in slices.
             depth += 1
             total = n * m
-            cuts = np.searchsorted(np.cumsum(total), np.arange(2_000_000, total.sum() + 2_000_000, 2_000_000))
+            cuts = np.searchsorted(np.cumsum(total), np.arange(SLICE, total.sum() + SLICE, SLICE))
             bounds = np.unique(np.r_[0, np.minimum(cuts + 1, len(i)), len(i)])
             parts = []
             for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -164,12 +202,15 @@ class Pairs:
         if self.same:
             keep &= i != j
         i, j = i[keep], j[keep]
-        x, y = self.one["raw"][i].astype(float), self.two["raw"][j].astype(float)
-        dot = np.einsum("ij,ij->i", x, y)
-        norms = np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))
-        linked = dot / norms >= COSINE
-        self._count(i[linked], i[linked] + 1, j[linked], j[linked] + 1)
-        self.edges.append(np.stack([i[linked], j[linked] + self.shift]))
+        step = max(1, SLICE // self.one["raw"].shape[1])
+        for begin in range(0, len(i), step):
+            a, b = i[begin : begin + step], j[begin : begin + step]
+            x, y = self.one["raw"][a].astype(float), self.two["raw"][b].astype(float)
+            dot = np.einsum("ij,ij->i", x, y)
+            norms = np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))
+            linked = dot / norms >= COSINE
+            self._count(a[linked], a[linked] + 1, b[linked], b[linked] + 1)
+            self.edges.append(np.stack([a[linked], b[linked] + self.shift]))
 
     def _bulk(self, a: tuple, b: tuple, i: np.ndarray, j: np.ndarray) -> None:
         if not len(i):
@@ -207,8 +248,9 @@ class Pairs:
         ids, totals = np.concatenate(ids), np.concatenate(totals).astype(np.int64)
         for side, shift in ((0, 0), (1, self.shift)):
             for begin, end in self.whole[side]:
-                at = np.arange(begin + 1, end) + shift
-                self.edges.append(np.stack([np.full(len(at), begin + shift), at]))
+                if end - begin > 1:
+                    at = np.arange(begin + 1, end) + shift
+                    self.edges.append(np.stack([np.full(len(at), begin + shift), at]))
         x, y = np.concatenate(self.edges, axis=1) if self.edges else np.zeros((2, 0), np.int64)
         label = np.arange(len(ids))
         while True:
