@@ -43,6 +43,22 @@ def test_layer_validation_and_presence(spark, tmp_path):
     assert readers.list_files(spark, paths, limit=1).count() == 1
 
 
+def test_files_without_rows_are_listed(spark, tmp_path):
+    one, parts, none = (f"{tmp_path}/{name}" for name in ("one", "parts", "none"))
+    spark.range(4).coalesce(1).write.parquet(one)
+    spark.range(0).coalesce(1).write.mode("append").parquet(one)
+    spark.range(5).selectExpr("id", "id % 2 AS path", "id AS `a b`").coalesce(1).write.partitionBy("path", "a b").parquet(parts)
+    spark.range(0).write.parquet(none)
+    files = readers.list_files(spark, {"parts": parts, "one": one, "none": none, "absent": f"{tmp_path}/absent"})
+    rows = sorted((r["dataset"], r["n_rows"]) for r in files.collect())
+    assert rows == [("none", 0), ("one", 0), ("one", 4)] + [("parts", 1)] * 5
+    assert files.select("path").distinct().count() == 8 and files.where("length > 0").count() == 8
+    capped = readers.list_files(spark, {"parts": parts, "one": one, "none": none}, limit=3).collect()
+    assert sorted(r["dataset"] for r in capped) == ["none", "one", "one"]
+    expected = spark.createDataFrame([("none",)], "dataset string")
+    assert quality.presence_report(files, expected).first()["present"]
+
+
 def test_run_summary(spark):
     rows = [(dt.datetime(2020, 1, d), f"M0{d % 2}", f"OP0{d % 3}") for d in range(1, 10)]
     df = spark.createDataFrame(rows, "timestamp_15min timestamp_ntz, machine_id string, operation string")

@@ -33,19 +33,26 @@ def read_signals(spark: SparkSession, path: str) -> DataFrame:
 def list_files(spark: SparkSession, tables: dict[str, str], limit: int | None = None) -> DataFrame:
     """Files of named Parquet tables: dataset, path, length and rows.
 
-    Every table is read, one row per file comes out, and a table is a file or a folder
-    of files. One that cannot be read has no row. ``limit`` caps the listing, in the
-    order of dataset and path so that the cap is repeatable.
+    Every table is read, one row per file comes out, with or without rows in it, and a
+    table is a file or a folder of files. One that cannot be read has no row. ``limit``
+    caps the listing, in the order of dataset and path so that the cap is repeatable.
     """
-    listing = spark.createDataFrame([], "dataset string, path string, length long, n_rows long")
-    for name, path in tables.items():
+    path, length = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")
+    files = spark.createDataFrame([], "dataset string, path string, length long")
+    counts = spark.createDataFrame([], "dataset string, path string, n_rows long")
+    for name, place in tables.items():
         try:
-            rows = spark.read.parquet(path)
+            rows = spark.read.parquet(place)
         except AnalysisException:
             continue
-        file = rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"))
-        counted = file.groupBy("path", "length").agg(F.count(F.lit(1)).alias("n_rows"))
-        listing = listing.unionByName(counted.withColumn("dataset", F.lit(name)))
+        # The files by themselves, contents unread: no row tells of a file without any.
+        present = spark.read.format("binaryFile").load(place).select(F.lit(name).alias("dataset"), path, length)
+        files = files.unionByName(present.where(r"path not rlike '/_(common_)?metadata$'"))
+        counted = rows.select(F.lit(name).alias("dataset"), path).groupBy("dataset", "path")
+        counts = counts.unionByName(counted.agg(F.count(F.lit(1)).alias("n_rows")))
+    listing = files.join(counts, ["dataset", "path"], "left").select(
+        "path", "length", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "dataset"
+    )
     return listing if limit is None else listing.orderBy("dataset", "path").limit(limit)
 
 
