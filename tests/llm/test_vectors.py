@@ -136,6 +136,26 @@ def test_blocks_match_brute_force(monkeypatch, tile, step):
         assert max(wanted.values()) >= 30 and set(one.tolist()) | set(tied.tolist()) == {k for k, n in wanted.items() if n}
 
 
+def test_blocks_travel_in_bundles():
+    every = [(a, b) for a in range(50) for b in range(a, 50) if (a + b) % 7]
+    sides = embed_dedup.bundled(every, 50)
+    assert sorted((block, mate) for _, block, mates in sides for mate in mates) == every
+    held = {}
+    for task, block, _ in sides:
+        held.setdefault(task, set()).add(block)
+    assert all(mate in held[task] for task, _, mates in sides for mate in mates)
+    assert len(sides) < 0.35 * 2 * len(every) and max(map(len, held.values())) <= 2 * embed_dedup.BUNDLE
+    assert embed_dedup.bundled([(0, 0), (0, 1)], 2) == [(0, 0, [0]), (1, 0, [1]), (1, 1, [])]
+
+
+def test_bundles_match_brute_force(llm, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "BLOCK", 16)
+    monkeypatch.setattr(embed_dedup, "SAMPLE", 30)
+    monkeypatch.setattr(embed_dedup, "BUNDLES", 3)
+    rows = clustered(3) + ODD
+    assert links(embed_dedup.linked(table(llm, rows))) == brute_links(rows)
+
+
 def test_links_of_few_or_no_rows(llm):
     assert links(embed_dedup.linked(table(llm, []))) == []
     assert links(embed_dedup.linked(table(llm, ODD[:2]))) == [(9001, 0, 9001, True), (9003, 0, 9003, True)]

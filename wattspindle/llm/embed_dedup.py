@@ -9,10 +9,10 @@ counted at once; others are opened to the next level, down to single vectors.
 A tree on a bounded sample gives the upper levels: every vector goes to one of its
 leaves, leaves make up blocks of bounded size, large leaves several, and pairs of blocks
 of which no two leaves can hold a pair are pruned. Each block has its own tree for the
-lower levels, and each remaining pair of blocks is one small task, which returns a count
-per vector and links that connect what is linked, never all pairs. It screens the nodes of
-a first level by products at single precision, with room for their error, and goes on from
-what is left at double precision.
+lower levels, and the remaining pairs of blocks are small tasks, a pair of small bundles of
+blocks each, which return a count per vector and links that connect what is linked, never
+all pairs. They screen the nodes of a first level by products at single precision, with room
+for their error, and go on from what is left at double precision.
 
 Equal vectors are one entry with their number. In data without structure, where no
 bounds prune, the number of tasks grows with the square of the number of blocks, as any
@@ -36,6 +36,8 @@ COSINE = 0.9
 SAMPLE, SAMPLE_BYTES = 1000, 16 << 20
 #: Entries of a block, at most, and bytes they may take.
 BLOCK, BLOCK_BYTES = 4096, 8 << 20
+#: Blocks that follow each other and travel together, at most, and bundles to have before that.
+BUNDLE, BUNDLES = 4, 12
 RADII = (1.0, 0.5, 0.25, 0.125)
 #: Nodes on a side of a tile, and pairs or numbers that a step holds, about.
 TILE, SLICE = 512, 2_000_000
@@ -284,6 +286,21 @@ def _block(blob: bytes) -> dict:
     return block
 
 
+def bundled(pairs: list[tuple[int, int]], n_blocks: int) -> list[tuple[int, int, list[int]]]:
+    """(task, block, blocks it meets as the first of a pair): what goes to each task.
+
+    Blocks that follow each other are a bundle, and a task has the pairs of two bundles, so
+    that a block travels once for every bundle it meets and not for every block.
+    """
+    size = min(BUNDLE, max(1, n_blocks // BUNDLES))
+    tasks: dict[tuple[int, int], dict[int, list[int]]] = {}
+    for a, b in pairs:
+        task = tasks.setdefault((a // size, b // size), {})
+        task.setdefault(a, []).append(b)
+        task.setdefault(b, [])
+    return [(number, block, mates) for number, task in enumerate(tasks.values()) for block, mates in task.items()]
+
+
 def linked(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for each row of ``table``.
 
@@ -356,12 +373,17 @@ def linked(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding
 
     blocks = entries.mapInArrow(dealt, "block long, rep long, n long, v array<double>").groupBy("block")
     blocks = Table(blocks.applyInArrow(packed, "block long, blob binary"), "blocks").df
-    sides = [(p, x) for p, (a, b) in enumerate(pairs) for x in {a, b}]
-    wanted = spark.createDataFrame(sides or [(0, -1)], "pair long, block long")
+    wanted = spark.createDataFrame(bundled(pairs, n_blocks) or [(0, -1, [])], "task long, block long, mates array<long>")
 
     def compared(group: pa.Table) -> pa.Table:
-        blobs = [_block(x.as_py()) for x in group["blob"]]
-        ids, totals, one, two = Pairs(blobs[0], blobs[1] if len(blobs) > 1 else None).result()
+        numbers = group["block"].to_pylist()
+        held = {number: _block(x.as_py()) for number, x in zip(numbers, group["blob"], strict=True)}
+        parts = [
+            Pairs(held[a], None if a == b else held[b]).result()
+            for a, mates in zip(numbers, group["mates"].to_pylist(), strict=True)
+            for b in mates
+        ]
+        ids, totals, one, two = (np.concatenate(x) for x in zip(*parts, strict=True))
         n, m = len(ids), len(one)
         return pa.table(
             {
@@ -371,7 +393,7 @@ def linked(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding
             }
         )
 
-    found = blocks.join(wanted, "block").groupBy("pair").applyInArrow(compared, "a long, b long, n long")
+    found = blocks.join(wanted, "block").groupBy("task").applyInArrow(compared, "a long, b long, n long")
     found = Table(found, "found").df
     counts = found.where("n is not null").groupBy("a").agg(F.sum("n").alias("links"))
     labels = components(found.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
