@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattspindle.llm import queries, suffix_dedup
+from wattspindle.llm.kmers import mix, pack, span_rows
 
 
 def brute(rows, length=50):
@@ -113,3 +114,80 @@ def test_suffixes_are_in_order(seed):
         assert sorted(order) == list(range(len(raw)))
         found = [raw[i : i + depth].ljust(depth, b"\0") for i in order]
         assert found == sorted(found)
+
+
+def common_gram(rng):
+    """Sixteen bytes that are the minimiser of most windows that hold them."""
+    grams = ["".join(rng.choices("abcdefgh", k=16)) for _ in range(3000)]
+    eight = np.array([np.frombuffer(g.encode(), "<u8") for g in grams])
+    return grams[int(np.argmin(mix([eight[:, 0], eight[:, 1]])))]
+
+
+def strewn(rng, n):
+    return "".join(rng.choices("abcdefghijklmnop", k=n))
+
+
+def test_grams_that_recur_by_chance_ship_no_text(make, monkeypatch):
+    """Texts with sixteen bytes in common, and no window, are left out before strings travel."""
+    rng = random.Random(11)
+    gram = common_gram(rng)
+    rows = [(i, strewn(rng, 80) + gram + strewn(rng, 80)) for i in range(30)]
+    shared = strewn(rng, 20) + gram + strewn(rng, 20)
+    rows += [(i, strewn(rng, 60) + shared + strewn(rng, 60)) for i in range(30, 33)]
+    seen, strings = [], suffix_dedup._strings
+
+    def spy(flagged, *others):
+        seen.extend(r.doc_id for r in flagged.select("doc_id").collect())
+        return strings(flagged, *others)
+
+    monkeypatch.setattr(suffix_dedup, "_strings", spy)
+    found = agrees(suffix_dedup.remove_repeats(make(*rows), digest=True), rows)
+    assert [r[0] for r in found if r[2]] == [31, 32]
+    assert sorted(seen) == [30, 31, 32]
+
+
+def settled(rows, length=50):
+    """The spans of strings of all rows, in one bucket."""
+    found = suffix_dedup._Block([(doc, 0, 0, text.encode(), None) for doc, text in rows], length)
+    sizes = found.count + length - 1
+    starts = found.first + found.shift[found.owner]
+    columns = [found.ids[found.owner], found.tags[found.owner], starts, sizes, found.place - found.first]
+    data = b"".join(found.data[a : a + n] for a, n in zip(found.first.tolist(), sizes.tolist(), strict=True))
+    kinds = zip(columns, suffix_dedup.KINDS, strict=True)
+    blob = pack([c.astype(kind) for c, kind in kinds], data)
+    gone = {doc: bytearray(len(text)) for doc, text in rows}
+    for arrays in suffix_dedup._settle([blob], length, 1):
+        batch = span_rows(*arrays)
+        for doc, spans in zip(batch.column("__id").to_pylist(), batch.column("__spans").to_pylist(), strict=True):
+            for begin, end in np.frombuffer(spans, "<u4").reshape(-1, 2).tolist():
+                gone[doc][begin:end] = b"\1" * (end - begin)
+    return {doc: sum(g) for doc, g in gone.items()}
+
+
+def test_only_strings_with_half_a_window_in_common_are_transformed(monkeypatch):
+    rng = random.Random(12)
+    gram = common_gram(rng)
+    chance = [(i, strewn(rng, 80) + gram + strewn(rng, 80)) for i in range(40)]
+    shared = strewn(rng, 30) + gram + strewn(rng, 4)
+    related = [(i, strewn(rng, 60) + shared + strewn(rng, 60)) for i in range(40, 43)]
+    sizes, classes = [], suffix_dedup.repeat_classes
+
+    def spy(text, length):
+        sizes.append(len(text))
+        return classes(text, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeat_classes", spy)
+    assert not any(settled(chance).values()) and not sizes
+    wanted = {doc: removed for doc, _, removed, _, _ in brute([*chance, *related])}
+    assert settled([*chance, *related]) == wanted and wanted[41] >= 50
+    assert 0 < sum(sizes) < 3 * 3 * 100
+
+
+@pytest.mark.parametrize("length", [16, 17, 33, 50, 51, 120])
+def test_windows_alike_have_a_key_in_common(length):
+    """However long a window is, and whatever stands around it."""
+    rng = random.Random(length)
+    shared = strewn(rng, length)
+    rows = [(i, strewn(rng, rng.randint(0, 60)) + shared + strewn(rng, rng.randint(0, 60))) for i in range(40)]
+    rows += [(i, text[: len(text) // 2] + "#" + text[len(text) // 2 :]) for i, (_, text) in enumerate(rows, 40)]
+    assert settled(rows, length) == {doc: removed for doc, _, removed, _, _ in brute(rows, length)}

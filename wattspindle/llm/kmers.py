@@ -45,9 +45,14 @@ def least_positions(hashes: np.ndarray, length: int, bits: int) -> np.ndarray:
 
 
 def pack(arrays: list[np.ndarray], data: bytes = b"", level: int = 1) -> bytes:
-    """Arrays of one length, and bytes, in one compressed string."""
+    """Arrays of one length, and bytes, in one compressed string.
+
+    The first bytes of an array's numbers stand together, then the second ones: most upper
+    bytes are alike and take no room.
+    """
     head = struct.pack("<I", len(arrays[0]))
-    return zstandard.compress(b"".join([head, *[a.tobytes() for a in arrays], data]), level)
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
+    return zstandard.compress(b"".join([head, *planes, data]), level)
 
 
 def unpack(blob: bytes, kinds: list[str]) -> tuple[list[np.ndarray], bytes]:
@@ -55,8 +60,10 @@ def unpack(blob: bytes, kinds: list[str]) -> tuple[list[np.ndarray], bytes]:
     (n,) = struct.unpack_from("<I", raw)
     arrays, at = [], 4
     for kind in kinds:
-        arrays.append(np.frombuffer(raw, kind, n, at))
-        at += n * np.dtype(kind).itemsize
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
+        arrays.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * size
     return arrays, raw[at:]
 
 
@@ -107,14 +114,14 @@ def named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def runs(grams: np.ndarray, length: int, inside: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
-    """Super-k-mers: (first window, windows, minimiser) of windows that share a minimiser.
+    """Super-k-mers: (first window, windows, minimiser's place) of windows that share a minimiser.
 
     A window starts at each place in ``inside`` and holds ``length`` grams.
     """
     least = least_positions(grams, length, bits)[inside]
     new = np.r_[True, (least[1:] != least[:-1]) | (inside[1:] != inside[:-1] + 1)][: len(inside)]
     heads = np.flatnonzero(new)
-    return inside[heads], np.diff(np.r_[heads, len(inside)]), grams[least[heads]]
+    return inside[heads], np.diff(np.r_[heads, len(inside)]), least[heads]
 
 
 def binary_groups(values: np.ndarray, heads: np.ndarray) -> pa.Array:
@@ -130,20 +137,28 @@ TOGETHER = 16
 
 
 def pairs(found) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (minimiser, document, times) of a block, by minimiser."""
-    order = np.lexsort((found.owner, found.seed))
+    """Distinct (minimiser, document, times) of a block, by minimiser; its documents ascend."""
+    order = np.argsort(found.seed, kind="stable")
     seed, owner = found.seed[order], found.owner[order]
     new = np.r_[True, (seed[1:] != seed[:-1]) | (owner[1:] != owner[:-1])][: len(seed)]
     heads = np.flatnonzero(new)
     return seed[heads], owner[heads], np.diff(np.r_[heads, len(seed)])
 
 
+def short(seed: np.ndarray) -> np.ndarray:
+    """What travels of a minimiser of 48 bits: its bucket holds some millions at most.
+
+    Two alike by chance ship a string too many.
+    """
+    return (seed >> np.uint64(16)).astype("<u4")
+
+
 def _flag_rows(seed: np.ndarray, ids: np.ndarray, tags: np.ndarray) -> tuple[pa.Array, ...]:
-    """Minimisers by document: (id, tag, seeds) arrays of one row per document."""
+    """Short minimisers by document: (id, tag, seeds) arrays of one row per document."""
     order = np.lexsort((tags, ids))
     seed, ids, tags = seed[order], ids[order], tags[order]
     heads = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])][: len(ids)])
-    return pa.array(ids[heads]), pa.array(tags[heads]), binary_groups(seed.astype("<u8"), heads)
+    return pa.array(ids[heads]), pa.array(tags[heads]), binary_groups(seed, heads)
 
 
 HINTS = ["bucket", "packed", "__id", "__tag", "__seeds"]
@@ -153,16 +168,18 @@ def _hints(slim: DataFrame, blocks_of, buckets: int, within: bool) -> DataFrame:
     """(bucket, packed): minimisers to compare; (__id, __tag, __seeds): those known to recur."""
 
     def shipped(kept: list[tuple]) -> Iterator[pa.RecordBatch]:
-        seed, ids, tags = (np.concatenate(x) for x in zip(*kept, strict=True))
+        base = np.cumsum([0, *[len(k[2]) for k in kept]])
+        seed, ids, tags = (np.concatenate([k[i] for k in kept]) for i in (0, 2, 3))
+        doc = np.concatenate([k[1] + b for k, b in zip(kept, base.tolist(), strict=False)])
         bucket = (seed % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((tags, ids, bucket))
-        seed, ids, tags, bucket = seed[order], ids[order], tags[order], bucket[order]
+        order = np.argsort(bucket << 32 | doc)
+        seed, doc, bucket = short(seed[order]), doc[order], bucket[order]
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True][: len(bucket) + 1])
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            one, two = ids[a:b], tags[a:b]
-            heads = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
-            table = pack([one[heads], two[heads], np.diff(np.r_[heads, b - a])], seed[a:b].tobytes())
-            yield row(int(bucket[a]), table, None)
+            heads = a + np.flatnonzero(np.r_[True, doc[a + 1 : b] != doc[a : b - 1]])
+            number = doc[heads]
+            times = np.diff(np.r_[heads, b]).astype("<u4")
+            yield row(int(bucket[a]), pack([ids[number], tags[number], times], seed[a:b].tobytes()), None)
 
     def row(bucket: int, packed: bytes | None, flags) -> pa.RecordBatch:
         columns = [pa.array([bucket], pa.int64()), pa.array([packed], pa.binary())]
@@ -176,12 +193,12 @@ def _hints(slim: DataFrame, blocks_of, buckets: int, within: bool) -> DataFrame:
             if not len(seed):
                 continue
             heads = np.flatnonzero(np.r_[True, seed[1:] != seed[:-1]])
-            kept.append((seed[heads], found.ids[owner[heads]], found.tags[owner[heads]]))
+            kept.append((seed[heads], owner[heads], found.ids, found.tags))
             n = np.diff(np.r_[heads, len(seed)])
             shared = np.repeat(n > 1, n) | (within & (times > 1))
             if shared.any():
                 ids, tags, seeds = _flag_rows(
-                    seed[shared], found.ids[owner[shared]], found.tags[owner[shared]]
+                    short(seed[shared]), found.ids[owner[shared]], found.tags[owner[shared]]
                 )
                 # Any bucket will do: these rows pass through.
                 bucket = pa.array((ids.to_numpy().view(np.uint64) % np.uint64(buckets)).astype(np.int64))
@@ -198,7 +215,7 @@ def _hints(slim: DataFrame, blocks_of, buckets: int, within: bool) -> DataFrame:
 
 
 def recurring(slim: DataFrame, blocks_of, n: int, within: bool) -> DataFrame:
-    """(__id, __tag, __all): each document's minimisers that occur elsewhere too.
+    """(__id, __tag, __all): each document's minimisers, ``short``, that occur elsewhere too.
 
     Elsewhere is in another document or, with ``within``, at another place of the same.
     ``blocks_of`` turns batches into blocks of super-k-mers with ``seed``, ``owner``,
@@ -210,15 +227,17 @@ def recurring(slim: DataFrame, blocks_of, n: int, within: bool) -> DataFrame:
     names = HINTS[2:]
 
     def settled(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = [unpack(blob, ["<i8", "<i8", "<i8"]) for blob in blobs]
-        seed = np.concatenate([np.frombuffer(p[1], "<u8") for p in parts])
-        ids, tags = (np.concatenate([np.repeat(p[0][i], p[0][2]) for p in parts]) for i in (0, 1))
+        parts = [unpack(blob, ["<i8", "<i8", "<u4"]) for blob in blobs]
+        seed = np.concatenate([np.frombuffer(p[1], "<u4") for p in parts])
+        ids, tags, times = (np.concatenate([p[0][i] for p in parts]) for i in range(3))
+        del parts
         order = np.argsort(seed)
         ordered = seed[order]
         same = ordered[1:] == ordered[:-1]
         rows = order[np.r_[False, same] | np.r_[same, False]]
         if len(rows):
-            yield pa.RecordBatch.from_arrays([*_flag_rows(seed[rows], ids[rows], tags[rows])], names)
+            at = np.searchsorted(np.cumsum(times, dtype=np.int64), rows, side="right")
+            yield pa.RecordBatch.from_arrays([*_flag_rows(seed[rows], ids[at], tags[at])], names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, blobs = None, []

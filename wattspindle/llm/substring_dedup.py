@@ -38,6 +38,7 @@ from wattspindle.llm.kmers import (
     pack,
     recurring,
     runs,
+    short,
     span_rows,
     unpack,
 )
@@ -90,9 +91,9 @@ class _Runs:
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         grams = mix([hashes[i : len(hashes) - GRAM + 1 + i] for i in range(GRAM)])
         inside = np.flatnonzero(self.owner[: len(words) - window + 1] == self.owner[window - 1 :])
-        self.first, self.count, seed = runs(grams, window - GRAM + 1, inside, BLOCK_BITS)
+        self.first, self.count, place = runs(grams, window - GRAM + 1, inside, BLOCK_BITS)
         # A shorter hash travels better; equal ones by chance cost work, not correctness.
-        self.seed = seed >> np.uint64(16)
+        self.seed = grams[place] >> np.uint64(16)
         self.owner = self.owner[self.first]
 
     def keep(self, chosen: np.ndarray) -> None:
@@ -125,8 +126,8 @@ def _shipped(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, window, text):
             found = _Runs(block, window)
-            flags = np.unique(np.frombuffer(b"".join(s for p in block for s in p[4] or []), "<u8"))
-            found.keep(np.isin(found.seed, flags))
+            flags = np.unique(np.frombuffer(b"".join(s for p in block for s in p[4] or []), "<u4"))
+            found.keep(np.isin(short(found.seed), flags))
             found.single(crowded, window)
             if len(found.seed):
                 yield _ship(found)

@@ -8,10 +8,13 @@ at the minimum length: neighbours that no interval has parted by then share a re
 
 No block holds the corpus. Windows of the minimum length that share a minimiser (the
 16-byte gram of least hash in them) travel together as one string, and blocks are made
-of the strings of a bucket of minimisers, so equal windows meet in one block. Documents
-first ship the hashes of their minimisers only; strings follow for those that occur in
-more than one document. Each task ships a string once, with its smallest document, and
-settles its larger ones itself, so copies and common lines add one string per task.
+of the strings of a bucket of minimisers, so equal windows meet in one block. Sixteen
+bytes recur by chance in a large corpus, so a minimiser is judged with what stands beside
+it: a window holds the bytes up to half its other ones before the minimiser, or behind it.
+Documents first ship the hashes of these two keys only; strings follow for those that occur
+in more than one document, and only strings that share one go through the transform. Each
+task ships a string once, with its smallest document, and settles its larger ones itself,
+so copies and common lines add one string per task.
 Minimisers that would crowd a bucket, by a bounded sample of documents, have their
 windows dealt one by one by the hash of the whole window; the result is the same.
 """
@@ -21,6 +24,7 @@ from __future__ import annotations
 import hashlib
 
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +43,7 @@ from wattspindle.llm.kmers import (
     pack,
     recurring,
     runs,
+    short,
     span_rows,
     unpack,
 )
@@ -55,8 +60,38 @@ SHARES = 8
 CROWDED = 2 * MB
 #: Parts a separator cannot be in: this byte is in no UTF-8 text.
 SEPARATOR = 0xFF
-#: Of minimisers, ids, tags, starts and string lengths.
-KINDS = ["<u8", "<i8", "<i8", "<i8", "<u4"]
+#: Of ids, tags, starts, string lengths and the minimisers' places in the strings.
+KINDS = ["<i8", "<i8", "<i8", "<u4", "<u4"]
+
+
+class _Halves(NamedTuple):
+    """For each run of windows the hashes of what its left and its right windows hold.
+
+    Windows that are alike have their minimiser at the same place. Left ones have more than
+    half of the other bytes before it and hold all bytes of the left key, the others those of
+    the right key. So runs without a key in common have no window in common.
+    """
+
+    left: np.ndarray
+    right: np.ndarray
+    has_left: np.ndarray
+    has_right: np.ndarray
+
+
+def _halves(gram, first: np.ndarray, count: np.ndarray, place: np.ndarray, length: int) -> _Halves:
+    """``gram`` gives the hashes of the grams at some places."""
+    half = (length - GRAM) // 2
+    has_left, has_right = place - first > half, place - (first + count - 1) <= half
+    middle = gram(place)
+    left, right = np.zeros(len(place), np.uint64), np.zeros(len(place), np.uint64)
+    left[has_left] = mix([gram(place[has_left] - half - 1), middle[has_left]])
+    right[has_right] = mix([middle[has_right], gram(place[has_right] + length - GRAM - half)])
+    return _Halves(left >> np.uint64(16), right >> np.uint64(16), has_left, has_right)
+
+
+def _grams(data: bytes, at: np.ndarray) -> np.ndarray:
+    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    return mix([eight[at], eight[at + 8]])
 
 
 def _blocks(
@@ -92,14 +127,17 @@ class _Block:
         self.shift = np.array([part[2] for part in block]) - starts
         n = len(self.data)
         eight = np.ascontiguousarray(np.ndarray((n - 7,), "<u8", self.data, 0, (1,)))
-        grams = mix([eight[:-8], eight[8:]])
+        self.grams = grams = mix([eight[:-8], eight[8:]])
         # The windows that end in the document they start in.
         last = np.maximum(sizes - length + 1, 0)
         inside = np.arange(last.sum()) + np.repeat(starts - (np.cumsum(last) - last), last)
-        self.first, self.count, seed = runs(grams, length - GRAM + 1, inside, BLOCK_BITS)
+        self.first, self.count, self.place = runs(grams, length - GRAM + 1, inside, BLOCK_BITS)
         self.owner = np.searchsorted(starts, self.first, side="right") - 1
         # A shorter hash travels better; equal ones by chance cost work, not correctness.
-        self.seed = seed >> np.uint64(16)
+        self.seed = grams[self.place] >> np.uint64(16)
+
+    def halves(self, length: int) -> _Halves:
+        return _halves(self.grams.__getitem__, self.first, self.count, self.place, length)
 
     def single(self, crowded: np.ndarray, length: int) -> None:
         """Runs with a crowded minimiser become windows of their own."""
@@ -114,12 +152,24 @@ class _Block:
         self.first = np.r_[self.first[~split], first]
         order = np.argsort(self.first, kind="stable")
         self.first, self.owner = self.first[order], owner[order]
+        self.place = np.r_[self.place[~split], np.repeat(self.place[split], count)][order]
         self.count = np.r_[self.count[~split], np.ones(len(step), np.int64)][order]
         self.seed = np.r_[self.seed[~split], np.array(seed, np.uint64)][order]
 
 
+class _Keys:
+    """Both keys of the runs of a block, by document."""
+
+    def __init__(self, found: _Block, length: int):
+        halves = found.halves(length)
+        has = np.stack([halves.has_left, halves.has_right], axis=1)
+        self.seed = np.stack([halves.left, halves.right], axis=1)[has]
+        self.owner = np.repeat(found.owner, 2)[has.reshape(-1)]
+        self.ids, self.tags = found.ids, found.tags
+
+
 def _strings(flagged: DataFrame, text: str, buckets: int, crowded: np.ndarray, length: int) -> DataFrame:
-    """(bucket, strings, spans): packed strings of recurring minimisers, and settled spans."""
+    """(bucket, strings, spans): packed strings of runs with a recurring key, and settled spans."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -128,10 +178,12 @@ def _strings(flagged: DataFrame, text: str, buckets: int, crowded: np.ndarray, l
         blocks = 0
         for block in _blocks(batches, length, text):
             found = _Block(block, length)
-            flags = np.unique(np.frombuffer(b"".join(s for p in block for s in p[4] or []), "<u8"))
-            keep = np.isin(found.seed, flags)
+            flags = np.unique(np.frombuffer(b"".join(s for p in block for s in p[4] or []), "<u4"))
+            halves = found.halves(length)
+            keep = np.isin(short(halves.left), flags) & halves.has_left
+            keep |= np.isin(short(halves.right), flags) & halves.has_right
             found.first, found.count = found.first[keep], found.count[keep]
-            found.owner, found.seed = found.owner[keep], found.seed[keep]
+            found.owner, found.seed, found.place = found.owner[keep], found.seed[keep], found.place[keep]
             found.single(crowded, length)
             yield from gather(found, known, sent, strings)
             blocks += 1
@@ -152,7 +204,8 @@ def _strings(flagged: DataFrame, text: str, buckets: int, crowded: np.ndarray, l
                 fresh[k] = False
             else:
                 strings.append(string)
-        sent.append([found.seed[fresh], ids[fresh], tags[fresh], starts[fresh]])
+        places = found.place - found.first
+        sent.append([x[fresh] for x in (found.seed, ids, tags, starts, found.count + length - 1, places)])
         if not fresh.all():
             old = ~fresh
             arrays = [ids[old], tags[old], starts[old], starts[old] + found.count[old] + length - 1]
@@ -163,13 +216,12 @@ def _strings(flagged: DataFrame, text: str, buckets: int, crowded: np.ndarray, l
         if not strings:
             return
         columns = [np.concatenate(x) for x in zip(*sent, strict=True)]
-        columns.append(np.fromiter(map(len, strings), np.int64, len(strings)))
         bucket = (columns[0] % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True])
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             part = order[a:b]
-            arrays = [x[part].astype(kind) for x, kind in zip(columns, KINDS, strict=True)]
+            arrays = [x[part].astype(kind) for x, kind in zip(columns[1:], KINDS, strict=True)]
             blob = pack(arrays, b"".join([strings[i] for i in part.tolist()]), level=3)
             yield row(int(bucket[part[0]]), blob, None)
 
@@ -255,17 +307,28 @@ def repeat_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     return order, np.cumsum(parted[:n]) - 1
 
 
+def _rivals(data: bytes, first: np.ndarray, count: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """Which of these different strings have a key in common with another."""
+    halves = _halves(lambda at: _grams(data, at), first, count, place, length)
+    rivals = np.zeros(len(first), bool)
+    for keys, held in ((halves.left, halves.has_left), (halves.right, halves.has_right)):
+        _, at, times = np.unique(keys[held], return_inverse=True, return_counts=True)
+        rivals[held] |= times[at] > 1
+    return rivals
+
+
 def _settle(blobs: list[bytes], length: int, buckets: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Spans of one bucket, as arrays of id, tag, begin and end; settled a share at a time."""
     parts = [unpack(blob, KINDS) for blob in blobs]
     columns = [np.concatenate(x) for x in zip(*[p[0] for p in parts], strict=True)]
     data = b"".join(p[1] for p in parts)
-    ends = np.cumsum(columns[4].astype(np.int64))
-    share = columns[0] // np.uint64(buckets) % np.uint64(SHARES)
+    ends = np.cumsum(columns[3].astype(np.int64))
+    seed = _grams(data, ends - columns[3] + columns[4])
+    share = (seed >> np.uint64(16)) // np.uint64(buckets) % np.uint64(SHARES)
     for number in range(SHARES):
         own = share == np.uint64(number)
         if own.any():
-            yield from _settled(*[c[own] for c in columns], ends[own], data, length)
+            yield from _settled(seed[own], *[c[own] for c in columns], ends[own], data, length)
 
 
 def _settled(
@@ -274,6 +337,7 @@ def _settled(
     tags: np.ndarray,
     starts: np.ndarray,
     sizes: np.ndarray,
+    places: np.ndarray,
     ends: np.ndarray,
     data: bytes,
     length: int,
@@ -281,11 +345,11 @@ def _settled(
     """Spans of strings whose minimisers are nowhere else; a string ends at ``ends`` in ``data``."""
     _, at, times = np.unique(seed, return_inverse=True, return_counts=True)
     rows = np.flatnonzero(times[at] > 1)
-    places = zip(ids[rows].tolist(), (ends - sizes)[rows].tolist(), ends[rows].tolist(), strict=True)
+    cuts = zip(ids[rows].tolist(), (ends - sizes)[rows].tolist(), ends[rows].tolist(), strict=True)
     number: dict[bytes, int] = {}
     smallest: list[int] = []
     own = np.empty(len(rows), np.int64)
-    for k, (doc, begin, end) in enumerate(places):
+    for k, (doc, begin, end) in enumerate(cuts):
         string = data[begin:end]
         own[k] = at_string = number.setdefault(string, len(smallest))
         if at_string == len(smallest):
@@ -297,10 +361,11 @@ def _settled(
     if larger.any():
         row = rows[larger]
         yield ids[row], tags[row], starts[row], starts[row] + sizes[row]
-    # Strings whose minimiser has other strings too may share windows with them.
-    group = np.empty(len(least), np.int64)
-    group[own] = at[rows]
-    rivals = np.bincount(group, minlength=1)[group] > 1 if len(least) else np.zeros(0, bool)
+    # Strings with a key that other strings have too may share windows with them.
+    holds = np.empty(len(least), np.int64)
+    holds[own] = rows
+    begin, size = (ends - sizes)[holds], sizes[holds].astype(np.int64)
+    rivals = _rivals(data, begin, size - length + 1, begin + places[holds], length)
     if not rivals.any():
         return
     strings = [s for s, used in zip(number, rivals.tolist(), strict=True) if used]
@@ -347,11 +412,15 @@ def repeated_spans(rows: DataFrame, text: str, length: int = LENGTH) -> DataFram
         for block in _blocks(batches, length):
             yield _Block(block, length)
 
+    def keys_of(batches: Iterable[pa.RecordBatch]) -> Iterator[_Keys]:
+        for found in blocks_of(batches):
+            yield _Keys(found, length)
+
     crowded = frequent(slim, blocks_of, 70, CROWDED)
-    # One minimiser in eighteen bytes, and eight bytes each.
-    few = max(12, int(amount * 8 / 18 / (24 * MB)) + 1)
+    # One key in twelve bytes, and four bytes each.
+    few = max(12, int(amount * 4 / 12 / (24 * MB)) + 1)
     # The same rows, dealt alike, meet their spans later on: one shuffle of the texts.
-    flagged = rows.join(recurring(slim, blocks_of, few, within=False), ["__id", "__tag"])
+    flagged = rows.join(recurring(slim, keys_of, few, within=False), ["__id", "__tag"])
     n = partitions(spark, amount, 24 * MB)
     # A bucket is a partition: a task sends one packet to each, not many small ones.
     shipped = _strings(flagged, text, n, crowded, length)
